@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.cleaning import lineage_label
 from ..sources.files import INFECTION_SEED_SCHEMA, empty_frame
 from .joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from .partitions import pin
 
 # Fixed value: accession marker of reference genes kept by the reference.
 GENE_MARKER = "NC_"
@@ -46,9 +47,18 @@ def unknown_genes(counts: DataFrame, labels: DataFrame, gene: str = "gene") -> D
 
 
 def attach_patient(infection: DataFrame, patients: DataFrame, index: str = "index",
+                   broadcast: bool | None = None,
                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Join to the patient table on ``index`` and drop it."""
-    return infection.join(broadcast_if_small(patients, max_broadcast_rows), index, "inner").drop(index)
+    """Join to the patient table on ``index`` and drop it.
+
+    ``broadcast=None`` checks the size of ``patients`` itself; a caller that
+    derived ``patients`` expensively can pass the answer of a check made on
+    its cheap source instead (same row count)."""
+    if broadcast is None:
+        side = broadcast_if_small(patients, max_broadcast_rows)
+    else:
+        side = F.broadcast(patients) if broadcast else patients
+    return infection.join(side, index, "inner").drop(index)
 
 
 def infection_seed(spark) -> DataFrame:
@@ -76,5 +86,5 @@ def min_rows_guard(df: DataFrame, keys, min_rows: int = 2,
     """Rows of the keys that have at least ``min_rows`` rows (K2: a one-row
     result is not written).  The per-key counts are semi-joined back, broadcast
     when proven small, else shuffled with AQE skew splitting."""
-    ok = rows_per_key(df, keys, min_rows).select(*keys)
+    ok = pin(rows_per_key(df, keys, min_rows).select(*keys))
     return df.join(broadcast_if_small(ok, max_broadcast_rows), list(keys), "left_semi")

@@ -11,7 +11,7 @@ Scale notes:
   bound; otherwise both sides are shuffled on the k-gram key and AQE splits
   skewed (repeat) keys.  No k-gram is capped or sampled away.
 * DNA k-mers (k <= 31) are joined on an exact 2-bit code in a BIGINT; text
-  shingles are joined on the shingle text itself.  Both are exact.
+  shingles are joined on a hash and then compared word by word.  Both are exact.
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from .joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small, fits
+from .partitions import pin, spread
 
 # ---------------------------------------------------------------- text form
 
@@ -29,25 +30,46 @@ def word_tokens(text) -> F.Column:
     return F.filter(F.split(F.lower(text), "[^a-z]+"), lambda w: w != "")
 
 
-def shingles(df: DataFrame, id_col: str, text_col: str, k: int = 8,
-             out: str = "shingle") -> DataFrame:
-    """All k-word shingles of every text: ``id_col, out`` (one row per position).
+def _gram_starts(df: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+    """``id_col, _w, _i``: the word array and one row per k-gram start (1-based).
     Texts with fewer than ``k`` words give no rows."""
     words = df.select(id_col, word_tokens(F.col(text_col)).alias("_w"))
     n = F.size("_w")
-    grams = F.when(n >= k, F.transform(F.sequence(F.lit(1), n - k + 1),
-                                       lambda i: F.array_join(F.slice(F.col("_w"), i, F.lit(k)), " ")))
-    return words.select(id_col, F.explode(grams).alias(out))
+    return words.select(id_col, "_w", F.explode(F.when(n >= k, F.sequence(F.lit(1), n - k + 1))).alias("_i"))
+
+
+def _gram(k: int) -> F.Column:
+    return F.slice(F.col("_w"), F.col("_i"), F.lit(k))
+
+
+def shingles(df: DataFrame, id_col: str, text_col: str, k: int = 8,
+             out: str = "shingle") -> DataFrame:
+    """All k-word shingles of every text as strings: ``id_col, out``."""
+    return _gram_starts(df, id_col, text_col, k).select(id_col, F.array_join(_gram(k), " ").alias(out))
 
 
 def shingle_seeds(docs: DataFrame, refs: DataFrame, doc_id: str = "doc_id",
                   ref_id: str = "item_id", text: str = "text", k: int = 8,
                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Distinct shared shingles per (document, reference): ``doc_id, ref_id, seeds``."""
-    ref_sh = shingles(refs, ref_id, text, k).distinct()
-    doc_sh = shingles(docs, doc_id, text, k)
-    hits = doc_sh.join(broadcast_if_small(ref_sh, max_broadcast_rows), "shingle", "inner")
-    return (hits.select(doc_id, ref_id, "shingle").distinct()
+    """Distinct shared shingles per (document, reference): ``doc_id, ref_id, seeds``.
+
+    Shingles are word arrays.  When the reference shingles are proven to fit
+    ``max_broadcast_rows`` they are broadcast keyed by ``xxhash64`` of the
+    array: documents are never shuffled, each document shingle costs one hash
+    and one probe, and only probe hits are checked word by word (so a hash
+    collision cannot create a seed).  Otherwise both sides are shuffled on the
+    word array itself.
+    """
+    ref_sh = pin(_gram_starts(refs, ref_id, text, k).select(ref_id, _gram(k).alias("gram"))
+                 .distinct())
+    doc_g = _gram_starts(spread(docs.select(doc_id, text)), doc_id, text, k)
+    if fits(ref_sh, max_broadcast_rows):
+        probe = doc_g.withColumn("h", F.xxhash64(_gram(k)))
+        build = F.broadcast(ref_sh.withColumn("h", F.xxhash64("gram")))
+        hits = probe.join(build, "h", "inner").filter(_gram(k) == F.col("gram"))
+    else:
+        hits = doc_g.select(doc_id, _gram(k).alias("gram")).join(ref_sh, "gram", "inner")
+    return (hits.select(doc_id, ref_id, "gram").distinct()
             .groupBy(doc_id, ref_id).agg(F.count(F.lit(1)).alias("seeds")))
 
 

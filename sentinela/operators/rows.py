@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..session import shared_root
 from .joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from .partitions import pin
 
 
 def _numeric_key(df: DataFrame, key: str) -> Column:
@@ -116,8 +117,8 @@ def skip_leading(df: DataFrame, k: int, partition_by: list[str], order_by: list[
     an anti join on ``row_key``, so no group is ever sorted whole.
     """
     key = row_key or order_by
-    head = first_rows(df.select(*set(partition_by) | set(order_by) | set(key)), k,
-                      partition_by, order_by).select(*key)
+    cols = list(dict.fromkeys([*partition_by, *order_by, *key]))
+    head = pin(first_rows(df.select(*cols), k, partition_by, order_by).select(*key))
     return df.join(broadcast_if_small(head, max_broadcast_rows), key, "left_anti")
 
 
@@ -134,6 +135,10 @@ def chunk_numbers(df: DataFrame, size: int, partition_by: list[str], order_by: l
     return indexed.withColumn(name, (F.floor(F.col("_ci") / size) + 1).cast("bigint")).drop("_ci")
 
 
+def _role_is(i: int):
+    return lambda e: e["r"] == i
+
+
 def frame_records(lines: DataFrame, width: int = 4, idx: str = "idx",
                   group: list[str] | tuple = ("file",), value: str = "value",
                   names: list[str] | None = None) -> DataFrame:
@@ -145,7 +150,9 @@ def frame_records(lines: DataFrame, width: int = 4, idx: str = "idx",
     """
     names = names or [f"line{i}" for i in range(width)]
     rec = F.floor(F.col(idx) / width).cast("bigint")
-    role = F.pmod(F.col(idx), F.lit(width))
-    staged = lines.select(*group, rec.alias("record"), role.alias("_role"), F.col(value).alias("_v"))
-    aggs = [F.max(F.when(F.col("_role") == i, F.col("_v"))).alias(n) for i, n in enumerate(names)]
-    return staged.groupBy(*group, "record").agg(*aggs, F.count(F.lit(1)).alias("n_lines"))
+    role = F.pmod(F.col(idx), F.lit(width)).cast("int")
+    staged = lines.select(*group, rec.alias("record"), F.struct(role.alias("r"), F.col(value).alias("v")).alias("_e"))
+    # collect_list runs as a hash (object) aggregate; at most `width` entries per record
+    folded = staged.groupBy(*group, "record").agg(F.collect_list("_e").alias("_l"))
+    fields = [F.element_at(F.filter("_l", _role_is(i)), 1)["v"].alias(n) for i, n in enumerate(names)]
+    return folded.select(*group, "record", *fields, F.size("_l").alias("n_lines"))

@@ -23,7 +23,8 @@ from ..operators import records as R
 from ..operators import reports as Q
 from ..operators import rows as W
 from ..operators import warehouse as H
-from ..operators.joins import broadcast_if_small, new_items
+from ..operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small, fits, new_items
+from ..operators.partitions import spread
 from ..session import scratch_path
 from ..sources import files as S
 from ..streaming.incremental import load_new_files, read_loaded
@@ -32,7 +33,7 @@ TOP_K = 3          # events has 5 types, so k=3 makes the top-k cut bite
 CHUNK_ROWS = 500
 SKIP_ROWS = 3
 SHINGLE_WORDS = 8
-LINES_PER_FILE = 1000  # key range per generated text file
+LINES_PER_FILE = 10_000  # key range per generated text file
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,10 +94,10 @@ def min_rows_guard(spark, sf_dir):
 
 
 def patient_index(spark, sf_dir):
-    patients = W.row_index(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("record_id")),
-                           ["record_id"], name="index")
+    cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("record_id"))
+    patients = W.row_index(cust, ["record_id"], name="index")
     inf = infection(spark, sf_dir).select(F.col("record_id").alias("index"), "bacteria", "otu")
-    return A.attach_patient(inf, patients, "index")
+    return A.attach_patient(inf, patients, "index", broadcast=fits(cust, DEFAULT_BROADCAST_ROWS))
 
 
 def typed_union(spark, sf_dir):
@@ -161,7 +162,7 @@ def _write_discharge_files(spark, orders: DataFrame) -> str:
 
 
 def delimited_project(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     path = _write_discharge_files(spark, orders)
     split = S.read_delimited(spark, path, sep=";", min_fields=2, skip=SKIP_ROWS)
     clean, _ = R.split_rejects(R.parse_discharge(split, mode=C.QUARANTINE))
@@ -193,7 +194,7 @@ def age_at_date(spark, sf_dir):
 
 
 def json_project(spark, sf_dir):
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events"))
     k = F.from_json("props", "k BIGINT")["k"]
     rec = F.struct(
         F.col("user_id").cast("double").cast("string").alias("Discharge ID"),
@@ -211,7 +212,7 @@ def json_project(spark, sf_dir):
 
 
 def quarantine(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     split = orders.select(F.array(*_discharge_fields(orders, corrupt=True)).alias("fields"))
     parsed = R.parse_discharge(split, mode=C.QUARANTINE)
     status = F.coalesce(F.col("reject_reason"), F.lit("ok")).alias("status")
@@ -236,7 +237,7 @@ def record_chunks(spark, sf_dir):
 
 
 def record_framing(spark, sf_dir):
-    conv = table(spark, sf_dir, "conversations")
+    conv = spread(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
     lines = F.array(F.concat(F.lit("@"), F.col("conv_id").cast("string"), F.lit("/"), F.col("turn").cast("string")),
                     F.col("role"), F.lit("+"),
                     F.concat(F.lit("@"), F.length("text").cast("string")))

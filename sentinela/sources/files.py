@@ -157,8 +157,9 @@ def read_parts(spark: SparkSession, base: str, limit_parts: int | None = None) -
 
 
 def empty_frame(spark: SparkSession, schema: T.StructType = INFECTION_SEED_SCHEMA) -> DataFrame:
-    """Typed empty frame used as a union seed."""
-    return spark.createDataFrame([], schema)
+    """Typed empty frame used as a union seed (S12).  Built JVM-side from an
+    empty range, so no Python worker starts and the optimizer can prune it."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:
