@@ -53,7 +53,8 @@ def row_index(df: DataFrame, order_by: list[str], partition_by: list[str] | tupl
     key = order_by[0]
     keyed = df.withColumn("_sk", _numeric_key(df, key))
     probs = [i / nb for i in range(1, nb)]
-    bounds = sorted(set(b for b in keyed.approxQuantile("_sk", probs, err) if b is not None))
+    found = keyed.approxQuantile("_sk", probs, err) if probs else []
+    bounds = sorted(set(b for b in found if b is not None))
     if not bounds:
         bounds = [0.0]
     splits = [float("-inf")] + bounds + [float("inf")]
