@@ -47,10 +47,13 @@ def unknown_genes(counts: DataFrame, labels: DataFrame, gene: str = "gene") -> D
 
 
 def attach_patient(infection: DataFrame, patients: DataFrame, index: str = "index",
-                   broadcast: bool | None = None,
+                   offset: int = 0, broadcast: bool | None = None,
                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Join to the patient table on ``index`` and drop it.
 
+    Sample ``i`` pairs with patient ``i + offset``; ``offset=-1`` reproduces the
+    reference as written (sample 0 unmatched, sample n to patient n-1).
+
     ``broadcast=None`` checks the size of ``patients`` itself; a caller that
     derived ``patients`` expensively can pass the answer of a check made on
     its cheap source instead (same row count)."""
@@ -58,6 +61,8 @@ def attach_patient(infection: DataFrame, patients: DataFrame, index: str = "inde
         side = broadcast_if_small(patients, max_broadcast_rows)
     else:
         side = F.broadcast(patients) if broadcast else patients
+    if offset:
+        infection = infection.withColumn(index, F.col(index) + F.lit(offset))
     return infection.join(side, index, "inner").drop(index)
 
 

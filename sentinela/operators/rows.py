@@ -74,7 +74,7 @@ def row_index(df: DataFrame, order_by: list[str], partition_by: list[str] | tupl
             .drop("_bkt", "_off"))
 
 
-def line_index(lines: DataFrame, name: str = "idx",
+def line_index(lines: DataFrame, name: str = "idx", per_file: bool = True,
                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """0-based line number within its file for a text scan (W1 over files).
 
@@ -84,13 +84,16 @@ def line_index(lines: DataFrame, name: str = "idx",
     ``monotonically_increasing_id`` counts up by one, so the position is that id
     minus the split's first id plus the line count of the file's earlier splits.
     Two passes over the files; only the per-split table (one row per split) is
-    materialised, never the lines.
+    materialised, never the lines.  ``per_file=False`` numbers all lines of all
+    files in (file path, offset) order, like ``zipWithIndex`` over a sorted
+    listing; the running count then spans the small per-split table only.
     """
     shared_root(lines.sparkSession)
     with_id = lines.withColumn("_mid", F.monotonically_increasing_id())
     per_split = with_id.groupBy("file", "block").agg(F.min("_mid").alias("_first"),
                                                      F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = (Window.partitionBy("file").orderBy("block") if per_file
+               else Window.orderBy("file", "block")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_split.select("file", "block", "_first",
                                F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off")
                                ).checkpoint(eager=True)

@@ -85,6 +85,17 @@ def read_csv_table(spark: SparkSession, paths, schema: T.StructType, header: boo
     return reader.csv(paths)
 
 
+def read_patient_index(spark: SparkSession, paths, id_col: int = 0) -> DataFrame:
+    """Patient ids from a CSV with a header, numbered in file order (S3, W1):
+    ``record_id BIGINT`` (``int(float(first column))``) and 0-based ``index``."""
+    raw = (spark.read.option("header", True).option("inferSchema", False).csv(paths))
+    first = raw.columns[id_col]
+    rows = raw.select(F.col("_metadata.file_path").alias("file"),
+                      F.col("_metadata.file_block_start").alias("block"),
+                      F.col(f"`{first}`").try_cast("double").try_cast("bigint").alias("record_id"))
+    return line_index(rows, name="index", per_file=False).select("record_id", "index")
+
+
 def read_mapping_result(spark: SparkSession, paths) -> DataFrame:
     """Tab-separated read-mapping result with the 11 named columns (S4, S5);
     short lines give NULL fields, malformed numbers give NULL."""

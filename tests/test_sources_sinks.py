@@ -141,3 +141,15 @@ def test_incremental_two_steps_equal_one_load(spark, tmp_path):
     assert run() == 4          # nothing new: nothing loaded twice
     once = spark.createDataFrame([r for b in batches for r in b], schema).filter(F.col("gene").contains("NC_"))
     assert sorted(read_loaded(spark, sink).collect()) == sorted(once.collect())
+
+
+def test_patient_index_in_file_order(spark, tmp_path):
+    write_text(str(tmp_path / "pid" / "a.csv"), ["Discharge ID,other"] + [f"{900 - i}.0,x" for i in range(5)])
+    write_text(str(tmp_path / "pid" / "b.csv"), ["Discharge ID,other"] + [f"{i}.7,y" for i in range(3)])
+    got = sorted((r["index"], r.record_id) for r in S.read_patient_index(spark, str(tmp_path / "pid")).collect())
+    assert got == [(0, 900), (1, 899), (2, 898), (3, 897), (4, 896), (5, 0), (6, 1), (7, 2)]
+    from sentinela.operators.abundance import attach_patient
+    inf = spark.createDataFrame([(0, "b1", 3), (1, "b2", 4)], "index long, bacteria string, otu long")
+    pats = S.read_patient_index(spark, str(tmp_path / "pid"))
+    assert sorted(r.record_id for r in attach_patient(inf, pats).collect()) == [899, 900]
+    assert [r.record_id for r in attach_patient(inf, pats, offset=-1).collect()] == [900]
