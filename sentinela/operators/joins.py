@@ -11,10 +11,22 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  Reads at most ``max_rows + 1`` rows."""
+    """True when ``df`` has at most ``max_rows`` rows.  Every partition stops
+    after ``max_rows + 1`` rows; meant for dimension tables and small pinned
+    tables, not for wide derived ones (see ``total_at_most``)."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def total_at_most(df: DataFrame, measure, max_total: int) -> bool:
+    """True when ``sum(measure)`` over ``df`` is at most ``max_total``.
+
+    Used to prove a bound on a table *derived* from ``df`` before it is built,
+    e.g. the number of k-grams of a set of sequences is at most their total
+    length.  One aggregate pass over ``df``; one number reaches the driver."""
+    total = df.agg(F.sum(measure).alias("t")).first()["t"]
+    return (total or 0) <= max_total
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` when its row count is proven to be within ``max_rows``;
     otherwise ``df`` unchanged, so the planner shuffles instead."""

@@ -10,8 +10,10 @@ Scale notes:
 * The reference side is broadcast only when its row count is proven under a
   bound; otherwise both sides are shuffled on the k-gram key and AQE splits
   skewed (repeat) keys.  No k-gram is capped or sampled away.
-* DNA k-mers (k <= 31) are joined on an exact 2-bit code in a BIGINT; text
-  shingles are joined on a hash and then compared word by word.  Both are exact.
+* The bound is proven on the raw references (total length), before any
+  k-gram is built.  Broadcast joins probe on ``xxhash64`` of the k-gram and
+  re-check every hit against the k-gram itself; shuffle joins key on the
+  k-gram.  Both are exact.
 """
 
 from __future__ import annotations
@@ -19,8 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small, fits
-from .partitions import pin, spread
+from .joins import DEFAULT_BROADCAST_ROWS, total_at_most
+from .partitions import spread
 
 # ---------------------------------------------------------------- text form
 
@@ -57,13 +59,14 @@ def shingle_seeds(docs: DataFrame, refs: DataFrame, doc_id: str = "doc_id",
     ``max_broadcast_rows`` they are broadcast keyed by ``xxhash64`` of the
     array: documents are never shuffled, each document shingle costs one hash
     and one probe, and only probe hits are checked word by word (so a hash
-    collision cannot create a seed).  Otherwise both sides are shuffled on the
-    word array itself.
+    collision cannot create a seed).  The bound is proven on the raw
+    references (total characters), before any shingle is built.  Otherwise
+    both sides are shuffled on the word array itself.
     """
-    ref_sh = pin(_gram_starts(refs, ref_id, text, k).select(ref_id, _gram(k).alias("gram"))
-                 .distinct())
+    ref_sh = _gram_starts(refs, ref_id, text, k).select(ref_id, _gram(k).alias("gram")).distinct()
     doc_g = _gram_starts(spread(docs.select(doc_id, text)), doc_id, text, k)
-    if fits(ref_sh, max_broadcast_rows):
+    # a text of n characters has fewer than n word starts, hence fewer shingles
+    if total_at_most(refs, F.length(text), max_broadcast_rows):
         probe = doc_g.withColumn("h", F.xxhash64(_gram(k)))
         build = F.broadcast(ref_sh.withColumn("h", F.xxhash64("gram")))
         hits = probe.join(build, "h", "inner").filter(_gram(k) == F.col("gram"))
@@ -91,25 +94,22 @@ def reverse_complement(seq) -> F.Column:
     return F.reverse(F.translate(seq, "ACGT", "TGCA"))
 
 
-def kmer_code(kmer) -> F.Column:
-    """Exact base-4 code of an ACGT k-mer (k <= 31) as BIGINT."""
-    return F.conv(F.translate(kmer, _ACGT, "0123"), 4, 10).cast("bigint")
-
-
 def _kmers(df: DataFrame, keys: list[str], seq: str, k: int, base_pos=None,
            limit_col: str | None = None) -> DataFrame:
-    """``keys, pos, code`` for every ACGT-only k-mer of ``seq``."""
+    """``keys, pos, kmer, h`` for every ACGT-only k-mer of ``seq``; ``h`` is
+    ``xxhash64(kmer)``.  The ACGT test runs once per sequence and per k-mer only
+    for sequences holding other letters (e.g. ``N``)."""
     n = F.length(seq) - k + 1
     if limit_col is not None:
         n = F.least(n, F.col(limit_col))
-    idx = F.when(n > 0, F.sequence(F.lit(0), n - 1))
     staged = df.select(*keys, seq, *([base_pos] if base_pos is not None else []),
-                       F.explode(idx).alias("_i"))
+                       F.col(seq).rlike("^[ACGT]*$").alias("_clean"),
+                       F.explode(F.when(n > 0, F.sequence(F.lit(0), n - 1))).alias("_i"))
     kmer = F.substring(F.col(seq), F.col("_i") + 1, k)
     pos = F.col("_i") + (F.col(base_pos) if base_pos is not None else F.lit(0))
-    return (staged.select(*keys, pos.cast("bigint").alias("pos"), kmer.alias("_k"))
-            .filter(F.col("_k").rlike(f"^[ACGT]{{{k}}}$"))
-            .select(*keys, "pos", kmer_code("_k").alias("code")))
+    return (staged.select(*keys, pos.cast("bigint").alias("pos"), kmer.alias("kmer"), "_clean")
+            .filter(F.col("_clean") | F.col("kmer").rlike(f"^[ACGT]{{{k}}}$"))
+            .select(*keys, "pos", "kmer", F.xxhash64("kmer").alias("h")))
 
 
 def reference_windows(refs: DataFrame, ref_id: str = "ref_id", seq: str = "seq",
@@ -137,8 +137,8 @@ def map_reads(reads: DataFrame, refs: DataFrame, k: int = 21, window: int = 100_
     ``min_seeds`` seeds on every diagonal are left out.  Ties go to the smallest
     reference id, then ``+`` strand, then smallest start.
     """
-    if not 1 <= k <= 31:
-        raise ValueError("k must be within 1..31 for the exact 2-bit code")
+    if k < 1:
+        raise ValueError("k must be positive")
     ref_k = _kmers(reference_windows(refs.select(F.col(ref_id).alias("ref_id"), F.upper(F.col(ref_seq)).alias("seq")),
                                      "ref_id", "seq", window, k),
                    ["ref_id"], "wseq", k, base_pos="wstart", limit_col="_wn")
@@ -148,12 +148,19 @@ def map_reads(reads: DataFrame, refs: DataFrame, k: int = 21, window: int = 100_
     fwd = _kmers(r.withColumn("strand", F.lit("+")), ["read_id", "strand", "nt_length"], "fwd", k)
     rev = _kmers(r.withColumn("strand", F.lit("-")), ["read_id", "strand", "nt_length"], "rev", k)
     read_k = fwd.unionByName(rev).withColumnRenamed("pos", "qpos")
-    hits = read_k.join(broadcast_if_small(ref_k.withColumnRenamed("pos", "rpos"), max_broadcast_rows),
-                       "code", "inner")
+    ref_k = ref_k.select("ref_id", F.col("pos").alias("rpos"), F.col("kmer").alias("rkmer"), "h")
+    # a reference of n bases has at most n k-mers: prove the bound on the raw input
+    if total_at_most(refs, F.length(F.col(ref_seq)), max_broadcast_rows):
+        hits = (read_k.join(F.broadcast(ref_k), "h", "inner")
+                .filter(F.col("kmer") == F.col("rkmer")))      # exact: hash hits are re-checked
+    else:
+        hits = read_k.join(ref_k.drop("h"), F.col("kmer") == F.col("rkmer"), "inner")
     votes = (hits.select("read_id", "strand", "nt_length", "ref_id",
                          (F.col("rpos") - F.col("qpos")).alias("diag"), "qpos")
              .groupBy("read_id", "strand", "nt_length", "ref_id", "diag")
-             .agg(F.count_distinct("qpos").alias("seeds"))
+             # one row per (read k-mer, reference k-mer): on a fixed diagonal each
+             # read position meets at most one reference position
+             .agg(F.count(F.lit(1)).alias("seeds"))
              .filter(F.col("seeds") >= min_seeds))
     w = Window.partitionBy("read_id").orderBy(F.col("seeds").desc(), "ref_id", "strand", "diag")
     best = votes.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)

@@ -8,6 +8,9 @@ Written from the semantics, not from the Spark code: windows with
 INF = ("inf AS (SELECT user_id AS record_id, event_type AS bacteria, count(*) AS otu "
        "FROM events GROUP BY user_id, event_type)")
 
+_DNA = ("translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), "
+        "'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC')")
+
 _WORDS = "list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '')"
 
 ORACLE_SQL = {
@@ -162,6 +165,28 @@ ORACLE_SQL = {
         ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY seeds DESC, item_id) AS rn
                    FROM seeds)
         SELECT doc_id, item_id, seeds FROM ranked WHERE rn = 1""",
+    "read_mapping_dna": f"""
+        WITH d AS (SELECT doc_id, {_DNA} AS dna FROM documents),
+        r0 AS (SELECT doc_id, dna, unnest(generate_series(0, greatest(length(dna) - 1, 0), 100)) AS read_start FROM d),
+        reads AS (SELECT doc_id, read_start, substring(dna, read_start + 1, 100) AS seq FROM r0),
+        rq AS (SELECT doc_id, read_start, length(seq) AS nt_length, seq,
+                      reverse(translate(seq, 'ACGT', 'TGCA')) AS rc FROM reads WHERE length(seq) >= 16),
+        q AS (SELECT doc_id, read_start, nt_length, seq, rc,
+                     unnest(generate_series(0, nt_length - 16)) AS qpos FROM rq),
+        qk AS (SELECT doc_id, read_start, nt_length, '+' AS strand, qpos, substring(seq, qpos + 1, 16) AS kmer FROM q
+               UNION ALL
+               SELECT doc_id, read_start, nt_length, '-' AS strand, qpos, substring(rc, qpos + 1, 16) AS kmer FROM q),
+        b AS (SELECT item_id, {_DNA} AS dna FROM benchmark),
+        rk AS (SELECT item_id, rpos, substring(dna, rpos + 1, 16) AS kmer
+               FROM (SELECT item_id, dna, unnest(generate_series(0, length(dna) - 16)) AS rpos
+                     FROM b WHERE length(dna) >= 16)),
+        votes AS (SELECT qk.doc_id, qk.read_start, qk.nt_length, qk.strand, rk.item_id,
+                         rk.rpos - qk.qpos AS diag, count(*) AS seeds
+                  FROM qk JOIN rk ON qk.kmer = rk.kmer
+                  GROUP BY 1, 2, 3, 4, 5, 6 HAVING count(*) >= 2),
+        best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, read_start
+                                              ORDER BY seeds DESC, item_id, strand, diag) AS rn FROM votes)
+        SELECT doc_id, read_start, item_id, strand, diag AS start, nt_length, seeds FROM best WHERE rn = 1""",
     "incremental_load": """
         SELECT user_id AS record_id, event_type AS bacteria, count(*) AS otu
         FROM events GROUP BY user_id, event_type""",

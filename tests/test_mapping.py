@@ -47,10 +47,20 @@ def test_windows_cover_each_kmer_once(spark):
     assert pos == list(range(200 - 5 + 1))
 
 
-def test_kmer_code_is_exact(spark):
-    df = spark.createDataFrame([("A" * 31,), ("T" * 31,), ("ACGT",)], "k string")
-    got = [r.c for r in df.select(M.kmer_code("k").alias("c")).collect()]
-    assert got == [0, 4 ** 31 - 1, 0 * 64 + 1 * 16 + 2 * 4 + 3]
+def test_shuffle_path_equals_broadcast_path_and_n_bases(spark):
+    rnd = random.Random(5)
+    g = "".join(rnd.choice("ACGT") for _ in range(2000))
+    g = g[:700] + "N" * 30 + g[730:]
+    refs = spark.createDataFrame([("NC_9", g)], "ref_id string, seq string")
+    reads = spark.createDataFrame([("a", g[100:200]), ("b", _rc(g[1500:1600])), ("c", g[690:760])],
+                                  "read_id string, seq string")
+    fast = {tuple(r) for r in M.map_reads(reads, refs, k=12, window=300).collect()}
+    slow = {tuple(r) for r in M.map_reads(reads, refs, k=12, window=300, max_broadcast_rows=0).collect()}
+    assert fast == slow
+    got = {r[0]: r for r in fast}
+    assert got["a"][3] == 100 and got["b"][2] == "-"
+    # read c straddles the N run: only k-mers outside it count
+    assert got["c"][6] == max(0, 700 - 690 - 12 + 1) + (760 - 730 - 12 + 1)
 
 
 def test_shingle_seeds_exact_and_best(spark):
