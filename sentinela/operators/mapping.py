@@ -64,7 +64,7 @@ def shingle_seeds(docs: DataFrame, refs: DataFrame, doc_id: str = "doc_id",
     both sides are shuffled on the word array itself.
     """
     ref_sh = _gram_starts(refs, ref_id, text, k).select(ref_id, _gram(k).alias("gram")).distinct()
-    doc_g = _gram_starts(spread(docs.select(doc_id, text)), doc_id, text, k)
+    doc_g = _gram_starts(spread(docs.select(doc_id, text), [doc_id]), doc_id, text, k)
     # a text of n characters has fewer than n word starts, hence fewer shingles
     if total_at_most(refs, F.length(text), max_broadcast_rows):
         probe = doc_g.withColumn("h", F.xxhash64(_gram(k)))
@@ -142,19 +142,27 @@ def map_reads(reads: DataFrame, refs: DataFrame, k: int = 21, window: int = 100_
     ref_k = _kmers(reference_windows(refs.select(F.col(ref_id).alias("ref_id"), F.upper(F.col(ref_seq)).alias("seq")),
                                      "ref_id", "seq", window, k),
                    ["ref_id"], "wseq", k, base_pos="wstart", limit_col="_wn")
+    # Both strands on the (small) reference side: the read's reverse complement
+    # has at q' the k-mer rc(read[L-k-q' : L-q']), so it matches a reference
+    # k-mer exactly when the read's forward k-mer at q = L-k-q' matches the
+    # reverse complement of that reference k-mer.  Reads are enumerated once.
+    plus = ref_k.select("ref_id", F.col("pos").alias("rpos"), F.lit("+").alias("strand"),
+                        F.col("kmer").alias("rkmer"), "h")
+    minus = (ref_k.select("ref_id", F.col("pos").alias("rpos"), F.lit("-").alias("strand"),
+                          reverse_complement(F.col("kmer")).alias("rkmer"))
+             .withColumn("h", F.xxhash64("rkmer")))
+    ref_both = plus.unionByName(minus)
     r = reads.select(F.col(read_id).alias("read_id"), F.upper(F.col(read_seq)).alias("fwd"))
-    r = r.select("read_id", F.length("fwd").alias("nt_length"), "fwd",
-                 reverse_complement(F.col("fwd")).alias("rev"))
-    fwd = _kmers(r.withColumn("strand", F.lit("+")), ["read_id", "strand", "nt_length"], "fwd", k)
-    rev = _kmers(r.withColumn("strand", F.lit("-")), ["read_id", "strand", "nt_length"], "rev", k)
-    read_k = fwd.unionByName(rev).withColumnRenamed("pos", "qpos")
-    ref_k = ref_k.select("ref_id", F.col("pos").alias("rpos"), F.col("kmer").alias("rkmer"), "h")
-    # a reference of n bases has at most n k-mers: prove the bound on the raw input
-    if total_at_most(refs, F.length(F.col(ref_seq)), max_broadcast_rows):
-        hits = (read_k.join(F.broadcast(ref_k), "h", "inner")
+    r = r.select("read_id", F.length("fwd").alias("nt_length"), "fwd")
+    read_k = _kmers(r, ["read_id", "nt_length"], "fwd", k).withColumnRenamed("pos", "q")
+    # a reference of n bases has at most n k-mers per strand: prove the bound on the raw input
+    if total_at_most(refs, 2 * F.length(F.col(ref_seq)), max_broadcast_rows):
+        hits = (read_k.join(F.broadcast(ref_both), "h", "inner")
                 .filter(F.col("kmer") == F.col("rkmer")))      # exact: hash hits are re-checked
     else:
-        hits = read_k.join(ref_k.drop("h"), F.col("kmer") == F.col("rkmer"), "inner")
+        hits = read_k.join(ref_both.drop("h"), F.col("kmer") == F.col("rkmer"), "inner")
+    qpos = F.when(F.col("strand") == "+", F.col("q")).otherwise(F.col("nt_length") - k - F.col("q"))
+    hits = hits.withColumn("qpos", qpos)
     votes = (hits.select("read_id", "strand", "nt_length", "ref_id",
                          (F.col("rpos") - F.col("qpos")).alias("diag"), "qpos")
              .groupBy("read_id", "strand", "nt_length", "ref_id", "diag")

@@ -12,10 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, keys: list[str] | tuple = (), min_partitions: int | None = None) -> DataFrame:
+    """Hash-partition on ``keys`` (round-robin without keys) when the input has
+    fewer partitions than the default parallelism.  Hashing on a key avoids the
+    per-partition sort that a deterministic round-robin needs, which matters
+    for wide rows such as whole texts."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
+        return df.repartition(target, *keys) if keys else df.repartition(target)
     return df
 
 

@@ -162,7 +162,7 @@ def _write_discharge_files(spark, orders: DataFrame) -> str:
 
 
 def delimited_project(spark, sf_dir):
-    orders = spread(table(spark, sf_dir, "orders"))
+    orders = spread(table(spark, sf_dir, "orders"), ["o_orderkey"])
     path = _write_discharge_files(spark, orders)
     split = S.read_delimited(spark, path, sep=";", min_fields=2, skip=SKIP_ROWS)
     clean, _ = R.split_rejects(R.parse_discharge(split, mode=C.QUARANTINE))
@@ -188,13 +188,14 @@ def string_cleanup(spark, sf_dir):
 
 def age_at_date(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    items = spread(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_shipdate"))
+    items = spread(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_shipdate"),
+                   ["o_orderkey"])
     ages = orders.join(items, "o_orderkey").select(C.completed_years("o_orderdate", "l_shipdate").alias("age"))
     return ages.groupBy("age").agg(F.count(F.lit(1)).alias("n"))
 
 
 def json_project(spark, sf_dir):
-    ev = spread(table(spark, sf_dir, "events"))
+    ev = spread(table(spark, sf_dir, "events"), ["event_id"])
     k = F.from_json("props", "k BIGINT")["k"]
     rec = F.struct(
         F.col("user_id").cast("double").cast("string").alias("Discharge ID"),
@@ -212,7 +213,7 @@ def json_project(spark, sf_dir):
 
 
 def quarantine(spark, sf_dir):
-    orders = spread(table(spark, sf_dir, "orders"))
+    orders = spread(table(spark, sf_dir, "orders"), ["o_orderkey"])
     split = orders.select(F.array(*_discharge_fields(orders, corrupt=True)).alias("fields"))
     parsed = R.parse_discharge(split, mode=C.QUARANTINE)
     status = F.coalesce(F.col("reject_reason"), F.lit("ok")).alias("status")
@@ -237,7 +238,8 @@ def record_chunks(spark, sf_dir):
 
 
 def record_framing(spark, sf_dir):
-    conv = spread(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    conv = spread(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"),
+                  ["conv_id", "turn"])
     lines = F.array(F.concat(F.lit("@"), F.col("conv_id").cast("string"), F.lit("/"), F.col("turn").cast("string")),
                     F.col("role"), F.lit("+"),
                     F.concat(F.lit("@"), F.length("text").cast("string")))
@@ -345,7 +347,8 @@ def _dna(text_col: str):
 def read_mapping_dna(spark, sf_dir):
     """Documents as DNA cut into 100-base reads, placed on benchmark items as
     DNA references by k-mer voting on both strands."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", _dna("text").alias("dna")))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"]) \
+        .select("doc_id", _dna("text").alias("dna"))
     starts = F.sequence(F.lit(0), F.greatest(F.length("dna") - 1, F.lit(0)), F.lit(READ_LEN))
     reads = (docs.select("doc_id", "dna", F.explode(starts).alias("read_start"))
              .select((F.col("doc_id") * READ_ID_SCALE + F.col("read_start")).alias("read_id"),
