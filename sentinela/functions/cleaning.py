@@ -8,6 +8,8 @@ returns NULL so that the caller can route the row to a rejects frame.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -67,10 +69,42 @@ def parse_int_trunc(c, mode: str = QUARANTINE) -> Column:
     return _checked(parsed, raw, mode, "integer")
 
 
+# Date-time pattern letters understood by ``parse_datetime`` and the digits each takes.
+_DT_TOKENS = [("yyyy", "y", r"(\d{4})"), ("MM", "M", r"(\d{2})"), ("M", "M", r"(\d{1,2})"),
+              ("dd", "d", r"(\d{2})"), ("d", "d", r"(\d{1,2})"), ("HH", "H", r"(\d{2})"),
+              ("H", "H", r"(\d{1,2})"), ("mm", "m", r"(\d{2})"), ("m", "m", r"(\d{1,2})"),
+              ("ss", "s", r"(\d{2})"), ("s", "s", r"(\d{1,2})")]
+
+
+def _datetime_regex(fmt: str) -> tuple[str, list[str]]:
+    out, fields, i = [], [], 0
+    while i < len(fmt):
+        for tok, field, rx in _DT_TOKENS:
+            if fmt.startswith(tok, i):
+                out.append(rx)
+                fields.append(field)
+                i += len(tok)
+                break
+        else:
+            out.append(re.escape(fmt[i]))
+            i += 1
+    return "^" + "".join(out) + "$", fields
+
+
 def parse_datetime(c, fmt: str = RECORD_DATETIME, mode: str = QUARANTINE) -> Column:
-    """``strptime`` to a zone-less timestamp."""
+    """``strptime`` to a zone-less timestamp.
+
+    The fields are matched by a regular expression built from ``fmt`` and
+    assembled with ``try_make_timestamp_ntz``, so the result never passes
+    through the session time zone (no DST gap can shift it) and impossible
+    dates such as Feb 30 give NULL."""
     raw = _c(c)
-    parsed = F.try_to_timestamp(raw, F.lit(fmt)).cast("timestamp_ntz")
+    rx, fields = _datetime_regex(fmt)
+    part = {f: F.regexp_extract(raw, rx, i + 1).try_cast("int") for i, f in enumerate(fields)}
+    zero = F.lit(0)
+    parsed = F.when(raw.rlike(rx), F.try_make_timestamp_ntz(
+        part["y"], part.get("M", F.lit(1)), part.get("d", F.lit(1)),
+        part.get("H", zero), part.get("m", zero), part.get("s", zero)))
     return _checked(parsed, raw, mode, "timestamp")
 
 

@@ -20,8 +20,14 @@ from .partitions import pin
 
 def _numeric_key(df: DataFrame, key: str) -> Column:
     dtype = df.schema[key].dataType
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(key).cast("timestamp")).cast("double")
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(F.col(key)).cast("double")
+    if isinstance(dtype, T.TimestampNTZType):
+        # built from its parts, so the order never depends on the session zone
+        c = F.col(key)
+        secs = F.unix_date(F.to_date(c)) * 86400 + F.hour(c) * 3600 + F.minute(c) * 60
+        return (secs.cast("double") * 1e6
+                + F.extract(F.lit("SECOND"), c).cast("double") * 1e6)
     if isinstance(dtype, T.DateType):
         return F.unix_date(F.col(key)).cast("double")
     return F.col(key).cast("double")

@@ -143,3 +143,14 @@ def test_strip_and_remove(spark):
     df = spark.createDataFrame([("''x'y''",), ('"a?"',)], "s string")
     r = df.select(C.strip_chars("s", "'").alias("a"), C.remove_chars("s", '"?').alias("b")).collect()
     assert r[0].a == "x'y" and r[1].b == "a"
+
+
+def test_datetime_parse_ignores_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2019/3/10 2:30:0",), ("2019/2/30 0:0:0",), ("2019/3/10 2:30:0x",)], "s string")
+        got = [r.t for r in df.select(C.parse_datetime("s").alias("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [dt.datetime(2019, 3, 10, 2, 30), None, None]   # DST gap kept; Feb 30 and junk rejected
