@@ -34,7 +34,9 @@ def _numeric_key(df: DataFrame, key: str) -> Column:
 
 
 def _default_buckets(spark) -> int:
-    return max(4, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # a few ranges per shuffle partition balance the cell windows; the cap keeps
+    # the quantile sketch and the split list small on very wide clusters
+    return min(16_384, max(4, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def row_index(df: DataFrame, order_by: list[str], partition_by: list[str] | tuple = (),

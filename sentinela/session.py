@@ -35,6 +35,24 @@ def build_session(master: str = "local[8]", app: str = "sentinela",
     return spark
 
 
+def scale_conf(shuffle_bytes: int, total_cores: int, partition_bytes: int = 128 << 20,
+               broadcast_bytes: int = 64 << 20) -> dict[str, str]:
+    """Settings sized to a job: ``shuffle_bytes`` is what its widest stage
+    shuffles (after projection and partial aggregation).  Shuffle partitions
+    hold about ``partition_bytes`` each (at least two per core); AQE coalesces
+    smaller ones and splits skewed ones above four times that size."""
+    parts = max(2 * total_cores, -(-shuffle_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+    }
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder all executors see: ``spark.checkpoint.dir``, else a test-only temp dir."""
     sc = spark.sparkContext
