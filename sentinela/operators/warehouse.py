@@ -22,11 +22,19 @@ def append(df: DataFrame, target: str, fmt: str = "parquet") -> None:
 
 
 def write_chunks(df: DataFrame, path: str, partition_cols: list[str], fmt: str = "text",
-                 value: str | None = None) -> None:
-    """One folder per chunk key, e.g. (sample, mate, chunk) (K3)."""
+                 value: str | None = None, max_records_per_file: int | None = None) -> None:
+    """One folder per chunk key, e.g. (sample, mate, chunk), holding ``part-*``
+    files (K3; read back with ``read_parts``).
+
+    No shuffle by the chunk key: every task writes its own rows of each chunk,
+    sorted by the key within the task so that one file is open at a time.  A
+    chunk of hundreds of millions of records is thus written by many tasks,
+    never funnelled through one."""
     out = df.select(*partition_cols, value) if value else df
-    out.repartition(*partition_cols).write.mode("overwrite").partitionBy(*partition_cols) \
-        .format(fmt).save(path)
+    writer = out.sortWithinPartitions(*partition_cols).write.mode("overwrite").partitionBy(*partition_cols)
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    writer.format(fmt).save(path)
 
 
 def create_keyed_table(spark: SparkSession, name: str, df: DataFrame, key: str,
