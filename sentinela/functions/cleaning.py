@@ -76,19 +76,24 @@ _DT_TOKENS = [("yyyy", "y", r"(\d{4})"), ("MM", "M", r"(\d{2})"), ("M", "M", r"(
               ("ss", "s", r"(\d{2})"), ("s", "s", r"(\d{1,2})")]
 
 
-def _datetime_regex(fmt: str) -> tuple[str, list[str]]:
-    out, fields, i = [], [], 0
+def _datetime_regex(fmt: str) -> tuple[str, list[str], bool]:
+    """Anchored regex for ``fmt``, the field letters in order, and whether
+    every two fields are parted by a non-digit literal."""
+    out, fields, i, parted, last_was_field = [], [], 0, True, False
     while i < len(fmt):
         for tok, field, rx in _DT_TOKENS:
             if fmt.startswith(tok, i):
                 out.append(rx)
                 fields.append(field)
+                parted = parted and not last_was_field
+                last_was_field = True
                 i += len(tok)
                 break
         else:
             out.append(re.escape(fmt[i]))
+            last_was_field = last_was_field and fmt[i].isdigit()
             i += 1
-    return "^" + "".join(out) + "$", fields
+    return "^" + "".join(out) + "$", fields, parted
 
 
 def parse_datetime(c, fmt: str = RECORD_DATETIME, mode: str = QUARANTINE) -> Column:
@@ -99,8 +104,12 @@ def parse_datetime(c, fmt: str = RECORD_DATETIME, mode: str = QUARANTINE) -> Col
     through the session time zone (no DST gap can shift it) and impossible
     dates such as Feb 30 give NULL."""
     raw = _c(c)
-    rx, fields = _datetime_regex(fmt)
-    part = {f: F.regexp_extract(raw, rx, i + 1).try_cast("int") for i, f in enumerate(fields)}
+    rx, fields, parted = _datetime_regex(fmt)
+    if parted:   # one split on non-digits gives the fields in order
+        digits = F.split(raw, "[^0-9]+", -1)
+        part = {f: F.get(digits, i).try_cast("int") for i, f in enumerate(fields)}
+    else:
+        part = {f: F.regexp_extract(raw, rx, i + 1).try_cast("int") for i, f in enumerate(fields)}
     zero = F.lit(0)
     parsed = F.when(raw.rlike(rx), F.try_make_timestamp_ntz(
         part["y"], part.get("M", F.lit(1)), part.get("d", F.lit(1)),
