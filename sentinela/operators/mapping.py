@@ -29,7 +29,7 @@ from .partitions import spread
 
 def word_tokens(text) -> F.Column:
     """Lower-case words of ``[a-z]+``, empty pieces removed."""
-    return F.filter(F.split(F.lower(text), "[^a-z]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), "[^a-z]+"), "")
 
 
 def _gram_starts(df: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
