@@ -7,7 +7,7 @@ patient join -> row-count guard.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import lineage_label
@@ -93,3 +93,39 @@ def min_rows_guard(df: DataFrame, keys, min_rows: int = 2,
     when proven small, else shuffled with AQE skew splitting."""
     ok = pin(rows_per_key(df, keys, min_rows).select(*keys))
     return df.join(broadcast_if_small(ok, max_broadcast_rows), list(keys), "left_semi")
+
+
+
+def number_samples(hits: DataFrame, sample: str = "sample") -> DataFrame:
+    """0-based sample numbers in name order, the reference's listing order:
+    ``sample, index``.  One row per sample (a listing-sized table, pinned),
+    numbered by one window over it."""
+    names = pin(hits.select(sample).distinct())
+    return names.select(sample, (F.row_number().over(Window.orderBy(sample)) - 1)
+                        .cast("bigint").alias("index"))
+
+
+def positional_pairs(hits: DataFrame, patients: DataFrame, sample: str = "sample",
+                     offset: int = 0) -> DataFrame:
+    """``sample, record_id`` pairing sample ``i`` with patient ``i + offset``
+    (``patients``: ``record_id, index``); ``offset=-1`` is the reference as written."""
+    numbered = number_samples(hits, sample).withColumn("index", F.col("index") + F.lit(offset))
+    return numbered.join(patients, "index", "inner").select(sample, "record_id")
+
+
+def infection_from_hits(hits: DataFrame, labels: DataFrame, sample_patients: DataFrame,
+                        sample: str = "sample", gene: str = "gene", min_rows: int = 2,
+                        marker: str | None = GENE_MARKER,
+                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """The annotation job for all samples in one plan: mapping hits ->
+    ``infection(sample, bacteria, otu, record_id)``.
+
+    Counts per (sample, gene) after the marker filter, annotated from
+    ``labels`` (gene, bacteria); samples with fewer than ``min_rows`` annotated
+    rows are left out (the reference writes only when ``count() > 1``); each
+    sample gets its patient from ``sample_patients`` (sample, record_id)."""
+    counts = gene_counts(hits.select(sample, gene), keys=[sample], gene=gene, marker=marker)
+    rows = annotate(counts, labels, gene, max_broadcast_rows).select(sample, "bacteria", "otu")
+    kept = min_rows_guard(rows, [sample], min_rows, max_broadcast_rows) if min_rows > 1 else rows
+    pairs = broadcast_if_small(sample_patients.select(sample, "record_id"), max_broadcast_rows)
+    return kept.join(pairs, sample, "inner")

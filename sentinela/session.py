@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # checkpoint files of pinned tables are removed once no plan refers to them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 _LOCAL_ROOT: dict[int, str] = {}
