@@ -18,7 +18,7 @@ Scale notes:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .joins import DEFAULT_BROADCAST_ROWS, total_at_most
@@ -97,14 +97,17 @@ def reverse_complement(seq) -> F.Column:
 def _kmers(df: DataFrame, keys: list[str], seq: str, k: int, base_pos=None,
            limit_col: str | None = None) -> DataFrame:
     """``keys, pos, kmer, h`` for every ACGT-only k-mer of ``seq``; ``h`` is
-    ``xxhash64(kmer)``.  The ACGT test runs once per sequence and per k-mer only
-    for sequences holding other letters (e.g. ``N``)."""
+    ``xxhash64(kmer)``.  The ACGT test runs once per sequence, in a projection
+    below the explode (an expression listed next to a generator is evaluated
+    once per generated row), and per k-mer only for sequences holding other
+    letters (e.g. ``N``)."""
     n = F.length(seq) - k + 1
     if limit_col is not None:
         n = F.least(n, F.col(limit_col))
-    staged = df.select(*keys, seq, *([base_pos] if base_pos is not None else []),
-                       F.col(seq).rlike("^[ACGT]*$").alias("_clean"),
-                       F.explode(F.when(n > 0, F.sequence(F.lit(0), n - 1))).alias("_i"))
+    extra = [base_pos] if base_pos is not None else []
+    checked = df.select(*keys, seq, *extra, n.alias("_n"), F.col(seq).rlike("^[ACGT]*$").alias("_clean"))
+    staged = checked.select(*keys, seq, *extra, "_clean",
+                            F.explode(F.when(F.col("_n") > 0, F.sequence(F.lit(0), F.col("_n") - 1))).alias("_i"))
     kmer = F.substring(F.col(seq), F.col("_i") + 1, k)
     pos = F.col("_i") + (F.col(base_pos) if base_pos is not None else F.lit(0))
     return (staged.select(*keys, pos.cast("bigint").alias("pos"), kmer.alias("kmer"), "_clean")
@@ -170,8 +173,11 @@ def map_reads(reads: DataFrame, refs: DataFrame, k: int = 21, window: int = 100_
              # read position meets at most one reference position
              .agg(F.count(F.lit(1)).alias("seeds"))
              .filter(F.col("seeds") >= min_seeds))
-    w = Window.partitionBy("read_id").orderBy(F.col("seeds").desc(), "ref_id", "strand", "diag")
-    best = votes.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
+    # best placement per read: a plain min aggregate (partial before the
+    # shuffle), so a read with many candidate placements is never sorted whole
+    pick = F.min(F.struct((-F.col("seeds")).alias("ns"), "ref_id", "strand", "diag", "nt_length"))
+    best = votes.groupBy("read_id").agg(pick.alias("_b")).select(
+        "read_id", (-F.col("_b.ns")).alias("seeds"), "_b.ref_id", "_b.strand", "_b.diag", "_b.nt_length")
     kmers_in_read = F.greatest(F.col("nt_length") - k + 1, F.lit(1))
     return best.select(F.col("read_id"), F.col("ref_id").alias("gene"), "strand",
                        F.col("diag").alias("start"), (F.col("diag") + F.col("nt_length")).alias("end"),

@@ -50,8 +50,11 @@ def top_share(arrays: DataFrame, k: int = 10, key: str = "record_id") -> DataFra
     shown slice, rounded to 4 places (L2, A6).  Works on the per-patient row:
     no window, no extra shuffle."""
     top = arrays.select(key, F.slice("labels", 1, k).alias("l"), F.slice("values", 1, k).alias("v"))
+    # the slice total is computed before the explode: an expression listed
+    # next to a generator would be evaluated once per generated row
     total = F.aggregate("v", F.lit(0).cast("bigint"), lambda acc, x: acc + x)
-    staged = top.select(key, total.alias("_t"), F.posexplode(F.arrays_zip("l", "v")).alias("pos", "z"))
+    staged = (top.select(key, "l", "v", total.alias("_t"))
+              .select(key, "_t", F.posexplode(F.arrays_zip("l", "v")).alias("pos", "z")))
     return staged.select(key, "pos", F.col("z.l").alias("bacteria"), F.col("z.v").alias("otu"),
                          share_rounded(F.col("z.v"), F.col("_t")).alias("share"))
 
