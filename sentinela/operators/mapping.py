@@ -28,8 +28,11 @@ from .partitions import spread
 
 
 def word_tokens(text) -> F.Column:
-    """Lower-case words of ``[a-z]+``, empty pieces removed."""
-    return F.array_remove(F.split(F.lower(text), "[^a-z]+"), "")
+    """Lower-case words of ``[a-z]+``, empty pieces removed; a NULL text has no
+    words.  The result is never NULL, so a join on k-grams of it infers no
+    ``isnotnull(tokens)`` filter, which would be pushed below the shuffle and
+    tokenize every text a second time."""
+    return F.coalesce(F.array_remove(F.split(F.lower(text), "[^a-z]+"), ""), F.array().cast("array<string>"))
 
 
 def _gram_starts(df: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
@@ -105,7 +108,10 @@ def _kmers(df: DataFrame, keys: list[str], seq: str, k: int, base_pos=None,
     if limit_col is not None:
         n = F.least(n, F.col(limit_col))
     extra = [base_pos] if base_pos is not None else []
-    checked = df.select(*keys, seq, *extra, n.alias("_n"), F.col(seq).rlike("^[ACGT]*$").alias("_clean"))
+    # a NULL sequence has no k-mers; the non-NULL column keeps the join from
+    # inferring an ``isnotnull(kmer)`` filter that would cut every k-mer twice
+    checked = df.select(*keys, F.coalesce(F.col(seq), F.lit("")).alias(seq), *extra, n.alias("_n"),
+                        F.col(seq).rlike("^[ACGT]*$").alias("_clean"))
     staged = checked.select(*keys, seq, *extra, "_clean",
                             F.explode(F.when(F.col("_n") > 0, F.sequence(F.lit(0), F.col("_n") - 1))).alias("_i"))
     kmer = F.substring(F.col(seq), F.col("_i") + 1, k)

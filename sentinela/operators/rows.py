@@ -68,10 +68,12 @@ def row_index(df: DataFrame, order_by: list[str], partition_by: list[str] | tupl
     splits = [float("-inf")] + bounds + [float("inf")]
     bucketed = Bucketizer(splits=splits, inputCol="_sk", outputCol="_bkt",
                           handleInvalid="keep").transform(keyed)
-    # NULL keys sort first (ascending), so they belong to range 0.
+    # NULL keys sort first (ascending), so they belong to range 0.  The column
+    # is never NULL, so the join below infers no ``isnotnull(_bkt)`` filter
+    # (which would run the bucket search a second time, in the scan).
     bucketed = bucketed.withColumn(
-        "_bkt", F.when(F.col("_sk").isNull() | F.isnan("_sk"), F.lit(0))
-        .otherwise(F.col("_bkt")).cast("int")).drop("_sk")
+        "_bkt", F.coalesce(F.when(F.col("_sk").isNull() | F.isnan("_sk"), F.lit(0))
+                           .otherwise(F.col("_bkt")).cast("int"), F.lit(0))).drop("_sk")
     cells = bucketed.groupBy(*part, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*part).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = cells.select(*part, "_bkt", F.coalesce(F.sum("_n").over(before), F.lit(0))
