@@ -154,3 +154,27 @@ def test_datetime_parse_ignores_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == [dt.datetime(2019, 3, 10, 2, 30), None, None]   # DST gap kept; Feb 30 and junk rejected
+
+
+def _py_age(born: dt.datetime, at: dt.datetime) -> int:
+    return at.year - born.year - ((at.month, at.day) < (born.month, born.day))
+
+
+def test_age_matches_python_and_is_monotone(spark):
+    """C11 over many random (birth, admission) pairs in one job: equal to the
+    Python formula, and never smaller for a later admission."""
+    import random
+    rnd = random.Random(7)
+    base = dt.datetime(1900, 1, 1)
+    rows = []
+    for i in range(3000):
+        born = base + dt.timedelta(days=rnd.randrange(0, 40000), seconds=rnd.randrange(86400))
+        at = born + dt.timedelta(days=rnd.randrange(0, 40000), seconds=rnd.randrange(86400))
+        rows.append((i, born, at, at + dt.timedelta(days=rnd.randrange(0, 800))))
+    df = spark.createDataFrame(rows, "i int, born timestamp_ntz, at timestamp_ntz, later timestamp_ntz")
+    got = df.select("i", C.completed_years("born", "at").alias("a"),
+                    C.completed_years("born", "later").alias("b")).collect()
+    by_id = {r.i: r for r in got}
+    for i, born, at, later in rows:
+        assert by_id[i].a == _py_age(born, at), (born, at)
+        assert by_id[i].b >= by_id[i].a
