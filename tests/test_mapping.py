@@ -87,3 +87,61 @@ def test_shingles_repeat_counted_once(spark):
     assert [(x.doc_id, x.item_id, x.seeds) for x in r] == [(1, 7, 1)]
     assert M.shingles(docs, "doc_id", "text", 8).count() == 40 - 7
     assert M.shingles(docs, "doc_id", "text", 8).filter(F.col("shingle") == "a b c d e f g h").count() == 5
+
+
+def _brute_map(reads, refs, k, min_seeds):
+    """Seed-and-vote by brute force: every read k-mer against every reference
+    position, both strands; best by most seeds, then reference, strand, diagonal."""
+    ok = set("ACGT")
+    out = {}
+    for rid, seq in reads:
+        n = len(seq)
+        votes = {}
+        for q in range(n - k + 1):
+            km = seq[q:q + k]
+            if set(km) - ok:
+                continue
+            for ref, g in refs:
+                for p in range(len(g) - k + 1):
+                    rk = g[p:p + k]
+                    if set(rk) - ok:
+                        continue
+                    if km == rk:
+                        votes[(ref, "+", p - q)] = votes.get((ref, "+", p - q), 0) + 1
+                    if km == _rc(rk):
+                        d = p - (n - k - q)
+                        votes[(ref, "-", d)] = votes.get((ref, "-", d), 0) + 1
+        cands = [(-s, ref, strand, d) for (ref, strand, d), s in votes.items() if s >= min_seeds]
+        if cands:
+            ns, ref, strand, d = min(cands)
+            out[rid] = (ref, strand, d, -ns)
+    return out
+
+
+def test_map_reads_equals_brute_force_with_repeats_and_n(spark):
+    rnd = random.Random(11)
+    rep = "".join(rnd.choice("ACGT") for _ in range(40))        # shared by two genomes
+    g = ["".join(rnd.choice("ACGT") for _ in range(500)) for _ in range(3)]
+    g[0] = g[0][:100] + rep + g[0][140:]
+    g[2] = g[2][:300] + _rc(rep) + g[2][340:] + "ACGTACGTACGT" * 3
+    g[1] = g[1][:250] + "NNNNN" + g[1][255:]
+    refs = [(f"NC_{i}", s) for i, s in enumerate(g)]
+    reads = []
+    for i in range(40):
+        src = rnd.randrange(3)
+        a = rnd.randrange(0, 440)
+        r = list(g[src][a:a + 60])
+        for _ in range(rnd.randrange(0, 4)):                  # a few substitutions
+            r[rnd.randrange(60)] = rnd.choice("ACGTN")
+        r = "".join(r)
+        reads.append((f"r{i}", _rc(r) if rnd.random() < 0.4 else r))
+    reads.append(("rep", rep + "".join(rnd.choice("ACGT") for _ in range(20))))
+    reads.append(("noise", "".join(rnd.choice("ACGT") for _ in range(60))))
+    want = _brute_map(reads, refs, k=8, min_seeds=2)
+    rd = spark.createDataFrame(reads, "read_id string, seq string")
+    rf = spark.createDataFrame(refs, "ref_id string, seq string")
+    for bound in (10**6, 0):                                   # broadcast path, shuffle path
+        got = {r.read_id: (r.gene, r.strand, r.start, r.seeds)
+               for r in M.map_reads(rd, rf, k=8, window=150, min_seeds=2,
+                                    max_broadcast_rows=bound).collect()}
+        assert got == want, bound
