@@ -84,6 +84,21 @@ def row_index(df: DataFrame, order_by: list[str], partition_by: list[str] | tupl
             .drop("_bkt", "_off"))
 
 
+def pin_split_geometry(spark) -> None:
+    """Keep file splits the same for the rest of the session.
+
+    Spark sizes file splits from the current default parallelism unless
+    ``spark.sql.files.minPartitionNum`` is set.  ``line_index`` reads the files
+    twice and joins the passes on (file, split start); if executors were lost
+    or added between the passes, the splits, and with them the ids, could
+    differ, and lines would be dropped.  When the setting is unset it is
+    fixed to today's parallelism, which is what Spark would use anyway."""
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        now = (spark.conf.get("spark.sql.leafNodeDefaultParallelism", None)
+               or spark.sparkContext.defaultParallelism)
+        spark.conf.set("spark.sql.files.minPartitionNum", str(now))
+
+
 def line_index(lines: DataFrame, name: str = "idx", per_file: bool = True,
                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """0-based line number within its file for a text scan (W1 over files).
@@ -99,6 +114,7 @@ def line_index(lines: DataFrame, name: str = "idx", per_file: bool = True,
     listing; the running count then spans the small per-split table only.
     """
     shared_root(lines.sparkSession)
+    pin_split_geometry(lines.sparkSession)
     with_id = lines.withColumn("_mid", F.monotonically_increasing_id())
     per_split = with_id.groupBy("file", "block").agg(F.min("_mid").alias("_first"),
                                                      F.count(F.lit(1)).alias("_n"))

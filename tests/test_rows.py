@@ -125,3 +125,25 @@ def test_skip_leading_and_first_rows(spark):
     assert kept.filter(F.col("id") < 12).count() == 0
     first = W.first_rows(df, 2, ["g"], ["id"]).orderBy("id").collect()
     assert [r.id for r in first] == list(range(8))
+
+
+def test_line_index_survives_a_parallelism_change_between_passes(spark, tmp_path, monkeypatch):
+    """Split sizes follow the session's parallelism; executors lost between
+    the two passes of ``line_index`` must not change the numbering."""
+    for f in range(2):
+        write_text(str(tmp_path / "big" / f"part-{f}.txt"), [f"{f}:{i}" for i in range(20000)])
+    keys = ("spark.sql.files.minPartitionNum", "spark.sql.leafNodeDefaultParallelism",
+            "spark.sql.files.openCostInBytes")
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "2")
+        numbered = W.line_index(S.read_lines(spark, str(tmp_path / "big")))   # first pass runs here
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "7")           # executors come and go
+        got = {(r.file.rsplit("/", 1)[-1], r.value): r.idx for r in numbered.collect()}
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    want = {(f"part-{f}.txt", f"{f}:{i}"): i for f in range(2) for i in range(20000)}
+    assert got == want
