@@ -178,3 +178,22 @@ def test_age_matches_python_and_is_monotone(spark):
     for i, born, at, later in rows:
         assert by_id[i].a == _py_age(born, at), (born, at)
         assert by_id[i].b >= by_id[i].a
+
+
+def test_datetime_parse_matches_strptime(spark):
+    """The record layout parsed as Python's strptime('%Y/%m/%d %H:%M:%S') does:
+    one- or two-digit fields, calendar checks, no second 60, no hour 24."""
+    vals = ["2020/1/2 3:4:5", "2020/01/02 03:04:05", "2000/2/29 0:0:0", "2001/2/29 0:0:0",
+            "2020/13/1 0:0:0", "2020/1/1 24:0:0", "2020/1/1 23:59:60", "2020/1/1 23:60:0",
+            "2020/3/8 2:30:0", "2020/1/1", "x", "", " 2020/1/1 1:1:1", "2020/1/1 1:1:1 ",
+            "99999/1/1 1:1:1", "2020-1-1 1:1:1", "1/1/2020 1:1:1", "2020/001/1 1:1:1", "0001/1/1 0:0:0"]
+
+    def py(v):
+        try:
+            return dt.datetime.strptime(v, "%Y/%m/%d %H:%M:%S")
+        except ValueError:
+            return None
+
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    got = {r.s: r.t for r in df.select("s", C.parse_datetime("s").alias("t")).collect()}
+    assert got == {v: py(v) for v in vals}
