@@ -78,7 +78,11 @@ def row_index(df: DataFrame, order_by: list[str], partition_by: list[str] | tupl
     before = Window.partitionBy(*part).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = cells.select(*part, "_bkt", F.coalesce(F.sum("_n").over(before), F.lit(0))
                            .cast("bigint").alias("_off")).checkpoint(eager=True)
-    joined = bucketed.join(broadcast_if_small(offsets, max_broadcast_rows), [*part, "_bkt"], "inner")
+    # without groups the table has at most one row per range (nb <= 16,384):
+    # bounded by construction, so no counting job is needed to broadcast it
+    side = F.broadcast(offsets) if not part and nb <= max_broadcast_rows \
+        else broadcast_if_small(offsets, max_broadcast_rows)
+    joined = bucketed.join(side, [*part, "_bkt"], "inner")
     cell = Window.partitionBy(*part, "_bkt").orderBy(*order_by)
     return (joined.withColumn(name, (F.col("_off") + F.row_number().over(cell) - 1).cast("bigint"))
             .drop("_bkt", "_off"))
