@@ -56,16 +56,28 @@ def _checked(parsed: Column, raw: Column, mode: str, what: str) -> Column:
     return parsed
 
 
+# Number syntax of Python's float(): digits may be grouped by single underscores.
+_DIGITS = r"\d+(_\d+)*"
+_NUMBER = (rf"^\s*[+-]?(({_DIGITS}\.?({_DIGITS})?|\.{_DIGITS})([eE][+-]?{_DIGITS})?"
+           r"|(?i:inf|infinity|nan))\s*$")
+
+
+def _py_float(raw: Column) -> Column:
+    """``float(s)`` where Python takes the text, else NULL (Spark's cast also takes ``1.0d``)."""
+    text = raw.cast("string")
+    return F.when(text.rlike(_NUMBER), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
+
+
 def parse_double(c, mode: str = QUARANTINE) -> Column:
     """Python ``float(s)``."""
     raw = _c(c)
-    return _checked(raw.try_cast("double"), raw, mode, "number")
+    return _checked(_py_float(raw), raw, mode, "number")
 
 
 def parse_int_trunc(c, mode: str = QUARANTINE) -> Column:
     """Python ``int(float(s))``: parse, then truncate toward zero."""
     raw = _c(c)
-    parsed = raw.try_cast("double").try_cast("bigint")
+    parsed = _py_float(raw).try_cast("bigint")
     return _checked(parsed, raw, mode, "integer")
 
 
@@ -179,8 +191,10 @@ def lineage_label(lineage) -> Column:
 
 
 def level_band(value, n_bands: int = 9) -> tuple[Column, Column]:
-    """Band number ``floor(v)`` clamped to ``0..n_bands-1`` and its label ``'b-(b+1)'``."""
-    band = F.least(F.greatest(F.floor(_c(value)), F.lit(0)), F.lit(n_bands - 1)).cast("int")
+    """Band number ``floor(v)`` clamped to ``0..n_bands-1`` and its label ``'b-(b+1)'``
+    (C16).  NULL and NaN have no band (NULL, NULL)."""
+    v = _c(value)
+    band = F.when(v.isNotNull() & ~F.isnan(v.cast("double")), F.least(F.greatest(F.floor(_c(value)), F.lit(0)), F.lit(n_bands - 1)).cast("int"))
     label = F.concat(band.cast("string"), F.lit("-"), (band + 1).cast("string"))
     return band, label
 
@@ -197,8 +211,9 @@ def split_long_list(c, sep: str = ",") -> Column:
 
 def share_rounded(part, total, digits: int = 4) -> Column:
     """``round(100 * part / total, digits)`` with exact half-up rounding done in
-    integers, so the value does not depend on floating-point evaluation order."""
+    whole DECIMAL numbers (any BIGINT counts), so the value does not depend on floating-point evaluation order."""
     scale = 10 ** (digits + 2)
-    num = _c(part).cast("bigint") * F.lit(2 * scale) + _c(total).cast("bigint")
-    den = _c(total).cast("bigint") * F.lit(2)
-    return F.when(_c(total) > 0, F.floor(num / den).cast("bigint") / F.lit(float(10 ** digits)))
+    whole = _c(total).cast("decimal(20,0)")
+    num = _c(part).cast("decimal(20,0)") * F.lit(2 * scale).cast("decimal(12,0)") + whole
+    return F.when(_c(total) > 0, F.call_function("div", num, whole * F.lit(2).cast("decimal(1,0)"))
+                  / F.lit(float(10 ** digits)))

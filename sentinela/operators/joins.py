@@ -11,10 +11,11 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  Every partition stops
-    after ``max_rows + 1`` rows; meant for dimension tables and small pinned
-    tables, not for wide derived ones (see ``total_at_most``)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.  A plain count: one number
+    per partition is shuffled (from the footers of a Parquet scan); meant for
+    dimension tables and pinned tables, not for wide derived ones (see
+    ``total_at_most``)."""
+    return df.count() <= max_rows
 
 
 def total_at_most(df: DataFrame, measure, max_total: int) -> bool:
@@ -34,7 +35,9 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 
 
 def new_items(candidates: DataFrame, done: DataFrame, on, how_done=None) -> DataFrame:
-    """Rows of ``candidates`` whose key is absent from ``done`` (J4, left anti join)."""
+    """Rows of ``candidates`` whose key is absent from ``done`` (J4, left anti join).
+    ``done`` is made distinct first (partial), so a hot key there is one row per task."""
     if how_done is not None:
         return candidates.join(done, how_done, "left_anti")
-    return candidates.join(done, on, "left_anti")
+    keys = [on] if isinstance(on, str) else list(on)
+    return candidates.join(done.select(*keys).distinct(), keys, "left_anti")

@@ -28,11 +28,11 @@ from .partitions import spread
 
 
 def word_tokens(text) -> F.Column:
-    """Lower-case words of ``[a-z]+``, empty pieces removed; a NULL text has no
+    """Lower-case words of letters of any script, empty pieces removed; a NULL text has no
     words.  The result is never NULL, so a join on k-grams of it infers no
     ``isnotnull(tokens)`` filter, which would be pushed below the shuffle and
     tokenize every text a second time."""
-    return F.coalesce(F.array_remove(F.split(F.lower(text), "[^a-z]+"), ""), F.array().cast("array<string>"))
+    return F.coalesce(F.array_remove(F.split(F.lower(text), r"[^\p{L}]+"), ""), F.array().cast("array<string>"))
 
 
 def _gram_starts(df: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
@@ -134,11 +134,15 @@ def reference_windows(refs: DataFrame, ref_id: str = "ref_id", seq: str = "seq",
 
 
 def map_reads(reads: DataFrame, refs: DataFrame, k: int = 21, window: int = 100_000,
-              min_seeds: int = 2, read_id: str = "read_id", read_seq: str = "seq",
+              min_seeds: int = 2, read_id: str | list[str] = "read_id", read_seq: str = "seq",
               ref_id: str = "ref_id", ref_seq: str = "seq",
               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Place each read on a reference (both strands) by k-mer voting.
 
+    ``read_id`` is one column (returned as ``read_id``) or a list of columns that
+    name a read together and are returned as they are, such as sample, mate and
+    id.  Repeated references count once.
+
     Returns ``read_id, gene, strand, start, end, nt_length, seeds, identity``
     where ``start`` is the 0-based reference position of read base 0 on the
     winning diagonal, ``seeds`` the number of read k-mers on that diagonal and
@@ -148,6 +152,10 @@ def map_reads(reads: DataFrame, refs: DataFrame, k: int = 21, window: int = 100_
     """
     if k < 1:
         raise ValueError("k must be positive")
+    # one id, or several columns that together name a read (sample, mate, ...)
+    keys = ["read_id"] if isinstance(read_id, str) else list(read_id)
+    named = [F.col(read_id).alias("read_id")] if isinstance(read_id, str) else [F.col(c) for c in keys]
+    refs = refs.select(ref_id, ref_seq).distinct()
     ref_k = _kmers(reference_windows(refs.select(F.col(ref_id).alias("ref_id"), F.upper(F.col(ref_seq)).alias("seq")),
                                      "ref_id", "seq", window, k),
                    ["ref_id"], "wseq", k, base_pos="wstart", limit_col="_wn")
@@ -161,9 +169,9 @@ def map_reads(reads: DataFrame, refs: DataFrame, k: int = 21, window: int = 100_
                           reverse_complement(F.col("kmer")).alias("rkmer"))
              .withColumn("h", F.xxhash64("rkmer")))
     ref_both = plus.unionByName(minus)
-    r = reads.select(F.col(read_id).alias("read_id"), F.upper(F.col(read_seq)).alias("fwd"))
-    r = r.select("read_id", F.length("fwd").alias("nt_length"), "fwd")
-    read_k = _kmers(r, ["read_id", "nt_length"], "fwd", k).withColumnRenamed("pos", "q")
+    r = reads.select(*named, F.upper(F.col(read_seq)).alias("fwd"))
+    r = r.select(*keys, F.length("fwd").alias("nt_length"), "fwd")
+    read_k = _kmers(r, [*keys, "nt_length"], "fwd", k).withColumnRenamed("pos", "q")
     # a reference of n bases has at most n k-mers per strand: prove the bound on the raw input
     if total_at_most(refs, 2 * F.length(F.col(ref_seq)), max_broadcast_rows):
         hits = (read_k.join(F.broadcast(ref_both), "h", "inner")
@@ -172,9 +180,9 @@ def map_reads(reads: DataFrame, refs: DataFrame, k: int = 21, window: int = 100_
         hits = read_k.join(ref_both.drop("h"), F.col("kmer") == F.col("rkmer"), "inner")
     qpos = F.when(F.col("strand") == "+", F.col("q")).otherwise(F.col("nt_length") - k - F.col("q"))
     hits = hits.withColumn("qpos", qpos)
-    votes = (hits.select("read_id", "strand", "nt_length", "ref_id",
+    votes = (hits.select(*keys, "strand", "nt_length", "ref_id",
                          (F.col("rpos") - F.col("qpos")).alias("diag"), "qpos")
-             .groupBy("read_id", "strand", "nt_length", "ref_id", "diag")
+             .groupBy(*keys, "strand", "nt_length", "ref_id", "diag")
              # one row per (read k-mer, reference k-mer): on a fixed diagonal each
              # read position meets at most one reference position
              .agg(F.count(F.lit(1)).alias("seeds"))
@@ -182,10 +190,10 @@ def map_reads(reads: DataFrame, refs: DataFrame, k: int = 21, window: int = 100_
     # best placement per read: a plain min aggregate (partial before the
     # shuffle), so a read with many candidate placements is never sorted whole
     pick = F.min(F.struct((-F.col("seeds")).alias("ns"), "ref_id", "strand", "diag", "nt_length"))
-    best = votes.groupBy("read_id").agg(pick.alias("_b")).select(
-        "read_id", (-F.col("_b.ns")).alias("seeds"), "_b.ref_id", "_b.strand", "_b.diag", "_b.nt_length")
+    best = votes.groupBy(*keys).agg(pick.alias("_b")).select(
+        *keys, (-F.col("_b.ns")).alias("seeds"), "_b.ref_id", "_b.strand", "_b.diag", "_b.nt_length")
     kmers_in_read = F.greatest(F.col("nt_length") - k + 1, F.lit(1))
-    return best.select(F.col("read_id"), F.col("ref_id").alias("gene"), "strand",
+    return best.select(*keys, F.col("ref_id").alias("gene"), "strand",
                        F.col("diag").alias("start"), (F.col("diag") + F.col("nt_length")).alias("end"),
                        "nt_length", "seeds",
                        F.round(F.col("seeds") / kmers_in_read, 6).alias("identity"))

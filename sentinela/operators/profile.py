@@ -60,7 +60,8 @@ def top_share(arrays: DataFrame, k: int = 10, key: str = "record_id") -> DataFra
 
 
 def level_bands(df: DataFrame, value: str, n_bands: int = 9) -> DataFrame:
-    """Rows per level band ``floor(value)`` clamped to ``0..n_bands-1``."""
+    """Rows per level band ``floor(value)`` clamped to ``0..n_bands-1`` (C16);
+    rows without a number are in no band."""
     band, label = level_band(F.col(value), n_bands)
-    return (df.select(band.alias("band"), label.alias("label"))
+    return (df.select(band.alias("band"), label.alias("label")).filter("band IS NOT NULL")
             .groupBy("band", "label").agg(F.count(F.lit(1)).alias("n")))

@@ -8,6 +8,9 @@ Neither method routes all rows, or all rows of one group, through one task.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,11 +71,12 @@ def row_index(df: DataFrame, order_by: list[str], partition_by: list[str] | tupl
     splits = [float("-inf")] + bounds + [float("inf")]
     bucketed = Bucketizer(splits=splits, inputCol="_sk", outputCol="_bkt",
                           handleInvalid="keep").transform(keyed)
-    # NULL keys sort first (ascending), so they belong to range 0.  The column
+    # NULL keys sort first (ascending), so they belong to range 0; NaN sorts last
+    # and the bucketizer gives it a range of its own after all others.  The column
     # is never NULL, so the join below infers no ``isnotnull(_bkt)`` filter
     # (which would run the bucket search a second time, in the scan).
     bucketed = bucketed.withColumn(
-        "_bkt", F.coalesce(F.when(F.col("_sk").isNull() | F.isnan("_sk"), F.lit(0))
+        "_bkt", F.coalesce(F.when(F.col("_sk").isNull(), F.lit(0))
                            .otherwise(F.col("_bkt")).cast("int"), F.lit(0))).drop("_sk")
     cells = bucketed.groupBy(*part, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*part).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
@@ -88,21 +92,6 @@ def row_index(df: DataFrame, order_by: list[str], partition_by: list[str] | tupl
             .drop("_bkt", "_off"))
 
 
-def pin_split_geometry(spark) -> None:
-    """Keep file splits the same for the rest of the session.
-
-    Spark sizes file splits from the current default parallelism unless
-    ``spark.sql.files.minPartitionNum`` is set.  ``line_index`` reads the files
-    twice and joins the passes on (file, split start); if executors were lost
-    or added between the passes, the splits, and with them the ids, could
-    differ, and lines would be dropped.  When the setting is unset it is
-    fixed to today's parallelism, which is what Spark would use anyway."""
-    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
-        now = (spark.conf.get("spark.sql.leafNodeDefaultParallelism", None)
-               or spark.sparkContext.defaultParallelism)
-        spark.conf.set("spark.sql.files.minPartitionNum", str(now))
-
-
 def line_index(lines: DataFrame, name: str = "idx", per_file: bool = True,
                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """0-based line number within its file for a text scan (W1 over files).
@@ -113,23 +102,29 @@ def line_index(lines: DataFrame, name: str = "idx", per_file: bool = True,
     ``monotonically_increasing_id`` counts up by one, so the position is that id
     minus the split's first id plus the line count of the file's earlier splits.
     Two passes over the files; only the per-split table (one row per split) is
-    materialised, never the lines.  ``per_file=False`` numbers all lines of all
+    materialised, never the lines.  If the files are split differently in the
+    second pass (other settings or parallelism), the query raises; no line is
+    ever dropped or numbered wrongly.
+    ``per_file=False`` numbers all lines of all
     files in (file path, offset) order, like ``zipWithIndex`` over a sorted
     listing; the running count then spans the small per-split table only.
     """
     shared_root(lines.sparkSession)
-    pin_split_geometry(lines.sparkSession)
     with_id = lines.withColumn("_mid", F.monotonically_increasing_id())
     per_split = with_id.groupBy("file", "block").agg(F.min("_mid").alias("_first"),
                                                      F.count(F.lit(1)).alias("_n"))
     earlier = (Window.partitionBy("file").orderBy("block") if per_file
                else Window.orderBy("file", "block")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_split.select("file", "block", "_first",
+    offsets = per_split.select("file", "block", "_first", "_n",
                                F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off")
                                ).checkpoint(eager=True)
-    joined = with_id.join(broadcast_if_small(offsets, max_broadcast_rows), ["file", "block"], "inner")
-    return (joined.withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_first")).cast("bigint"))
-            .drop("_mid", "_first", "_off"))
+    joined = with_id.join(broadcast_if_small(offsets, max_broadcast_rows), ["file", "block"], "left")
+    # a split that moved or changed its length puts at least one line outside 0.._n-1
+    within = F.col("_mid") - F.col("_first")
+    checked = F.when((within >= 0) & (within < F.col("_n")), F.col("_off") + within).otherwise(F.raise_error(F.concat(
+        F.lit("line_index: file splits changed between its two passes at "), F.col("file"), F.lit(":"),
+        F.col("block").cast("string"))).cast("bigint"))
+    return (joined.withColumn(name, checked.cast("bigint")).drop("_mid", "_first", "_off", "_n"))
 
 
 def first_rows(df: DataFrame, k: int, partition_by: list[str], order_by: list[str]) -> DataFrame:
@@ -147,13 +142,16 @@ def skip_leading(df: DataFrame, k: int, partition_by: list[str], order_by: list[
                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Drop the first ``k`` rows of each group (P5 for keyed tables).
 
-    The dropped rows are found with ``first_rows`` (k per group) and removed by
-    an anti join on ``row_key``, so no group is ever sorted whole.
+    The dropped rows are found with ``first_rows`` (k per group) and removed by a
+    NULL-safe anti join on the group and ``row_key`` (``order_by`` unless given,
+    which with the group must tell rows apart), so no group is ever sorted whole.
     """
-    key = row_key or order_by
-    cols = list(dict.fromkeys([*partition_by, *order_by, *key]))
-    head = pin(first_rows(df.select(*cols), k, partition_by, order_by).select(*key))
-    return df.join(broadcast_if_small(head, max_broadcast_rows), key, "left_anti")
+    key = list(dict.fromkeys([*partition_by, *(row_key or order_by)]))
+    cols = list(dict.fromkeys([*key, *order_by]))
+    head = pin(first_rows(df.select(*cols), k, partition_by, order_by)
+               .select(*[F.col(c).alias(f"_skip_{c}") for c in key]))
+    same = reduce(and_, [df[c].eqNullSafe(F.col(f"_skip_{c}")) for c in key])
+    return df.join(broadcast_if_small(head, max_broadcast_rows), same, "left_anti")
 
 
 def skip_leading_lines(lines: DataFrame, k: int, idx: str = "idx") -> DataFrame:

@@ -63,6 +63,21 @@ def create_table_as(spark: SparkSession, name: str, select_sql: str,
     spark.sql(f"CREATE TABLE {name} USING parquet{loc} AS {select_sql}")
 
 
+def recast(spark: SparkSession, name: str, types: dict[str, str], location: str | None = None) -> None:
+    """Replace table ``name`` by one whose columns named in ``types`` have those
+    types (T3 to T5): renamed aside, created anew from a typed select in the same
+    column order, and the old one dropped.  A column that ``types`` names and the
+    table lacks raises."""
+    columns = spark.table(name).columns
+    if missing := set(types) - set(columns):
+        raise ValueError(f"no such columns in {name}: {sorted(missing)}")
+    aside = f"{name}_untyped"
+    rename_table(spark, name, aside)
+    chosen = ", ".join(f"CAST(`{c}` AS {types[c]}) AS `{c}`" if c in types else f"`{c}`" for c in columns)
+    create_table_as(spark, name, f"SELECT {chosen} FROM {aside}", location)
+    drop_table(spark, aside)
+
+
 def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")  # T5
 

@@ -298,25 +298,21 @@ def patient_report(spark, sf_dir):
 
 
 def ctas_cast(spark, sf_dir):
+    """A table made as text, then replaced by one with typed columns."""
     tag = scratch_path(spark, "t").rsplit("-", 1)[1]
-    src_view = f"orders_src_{tag}"
-    name, tmp = f"pharmacy_{tag}", f"pharmacy_tmp_{tag}"
-    table(spark, sf_dir, "orders").createOrReplaceTempView(src_view)
+    view, name = f"orders_src_{tag}", f"services_{tag}"
+    table(spark, sf_dir, "orders").createOrReplaceTempView(view)
     H.create_table_as(spark, name,
-                      f"SELECT CAST(o_orderkey AS STRING) AS record_id, "
+                      f"SELECT string(o_orderkey) AS record_id, o_orderstatus AS drug_class, "
                       f"date_format(o_orderdate, '{C.SERVICE_DATETIME}') AS date_of_service, "
-                      f"o_orderstatus AS drug_class, o_totalprice AS adj_pharmacy_charges FROM {src_view}",
+                      f"string(o_totalprice) AS adj_pharmacy_charges FROM {view}",
                       location=scratch_path(spark, "ctas_text"))
-    H.rename_table(spark, name, tmp)
-    final_path = scratch_path(spark, "ctas_typed")
-    H.create_table_as(spark, name,
-                      "SELECT adj_pharmacy_charges, CAST(date_of_service AS TIMESTAMP_NTZ) AS date_of_service, "
-                      f"drug_class, CAST(record_id AS BIGINT) AS record_id FROM {tmp}",
-                      location=final_path)
-    H.drop_table(spark, tmp)
+    typed = scratch_path(spark, "ctas_typed")
+    H.recast(spark, name, {"record_id": "BIGINT", "date_of_service": "TIMESTAMP_NTZ",
+                           "adj_pharmacy_charges": "DOUBLE"}, location=typed)
     H.drop_table(spark, name)
-    spark.catalog.dropTempView(src_view)
-    return spark.read.parquet(final_path)
+    spark.catalog.dropTempView(view)
+    return spark.read.parquet(typed)
 
 
 def key_check(spark, sf_dir):
@@ -332,16 +328,16 @@ def read_mapping(spark, sf_dir):
     return M.best_reference(seeds, "doc_id", "item_id")
 
 
-# Fixed value: letter-to-base map used to derive DNA from the text tables.
-LETTERS = "abcdefghijklmnopqrstuvwxyz"
-BASES = "ACGTACGTACGTACGTACGTACGTAC"
+# Letter-to-base map used to derive DNA from the text tables: a-z and the
+# accented Latin-1 letters, in code point order, stand for A, C, G, T in turn.
+LETTERS = "".join(chr(c) for c in [*range(ord("a"), ord("z") + 1), *range(0xDF, 0xF7), *range(0xF8, 0x100)])
+BASES = "".join("ACGT"[i % 4] for i in range(len(LETTERS)))
 READ_LEN = 100
 KMER = 16
-READ_ID_SCALE = 10_000_000  # read id = doc_id * scale + read start
 
 
 def _dna(text_col: str):
-    return F.translate(F.regexp_replace(F.lower(text_col), "[^a-z]", ""), LETTERS, BASES)
+    return F.translate(F.regexp_replace(F.lower(text_col), "[^a-zß-öø-ÿ]", ""), LETTERS, BASES)
 
 
 def read_mapping_dna(spark, sf_dir):
@@ -351,12 +347,11 @@ def read_mapping_dna(spark, sf_dir):
         .select("doc_id", _dna("text").alias("dna"))
     starts = F.sequence(F.lit(0), F.greatest(F.length("dna") - 1, F.lit(0)), F.lit(READ_LEN))
     reads = (docs.select("doc_id", "dna", F.explode(starts).alias("read_start"))
-             .select((F.col("doc_id") * READ_ID_SCALE + F.col("read_start")).alias("read_id"),
+             .select("doc_id", "read_start",
                      F.substring(F.col("dna"), F.col("read_start") + 1, READ_LEN).alias("seq")))
     refs = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("ref_id"), _dna("text").alias("seq"))
-    placed = M.map_reads(reads, refs, k=KMER, window=10_000, min_seeds=2)
-    return placed.select(F.floor(F.col("read_id") / READ_ID_SCALE).cast("bigint").alias("doc_id"),
-                         F.pmod(F.col("read_id"), F.lit(READ_ID_SCALE)).alias("read_start"),
+    placed = M.map_reads(reads, refs, k=KMER, window=10_000, min_seeds=2, read_id=["doc_id", "read_start"])
+    return placed.select("doc_id", F.col("read_start").cast("bigint").alias("read_start"),
                          F.col("gene").alias("item_id"), "strand", "start", "nt_length", "seeds")
 
 
@@ -371,12 +366,13 @@ def incremental_load(spark, sf_dir):
         load_new_files(spark, f"{inbox}/*", sink, f"{root}/checkpoint", ev.schema,
                        transform=lambda s: s.select(F.col("user_id").alias("record_id"),
                                                     F.col("event_type").alias("bacteria")),
-                       archive_dir=f"{root}/archive", timeout_s=600)
+                       archive_dir=f"{root}/archive")
 
     ev.filter(F.col("event_type").isin("click", "view")).write.parquet(f"{inbox}/part1")
     ev.filter(F.col("event_type").isin("signup", "error")).write.parquet(f"{inbox}/part2")
     load()
-    ev.filter(~F.col("event_type").isin("click", "view", "signup", "error")).write.parquet(f"{inbox}/part3")
+    named = F.coalesce(F.col("event_type").isin("click", "view", "signup", "error"), F.lit(False))
+    ev.filter(~named).write.parquet(f"{inbox}/part3")
     load()
     load()
     loaded = read_loaded(spark, sink)

@@ -5,13 +5,14 @@ Written from the semantics, not from the Spark code: windows with
 ``NOT EXISTS``, ages from ``date_diff`` and ``strftime``, and so on.
 """
 
-INF = ("inf AS (SELECT user_id AS record_id, event_type AS bacteria, count(*) AS otu "
+INF = ("inf AS (SELECT user_id AS record_id, event_type AS bacteria, count(event_type) AS otu "
        "FROM events GROUP BY user_id, event_type)")
 
-_DNA = ("translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), "
-        "'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC')")
+_LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+_DNA = ("translate(regexp_replace(lower(text), '[^a-zß-öø-ÿ]', '', 'g'), "
+        f"'{_LETTERS}', '{('ACGT' * 20)[:len(_LETTERS)]}')")
 
-_WORDS = "list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '')"
+_WORDS = "list_filter(regexp_split_to_array(lower(text), '[^\\p{L}]+'), lambda x: x <> '')"
 
 ORACLE_SQL = {
     "gene_abundance": """
@@ -57,7 +58,7 @@ ORACLE_SQL = {
         p AS (SELECT c_custkey AS record_id, row_number() OVER (ORDER BY c_custkey) - 1 AS idx FROM customer)
         SELECT i.bacteria, i.otu, p.record_id FROM inf i JOIN p ON i.record_id = p.idx""",
     "typed_union": """
-        SELECT user_id AS "index", event_type AS bacteria, count(*) AS otu
+        SELECT user_id AS "index", event_type AS bacteria, count(event_type) AS otu
         FROM events GROUP BY user_id, event_type""",
     "sink_append": f"""
         WITH {INF}
@@ -130,7 +131,8 @@ ORACLE_SQL = {
                    row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
             FROM orders) WHERE rn = 1""",
     "level_band": """
-        WITH b AS (SELECT CAST(least(greatest(floor(p_size / 5.0), 0), 8) AS INTEGER) AS band FROM part)
+        WITH b AS (SELECT CAST(least(greatest(floor(p_size / 5.0), 0), 8) AS INTEGER) AS band FROM part
+                   WHERE p_size IS NOT NULL)
         SELECT band, CAST(band AS VARCHAR) || '-' || CAST(band + 1 AS VARCHAR) AS label, count(*) AS n
         FROM b GROUP BY band""",
     "patient_report": f"""
@@ -146,7 +148,7 @@ ORACLE_SQL = {
         LEFT JOIN p ON p.record_id = c.c_custkey""",
     "ctas_cast": """
         SELECT o_totalprice AS adj_pharmacy_charges,
-               CAST(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS date_of_service,
+               date_trunc('second', CAST(o_orderdate AS TIMESTAMP)) AS date_of_service,
                o_orderstatus AS drug_class, o_orderkey AS record_id
         FROM orders""",
     "key_check": """
@@ -188,6 +190,6 @@ ORACLE_SQL = {
                                               ORDER BY seeds DESC, item_id, strand, diag) AS rn FROM votes)
         SELECT doc_id, read_start, item_id, strand, diag AS start, nt_length, seeds FROM best WHERE rn = 1""",
     "incremental_load": """
-        SELECT user_id AS record_id, event_type AS bacteria, count(*) AS otu
+        SELECT user_id AS record_id, event_type AS bacteria, count(event_type) AS otu
         FROM events GROUP BY user_id, event_type""",
 }

@@ -98,20 +98,23 @@ def read_patient_index(spark: SparkSession, paths, id_col: int = 0) -> DataFrame
 
 def read_mapping_result(spark: SparkSession, paths) -> DataFrame:
     """Tab-separated read-mapping result with the 11 named columns (S4, S5);
-    short lines give NULL fields, malformed numbers give NULL."""
+    short lines give NULL fields, malformed numbers give NULL.  ``sample`` is the
+    folder that holds the part files, so all parts of a sample count together."""
     return (spark.read.schema(MAPPING_RESULT_SCHEMA).option("sep", "\t")
             .option("mode", "PERMISSIVE").csv(paths)
-            .withColumn("sample", F.col("_metadata.file_path")))
+            .withColumn("sample", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)))
 
 
 def read_fasta(spark: SparkSession, paths) -> DataFrame:
     """FASTA genomes, one row per record: ``file, ref_id, description, seq``.
 
-    Records are read with ``>`` as the record separator, so a genome never
-    depends on line order; reading a glob replaces concatenating the files.
+    Records are cut at a ``>`` that opens a line (one inside a header stays), so a
+    genome never depends on line order; reading a glob replaces concatenating
+    the files.
     """
-    raw = spark.read.option("lineSep", ">").text(paths)
-    body = raw.filter(F.length(F.trim("value")) > 0)
+    raw = spark.read.option("lineSep", "\n>").text(paths)
+    opened = raw.withColumn("value", F.regexp_replace("value", r"^\s*>", ""))  # the file's first record
+    body = opened.filter(F.length(F.trim("value")) > 0)
     header = F.split_part(F.col("value"), F.lit("\n"), F.lit(1))
     seq = F.upper(F.regexp_replace(
         F.when(F.instr("value", "\n") > 0, F.expr("substr(value, instr(value, '\n') + 1)"))

@@ -21,7 +21,7 @@ def plan(df):
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {k: plan(fn(spark, SMALL)) for k, fn in E.queries().items()}
+    return {k: plan(fn(spark, SMALL)) for k, fn in E.QUERIES.items()}
 
 
 def test_no_python_and_no_single_partition(plans):

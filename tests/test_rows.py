@@ -127,23 +127,48 @@ def test_skip_leading_and_first_rows(spark):
     assert [r.id for r in first] == list(range(8))
 
 
-def test_line_index_survives_a_parallelism_change_between_passes(spark, tmp_path, monkeypatch):
-    """Split sizes follow the session's parallelism; executors lost between
-    the two passes of ``line_index`` must not change the numbering."""
+@pytest.mark.parametrize("later", [
+    {"spark.sql.leafNodeDefaultParallelism": "7"},
+    {"spark.sql.files.maxPartitionBytes": "20000"},
+    {"spark.sql.files.openCostInBytes": "4194304", "spark.sql.leafNodeDefaultParallelism": "1"},
+])
+def test_line_index_never_loses_a_line(spark, tmp_path, later):
+    """Settings that change the file splits between the two passes either leave
+    the numbering right or raise; the session's settings are left as found."""
     for f in range(2):
         write_text(str(tmp_path / "big" / f"part-{f}.txt"), [f"{f}:{i}" for i in range(20000)])
-    keys = ("spark.sql.files.minPartitionNum", "spark.sql.leafNodeDefaultParallelism",
-            "spark.sql.files.openCostInBytes")
+    first = {"spark.sql.files.openCostInBytes": "0", "spark.sql.leafNodeDefaultParallelism": "2"}
+    keys = {*first, *later, "spark.sql.files.minPartitionNum"}
     saved = {k: spark.conf.get(k, None) for k in keys}
+    raised = False
     try:
-        spark.conf.unset("spark.sql.files.minPartitionNum")
-        spark.conf.set("spark.sql.files.openCostInBytes", "0")
-        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "2")
+        for k, v in first.items():
+            spark.conf.set(k, v)
+        before = spark.conf.get("spark.sql.files.minPartitionNum", None)
         numbered = W.line_index(S.read_lines(spark, str(tmp_path / "big")))   # first pass runs here
-        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "7")           # executors come and go
-        got = {(r.file.rsplit("/", 1)[-1], r.value): r.idx for r in numbered.collect()}
+        assert spark.conf.get("spark.sql.files.minPartitionNum", None) == before
+        for k, v in later.items():
+            spark.conf.set(k, v)
+        try:
+            got = {(r.file.rsplit("/", 1)[-1], r.value): r.idx for r in numbered.collect()}
+        except Exception as e:
+            assert "file splits changed" in str(e)
+            raised = True
     finally:
         for k, v in saved.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    want = {(f"part-{f}.txt", f"{f}:{i}"): i for f in range(2) for i in range(20000)}
-    assert got == want
+    if not raised:
+        assert got == {(f"part-{f}.txt", f"{f}:{i}"): i for f in range(2) for i in range(20000)}
+
+
+def test_skip_leading_keeps_other_groups_and_skips_null_keys(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("a", 3), ("b", 2), ("b", 5), ("b", 6), ("c", None), ("c", 9),
+                                (None, 4), (None, 7)], "g string, v int")
+    kept = sorted(((r.g or "~", r.v) for r in W.skip_leading(df, 1, ["g"], ["v"]).collect()))
+    assert kept == [("a", 2), ("a", 3), ("b", 5), ("b", 6), ("c", 9), ("~", 7)]
+
+
+def test_row_index_sorts_nan_last(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(19)] + [(float("nan"),)], "v double")
+    got = {str(r.v): r.idx for r in W.row_index(df, ["v"], n_buckets=4).collect()}
+    assert got["nan"] == 19 and got["0.0"] == 0 and got["18.0"] == 18
