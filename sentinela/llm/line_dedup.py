@@ -152,6 +152,10 @@ def drop_common_lines(docs: DataFrame, text_col: str = "text", min_docs: int = M
              .select("__t1", "__t2", "pos", *_hashes(line_key(F.col("line"))))
              .join(frequent, ["h1", "h2"], "left_semi")
              .groupBy("__t1", "__t2").agg(F.collect_set("pos").alias("__drop")))
+    # written first, so that AQE sees two plain join sides and can split a text that many rows share
+    path = scratch_path(spark, "line-drops")
+    found.write.parquet(path)
+    found = spark.read.schema("__t1 BIGINT, __t2 BIGINT, __drop ARRAY<INT>").parquet(path)
     both = docs.select(*own, *row_key).join(found, ["__t1", "__t2"], "left")
     both = both.withColumn("__split", _lines(text_col))
     n = F.size("__split")

@@ -213,10 +213,15 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_i
         last = order
     if last is None:
         return Model(np.zeros(1 << BUCKET_BITS), 0.0)
-    rows = [(r["label"], np.array(r["buckets"], np.int64), np.array(r["n"], np.float64))
-            for r in sample.filter(F.col("order") <= last).orderBy("order", "label", "size")
-            .toArrow().to_pylist()]
-    return train(rows)
+    table = (sample.filter(F.col("order") <= last).orderBy("order", "label", "size")
+             .select("label", "buckets", "n").toArrow().combine_chunks())
+    if not table.num_rows:
+        return Model(np.zeros(1 << BUCKET_BITS), 0.0)
+    columns = [table.column(i).chunk(0) for i in range(3)]
+    ends = columns[1].offsets.to_numpy()
+    buckets, n = (c.flatten().to_numpy() for c in columns[1:])
+    return train([(label, buckets[a - ends[0]:z - ends[0]], n[a - ends[0]:z - ends[0]])
+                  for label, a, z in zip(columns[0].to_pylist(), ends[:-1], ends[1:])])
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "score") -> DataFrame:

@@ -151,6 +151,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = grouped.groupBy("root").agg(F.min("first_id").alias("least_id"))
     linked = grouped.join(least, "root").select("fp", "least_id")
     by_fp = nodes.join(linked, "fp", "left").select("fp", F.coalesce("least_id", "first_id").alias("component"))
+    # written first, so that AQE sees two plain join sides and can split a fingerprint that many rows share
+    path = scratch_path(spark, "simhash-components")
+    by_fp.write.parquet(path)
+    by_fp = spark.read.schema(by_fp.schema).parquet(path)
     return rows.join(by_fp, "fp").select("id", "fp", "component")
 
 
