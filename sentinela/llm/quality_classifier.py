@@ -45,9 +45,10 @@ def _bucket(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
-def features(codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """``(positions, buckets)`` lists of the features of a text given as code points,
-    which starts and ends with white space.  Positions are where a feature begins."""
+def features(codes: np.ndarray, begins: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """``(positions, buckets)`` lists of the features of texts given as code points,
+    each of which starts and ends with white space; ``begins`` is where they do
+    (one text unless given).  Positions are where a feature begins."""
     blank = (codes == 32) | ((codes >= 9) & (codes <= 13))
     c = np.where(blank, 32, codes).astype(np.uint64)
     starts = np.flatnonzero(~blank[1:] & blank[:-1]) + 1
@@ -58,7 +59,11 @@ def features(codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     mixed = np.where(blank, np.uint64(0), (c + np.uint64(1)) * _POWERS[within % len(_POWERS)])
     words = np.add.reduceat(mixed, starts) + (ends - starts).astype(np.uint64) * _AGAIN
     out = [(starts, _bucket(words))]
-    same = starts[1:][words[1:] == words[:-1]]
+    again = words[1:] == words[:-1]
+    if begins is not None:
+        text = np.searchsorted(begins, starts, side="right")
+        again &= text[1:] == text[:-1]
+    same = starts[1:][again]
     out.append((same, np.full(len(same), int(_bucket(np.array([_AGAIN]))[0]))))
     for n in NGRAMS:
         m = len(c) - n + 1
@@ -121,7 +126,7 @@ class Model:
             codes = np.concatenate(part)
             begins = np.cumsum([0] + [len(p) for p in part[:-1]])
             points, number = np.zeros(len(codes) + 1), np.zeros(len(codes) + 1)
-            for at, buckets in features(codes):
+            for at, buckets in features(codes, begins):
                 points[:-1] += np.bincount(at, self.weight[buckets], len(codes))
                 number[:-1] += np.bincount(at, minlength=len(codes))
             np.add.at(total, owner, np.add.reduceat(points, begins))

@@ -16,6 +16,7 @@ segment lengths, and position numbers that start again at 0 in every segment.
 from __future__ import annotations
 
 import base64
+import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -73,6 +74,17 @@ class RankTokenizer:
         return np.frombuffer(b"".join(out), "<u2")
 
 
+_LOADED: dict[bytes, RankTokenizer] = {}
+
+
+def _loaded(ranks: bytes) -> RankTokenizer:
+    """One tokenizer with its table of pieces per worker process, not per task."""
+    key = hashlib.sha256(ranks).digest()
+    if key not in _LOADED:
+        _LOADED[key] = RankTokenizer(ranks)
+    return _LOADED[key]
+
+
 class RoomTree:
     """Open bins by their room (0 to ``size``): a segment tree over room sizes
     whose nodes count the bins below them."""
@@ -187,7 +199,7 @@ def pack(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str
             yield len(bins), pa.RecordBatch.from_arrays([pa.array(out[n], k) for n, k in zip(names, kinds)], names=names)
 
     def run(batches):
-        model, grp, held, tokens, row = RankTokenizer(ranks.value), None, [], 0, 0
+        model, grp, held, tokens, row = _loaded(ranks.value), None, [], 0, 0
         end = np.array([END_ID], "<u2")
         id_kind = pa.int64()
         for b in batches:
