@@ -37,7 +37,7 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, ids, n_tokens, ids_sha256, decoded_sha256`` of every document left."""
     import public_tokenizers
     path = public_tokenizers.path("word_bpe_49k.json")
-    return bpe.encode(bpe.digests(docs.select("doc_id", "text"), path), path).select(
+    return bpe.encode(docs.select("doc_id", "text"), path, with_digests=True).select(
         "doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids")
 
 

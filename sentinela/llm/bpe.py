@@ -24,18 +24,19 @@ import unicodedata
 from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow import map_arrow
+from .arrow import lists, map_arrow
 
 END = "Ā"                 # stands for the end-of-word suffix; bytes are U+0000 to U+00FF
 NEVER = 1 << 60
-PAIR_CACHE = 500_000           # outcomes kept, about 50 MB
-PIECE_CACHE = 300_000          # pieces in the young and in the old table, about 100 MB each
+PAIR_CACHE = 300_000           # outcomes kept, about 30 MB
+PIECE_CACHE = 200_000          # pieces in the young and in the old table, about 70 MB each
 PIECE_CHARS = 64               # longer pieces are encoded without being kept
 SLICE = 1 << 20                # characters taken apart at once
 _SPACE = r"\t\n\x0B\x0C\r \x85\xA0  -     　"
@@ -220,6 +221,8 @@ def _spec(spark: SparkSession, path: str):
 
 def _run(docs: DataFrame, path: str, text_col: str, out: list[T.StructField], columns) -> DataFrame:
     """``docs`` with ``out`` appended; ``columns(model, texts)`` gives their Arrow arrays."""
+    if clash := {f.name for f in out} & set(docs.columns):
+        raise ValueError(f"columns are there already: {sorted(clash)}")
     spec = _spec(docs.sparkSession, path)
     n = len(docs.columns)
     rows = docs.withColumn("__text", F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
@@ -234,18 +237,47 @@ def _run(docs: DataFrame, path: str, text_col: str, out: list[T.StructField], co
     return map_arrow(rows, run, T.StructType([*docs.schema.fields, *out]))
 
 
-def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+def _ids_array(rows: list[str]) -> pa.Array:
+    """A list column from the ids as text, row by row, without keeping Python numbers."""
+    flat = [np.array(list(map(int, r.split())), np.int32) for r in rows]
+    ends = np.cumsum([0] + [len(x) for x in flat])
+    return lists(ends, np.concatenate([np.zeros(0, np.int32), *flat]), pa.int32())
+
+
+_DIGESTS = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
+            T.StructField("decoded_sha256", T.StringType())]
+
+
+def _sha256(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids",
+           with_digests: bool = False) -> DataFrame:
     """``docs`` plus ``ids ARRAY<INT>``, as the tokenizers library encodes with
-    ``add_special_tokens=False`` and without truncation or padding.
+    ``add_special_tokens=False`` and without truncation or padding; with
+    ``with_digests`` also the columns of ``digests``, from the same pass.
 
     Null and empty texts have no ids.  Rows are independent, so nulls, ties and
     repeated rows elsewhere change nothing; an empty table stays empty.  The
-    texts of added tokens in a document are those tokens, as in the library."""
-    if ids_col in docs.columns:
-        raise ValueError(f"column {ids_col} is there already")
-    out = [T.StructField(ids_col, T.ArrayType(T.IntegerType()))]
-    return _run(docs, path, text_col, out, lambda model, texts: [
-        pa.array([model.encode(t) for t in texts], pa.list_(pa.int32()))])
+    texts of added tokens in a document are those tokens, as in the library.
+    Columns that are there already raise."""
+    out = [T.StructField(ids_col, T.ArrayType(T.IntegerType())), *(_DIGESTS if with_digests else [])]
+
+    def columns(model, texts):
+        ids, made = [], []
+        for t in texts:
+            parts = model.parts_of(t)
+            ids.append(" ".join([p[0] for p in parts]))
+            if with_digests:
+                made.append((_sha256(ids[-1]), _sha256(" ".join([p[1] for p in parts]))))
+        arrays = [_ids_array(ids)]
+        if with_digests:
+            arrays += [pa.array([x.count(" ") + 1 if x else 0 for x in ids], pa.int64()),
+                       pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.string())]
+        return arrays
+
+    return _run(docs, path, text_col, out, columns)
 
 
 def decode(rows: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -271,9 +303,8 @@ def digests(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
             parts = model.parts_of(t)
             ids = " ".join([p[0] for p in parts])
             n.append(ids.count(" ") + 1 if ids else 0)
-            a.append(hashlib.sha256(ids.encode()).hexdigest())
-            b.append(hashlib.sha256(" ".join([p[1] for p in parts]).encode()).hexdigest())
-        return [pa.array(n, pa.int64()), pa.array(a), pa.array(b)]
+            a.append(_sha256(ids))
+            b.append(_sha256(" ".join([p[1] for p in parts])))
+        return [pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
 
-    return _run(docs, path, text_col, [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
-                                       T.StructField("decoded_sha256", T.StringType())], columns)
+    return _run(docs, path, text_col, _DIGESTS, columns)
