@@ -66,7 +66,7 @@ def shared_root(spark: SparkSession) -> str:
     key = id(sc)
     if key not in _LOCAL_ROOT:
         existing = sc.getCheckpointDir()
-        if not existing and not sc.master.startswith("local["):
+        if not existing and sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         if existing:
             _LOCAL_ROOT[key] = existing.rstrip("/")
