@@ -7,13 +7,14 @@ patient join -> row-count guard.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import lineage_label
 from ..sources.files import INFECTION_SEED_SCHEMA, empty_frame
 from .joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 from .partitions import pin
+from .rows import row_index
 
 # Fixed value: accession marker of reference genes kept by the reference.
 GENE_MARKER = "NC_"
@@ -95,14 +96,10 @@ def min_rows_guard(df: DataFrame, keys, min_rows: int = 2,
     return df.join(broadcast_if_small(ok, max_broadcast_rows), list(keys), "left_semi")
 
 
-
 def number_samples(hits: DataFrame, sample: str = "sample") -> DataFrame:
     """0-based sample numbers in name order, the reference's listing order:
-    ``sample, index``.  One row per sample (a listing-sized table, pinned),
-    numbered by one window over it."""
-    names = pin(hits.select(sample).distinct())
-    return names.select(sample, (F.row_number().over(Window.orderBy(sample)) - 1)
-                        .cast("bigint").alias("index"))
+    ``sample, index``.  One row per sample, numbered by ``row_index``."""
+    return row_index(hits.select(sample).distinct(), [sample], name="index")
 
 
 def positional_pairs(hits: DataFrame, patients: DataFrame, sample: str = "sample",

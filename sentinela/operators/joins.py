@@ -2,20 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Row bound for an explicit broadcast.  Above it the join is left to the
+# Bounds for an explicit broadcast.  Above them the join is left to the
 # planner (sort-merge join, AQE skew splitting and runtime broadcast conversion).
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 << 20
+
+
+def _row_bytes(df: DataFrame) -> tuple[int, Column | None]:
+    """Bytes of a row's fixed part, and an expression for its variable part."""
+    fixed, variable = 0, []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        fixed += 16
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            variable.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            variable.append(F.octet_length(F.to_json(F.struct(c))))
+    return fixed, reduce(add, variable) if variable else None
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  A plain count: one number
-    per partition is shuffled (from the footers of a Parquet scan); meant for
-    dimension tables and pinned tables, not for wide derived ones (see
-    ``total_at_most``)."""
-    return df.count() <= max_rows
+def fits(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.  One
+    partial aggregate: a row per partition is shuffled (for fixed-width columns
+    from the footers of a Parquet scan); meant for dimension tables and pinned
+    tables, not for wide derived ones (see ``total_at_most``)."""
+    fixed, variable = _row_bytes(df)
+    if variable is None:
+        n = df.count()
+        return n <= max_rows and n * fixed <= max_bytes
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(variable.cast("bigint")).alias("b")).first()
+    return row["n"] <= max_rows and row["n"] * fixed + (row["b"] or 0) <= max_bytes
 
 
 def total_at_most(df: DataFrame, measure, max_total: int) -> bool:
@@ -29,8 +52,8 @@ def total_at_most(df: DataFrame, measure, max_total: int) -> bool:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven to be within ``max_rows``;
-    otherwise ``df`` unchanged, so the planner shuffles instead."""
+    """``broadcast(df)`` when its rows and bytes are proven to be within the bounds
+    (``fits``); otherwise ``df`` unchanged, so the planner shuffles instead."""
     return F.broadcast(df) if fits(df, max_rows) else df
 
 

@@ -8,7 +8,7 @@ Scale notes:
 * A reference is cut into windows before exploding, so no row holds a whole
   genome's k-mers.
 * The reference side is broadcast only when its row count is proven under a
-  bound; otherwise both sides are shuffled on the k-gram key and AQE splits
+  bound (2M k-grams are at most about 250 MB); otherwise both sides are shuffled on the k-gram key and AQE splits
   skewed (repeat) keys.  No k-gram is capped or sampled away.
 * The bound is proven on the raw references (total length), before any
   k-gram is built.  Broadcast joins probe on ``xxhash64`` of the k-gram and
@@ -18,11 +18,14 @@ Scale notes:
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .joins import DEFAULT_BROADCAST_ROWS, total_at_most
-from .partitions import spread
+from .partitions import pin, spread
 
 # ---------------------------------------------------------------- text form
 
@@ -90,7 +93,8 @@ def best_reference(seeds: DataFrame, doc_id: str = "doc_id", ref_id: str = "item
 
 # ----------------------------------------------------------------- DNA form
 
-_ACGT = "ACGT"
+#: Bases a read is cut into before its k-mers are taken (reads of up to so many are one piece).
+READ_PIECE = 500
 
 
 def reverse_complement(seq) -> F.Column:
@@ -121,19 +125,75 @@ def _kmers(df: DataFrame, keys: list[str], seq: str, k: int, base_pos=None,
             .select(*keys, "pos", "kmer", F.xxhash64("kmer").alias("h")))
 
 
+def cut(df: DataFrame, keys: list[str], seq: str, size: int, overlap: int = 0) -> DataFrame:
+    """``keys, start BIGINT, piece, n``: ``seq`` cut at every multiple of ``size``, each
+    piece extended by ``overlap`` letters of the next; ``n`` is its length without
+    them.  An empty or NULL sequence is one empty piece.
+
+    A letter is found by walking the string to it, so long sequences are cut in
+    steps (about 100,000, 4,000, ``size``): each walk is over a short string and
+    the whole cut is near linear in the length."""
+    levels = [size]
+    for coarse in (4_000, 100_000):
+        if coarse >= 2 * levels[-1]:
+            levels.append(coarse // levels[-1] * levels[-1])
+    out = df.select(*keys, F.coalesce(F.col(seq), F.lit("")).alias("piece"), F.lit(0).cast("bigint").alias("start"))
+    out = out.withColumn("n", F.length("piece"))
+    for step in reversed(levels):
+        starts = F.sequence(F.lit(0), F.greatest(F.col("n") - 1, F.lit(0)), F.lit(step))
+        staged = out.select(*keys, "start", "piece", "n", F.explode(starts).alias("_at"))
+        out = staged.select(*keys, (F.col("start") + F.col("_at")).alias("start"),
+                            F.substring(F.col("piece"), F.col("_at") + 1, step + overlap).alias("piece"),
+                            F.least(F.lit(step), F.col("n") - F.col("_at")).alias("n"))
+    return out
+
+
 def reference_windows(refs: DataFrame, ref_id: str = "ref_id", seq: str = "seq",
-                      window: int = 100_000, k: int = 21) -> DataFrame:
+                      window: int = 200, k: int = 21) -> DataFrame:
     """Cut references into windows of ``window`` k-mer starts, each extended by
     ``k - 1`` bases so that every k-mer lies whole in exactly one window:
-    ``ref_id, wstart, wseq``."""
-    starts = F.sequence(F.lit(0), F.greatest(F.length(seq) - 1, F.lit(0)), F.lit(window))
-    staged = refs.select(ref_id, seq, F.explode(starts).alias("wstart"))
-    return staged.select(ref_id, "wstart",
-                         F.substring(F.col(seq), F.col("wstart") + 1, window + k - 1).alias("wseq"),
-                         F.lit(window).alias("_wn"))
-
-
-def map_reads(reads: DataFrame, refs: DataFrame, k: int = 21, window: int = 100_000,
+    ``ref_id, wstart, wseq, _wn``."""
+    return cut(refs, [ref_id], seq, window, k - 1).select(
+        ref_id, F.col("start").alias("wstart"), F.col("piece").alias("wseq"), F.col("n").alias("_wn"))
+
+
+#: Bases per reference tile when placed reads are compared base by base.
+TILE = 64
+
+
+def matching_bases(placed: DataFrame, reads: DataFrame, refs: DataFrame, keys: list[str],
+                   broadcast: bool = False) -> DataFrame:
+    """``keys, matches``: bases of a placed read that equal the reference base
+    they lie on; letters other than A, C, G, T never match.
+
+    ``placed`` has ``keys, ref_id, strand, diag, nt_length``, ``reads`` has ``keys,
+    fwd``, ``refs`` has ``ref_id, seq``.  Reads and references meet tile by tile
+    (``TILE`` reference bases), so neither a genome nor a long read is compared in
+    one row.  Reads that share their keys and length count with their best."""
+    read_side = reads.select(*[F.col(c).alias(f"_r_{c}") for c in keys], "fwd")
+    same = reduce(and_, [placed[c].eqNullSafe(F.col(f"_r_{c}")) for c in keys])
+    one = (placed.join(read_side, same).filter(F.length("fwd") == F.col("nt_length"))
+           .select(*keys, "ref_id", "diag", "nt_length", F.xxhash64("fwd").alias("_f"),
+                   F.regexp_replace(F.when(F.col("strand") == "+", F.col("fwd"))
+                                    .otherwise(reverse_complement(F.col("fwd"))), "[^ACGT]", ".").alias("_o")))
+    first = F.floor(F.greatest(F.col("diag"), F.lit(0)) / TILE) * TILE
+    tiled = (one.select("*", F.explode(F.sequence(first, F.col("diag") + F.col("nt_length") - 1, F.lit(TILE).cast("bigint")))
+                        .alias("start"))
+             .withColumn("_lo", F.greatest("diag", "start"))
+             .withColumn("_len", (F.least(F.col("diag") + F.col("nt_length"), F.col("start") + TILE) - F.col("_lo"))
+                         .cast("int"))
+             .select(*keys, "_f", "ref_id", "start", "_len",
+                     F.substring(F.col("_o"), (F.col("_lo") - F.col("diag") + 1).cast("int"), F.col("_len")).alias("_a"),
+                     (F.col("_lo") - F.col("start")).cast("int").alias("_skip")))
+    tiles = cut(refs.select("ref_id", "seq"), ["ref_id"], "seq", TILE).select("ref_id", "start", "piece")
+    met = tiled.join(F.broadcast(tiles) if broadcast else tiles, ["ref_id", "start"])
+    equal = F.size(F.filter(F.sequence(F.lit(1), F.col("_len")), lambda i: F.substring(F.col("_a"), i, 1)
+                            == F.substring(F.col("piece"), F.col("_skip") + i, 1)))
+    return (met.groupBy(*keys, "_f").agg(F.sum(equal).alias("matches"))
+            .groupBy(*keys).agg(F.max("matches").alias("matches")))
+
+
+def map_reads(reads: DataFrame, refs: DataFrame, k: int = 21, window: int = 200,
               min_seeds: int = 2, read_id: str | list[str] = "read_id", read_seq: str = "seq",
               ref_id: str = "ref_id", ref_seq: str = "seq",
               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -146,8 +206,8 @@ def map_reads(reads: DataFrame, refs: DataFrame, k: int = 21, window: int = 100_
     Returns ``read_id, gene, strand, start, end, nt_length, seeds, identity``
     where ``start`` is the 0-based reference position of read base 0 on the
     winning diagonal, ``seeds`` the number of read k-mers on that diagonal and
-    ``identity`` = seeds / k-mers in the read.  Reads with fewer than
-    ``min_seeds`` seeds on every diagonal are left out.  Ties go to the smallest
+    ``identity`` the share of the read's bases that equal the reference base on
+    that diagonal (see ``matching_bases``).  Reads with fewer than ``min_seeds`` seeds on every diagonal are left out.  Ties go to the smallest
     reference id, then ``+`` strand, then smallest start.
     """
     if k < 1:
@@ -171,9 +231,11 @@ def map_reads(reads: DataFrame, refs: DataFrame, k: int = 21, window: int = 100_
     ref_both = plus.unionByName(minus)
     r = reads.select(*named, F.upper(F.col(read_seq)).alias("fwd"))
     r = r.select(*keys, F.length("fwd").alias("nt_length"), "fwd")
-    read_k = _kmers(r, [*keys, "nt_length"], "fwd", k).withColumnRenamed("pos", "q")
+    read_k = _kmers(cut(r, [*keys, "nt_length"], "fwd", READ_PIECE, k - 1), [*keys, "nt_length"], "piece", k,
+                    base_pos="start", limit_col="n").withColumnRenamed("pos", "q")
     # a reference of n bases has at most n k-mers per strand: prove the bound on the raw input
-    if total_at_most(refs, 2 * F.length(F.col(ref_seq)), max_broadcast_rows):
+    small = total_at_most(refs, 2 * F.length(F.col(ref_seq)), max_broadcast_rows)
+    if small:
         hits = (read_k.join(F.broadcast(ref_both), "h", "inner")
                 .filter(F.col("kmer") == F.col("rkmer")))      # exact: hash hits are re-checked
     else:
@@ -192,8 +254,13 @@ def map_reads(reads: DataFrame, refs: DataFrame, k: int = 21, window: int = 100_
     pick = F.min(F.struct((-F.col("seeds")).alias("ns"), "ref_id", "strand", "diag", "nt_length"))
     best = votes.groupBy(*keys).agg(pick.alias("_b")).select(
         *keys, (-F.col("_b.ns")).alias("seeds"), "_b.ref_id", "_b.strand", "_b.diag", "_b.nt_length")
-    kmers_in_read = F.greatest(F.col("nt_length") - k + 1, F.lit(1))
-    return best.select(*keys, F.col("ref_id").alias("gene"), "strand",
-                       F.col("diag").alias("start"), (F.col("diag") + F.col("nt_length")).alias("end"),
-                       "nt_length", "seeds",
-                       F.round(F.col("seeds") / kmers_in_read, 6).alias("identity"))
+    # read twice below (comparison and result), so the votes are counted once
+    best = pin(best)
+    genomes = refs.select(F.col(ref_id).alias("ref_id"), F.upper(F.col(ref_seq)).alias("seq"))
+    equal = matching_bases(best, r, genomes, keys, small).select(
+        *[F.col(c).alias(f"_m_{c}") for c in keys], "matches")
+    found = best.join(equal, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_m_{c}")) for c in keys]))
+    return found.select(*keys, F.col("ref_id").alias("gene"), "strand",
+                        F.col("diag").alias("start"), (F.col("diag") + F.col("nt_length")).alias("end"),
+                        "nt_length", "seeds",
+                        F.round(F.col("matches") / F.col("nt_length"), 6).alias("identity"))

@@ -2,7 +2,8 @@
 ``billing`` (P1, P2, C1-C11), pharmacy JSON to ``pharmacy`` (P3, C10), and the
 strict / quarantine modes (M1, I2).
 
-Both tables come from one parsed frame, read once.  In quarantine mode every
+Both tables are projections of one parsed frame; write or cache that frame to
+read the files once.  In quarantine mode every
 row gets ``reject_reason`` (NULL when clean); ``split_rejects`` cuts the frame
 into the clean table and the rejects, in the same plan.
 """
@@ -175,9 +176,11 @@ def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return clean, df.filter(F.col("reject_reason").isNotNull())
 
 
-def pharmacy(raw: DataFrame, mode: str = C.QUARANTINE) -> DataFrame:
+def pharmacy(raw: DataFrame, mode: str = C.QUARANTINE, rejects: bool = False) -> DataFrame:
     """Pharmacy records: drop the unused fields, rename the kept ones, parse the
-    service date (P3, C10); ``record_id`` by ``int(float(s))``."""
+    service date (P3, C10); ``record_id`` by ``int(float(s))``.  With ``rejects``
+    (quarantine mode), ``reject_reason`` is bad_id, bad_date or NULL, for
+    ``split_rejects`` (M1)."""
     kept = raw.drop(*PHARMACY_DROPPED)
     cols = []
     for src, dst in PHARMACY_COLUMNS:
@@ -187,4 +190,8 @@ def pharmacy(raw: DataFrame, mode: str = C.QUARANTINE) -> DataFrame:
         elif dst == "date_of_service":
             c = C.parse_datetime(c, C.SERVICE_DATETIME, mode)
         cols.append(c.alias(dst))
-    return kept.select(*cols)
+    out = kept.select(*cols)
+    if not rejects:
+        return out
+    reason = F.when(F.col("record_id").isNull(), "bad_id").when(F.col("date_of_service").isNull(), "bad_date")
+    return out.withColumn("reject_reason", reason)

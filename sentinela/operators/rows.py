@@ -11,85 +11,48 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import shared_root
 from .joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 from .partitions import pin
 
 
-def _numeric_key(df: DataFrame, key: str) -> Column:
-    dtype = df.schema[key].dataType
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(F.col(key)).cast("double")
-    if isinstance(dtype, T.TimestampNTZType):
-        # built from its parts, so the order never depends on the session zone
-        c = F.col(key)
-        secs = F.unix_date(F.to_date(c)) * 86400 + F.hour(c) * 3600 + F.minute(c) * 60
-        return (secs.cast("double") * 1e6
-                + F.extract(F.lit("SECOND"), c).cast("double") * 1e6)
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(F.col(key)).cast("double")
-    return F.col(key).cast("double")
-
-
-def _default_buckets(spark) -> int:
-    # a few ranges per shuffle partition balance the cell windows; the cap keeps
-    # the quantile sketch and the split list small on very wide clusters
-    return min(16_384, max(4, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
-
-
 def row_index(df: DataFrame, order_by: list[str], partition_by: list[str] | tuple = (),
               name: str = "idx", n_buckets: int | None = None,
-              relative_error: float | None = None,
               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Add ``name`` = 0-based position of each row in ``order_by`` order, counted
     within each ``partition_by`` group (W1; ``row_number() - 1`` semantics).
 
-    ``order_by[0]`` must be numeric, date or timestamp and, with the other
-    ``order_by`` columns, must order rows totally.  The rows are cut into
-    ``n_buckets`` ranges of the first order key at approximate quantiles; a row's
-    position is the number of rows of its group in earlier ranges plus its rank
-    inside its (group, range) cell.  A hot group therefore spreads over all
-    ranges instead of one task, and the per-cell counts table is small.
+    The rows are range-partitioned by group and the whole order, sorted within
+    their range and kept in the shared folder, so neither a hot group nor a hot
+    value of the first order key lands in one task: the further order columns
+    split it.  A row's position is its place in its range, plus the group's rows
+    in earlier ranges, known from one counted row per (range, group).  Columns
+    of any orderable type will do; NULLs sort first, NaN last, and NULL groups
+    are groups.  Rows equal in all ``order_by`` columns stay in one range and
+    take neighbouring positions in any order.
     """
     spark = df.sparkSession
     shared_root(spark)  # checkpoint folder must exist before checkpoint()
     part = list(partition_by)
-    nb = n_buckets or _default_buckets(spark)
-    err = relative_error if relative_error is not None else min(0.01, 1.0 / (10 * nb))
-    key = order_by[0]
-    keyed = df.withColumn("_sk", _numeric_key(df, key))
-    probs = [i / nb for i in range(1, nb)]
-    found = keyed.approxQuantile("_sk", probs, err) if probs else []
-    bounds = sorted(set(b for b in found if b is not None))
-    if not bounds:
-        bounds = [0.0]
-    splits = [float("-inf")] + bounds + [float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="_sk", outputCol="_bkt",
-                          handleInvalid="keep").transform(keyed)
-    # NULL keys sort first (ascending), so they belong to range 0; NaN sorts last
-    # and the bucketizer gives it a range of its own after all others.  The column
-    # is never NULL, so the join below infers no ``isnotnull(_bkt)`` filter
-    # (which would run the bucket search a second time, in the scan).
-    bucketed = bucketed.withColumn(
-        "_bkt", F.coalesce(F.when(F.col("_sk").isNull(), F.lit(0))
-                           .otherwise(F.col("_bkt")).cast("int"), F.lit(0))).drop("_sk")
-    cells = bucketed.groupBy(*part, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*part).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cells.select(*part, "_bkt", F.coalesce(F.sum("_n").over(before), F.lit(0))
-                           .cast("bigint").alias("_off")).checkpoint(eager=True)
-    # without groups the table has at most one row per range (nb <= 16,384):
-    # bounded by construction, so no counting job is needed to broadcast it
-    side = F.broadcast(offsets) if not part and nb <= max_broadcast_rows \
-        else broadcast_if_small(offsets, max_broadcast_rows)
-    joined = bucketed.join(side, [*part, "_bkt"], "inner")
-    cell = Window.partitionBy(*part, "_bkt").orderBy(*order_by)
-    return (joined.withColumn(name, (F.col("_off") + F.row_number().over(cell) - 1).cast("bigint"))
-            .drop("_bkt", "_off"))
+    ranges = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(f"`{c}`") for c in [*part, *order_by]]
+    held = df.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    placed = held.withColumn("_range", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
+    cells = placed.groupBy("_range", *part).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    # without groups: one window over one row per range
+    before = Window.partitionBy(*part).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cells.select(F.col("_range").alias("_cell_range"),
+                           *[F.col(f"`{c}`").alias(f"_cell_{i}") for i, c in enumerate(part)], "_first",
+                           F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("bigint").alias("_off"))
+    offsets = pin(offsets)
+    same = reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.col(f"_cell_{i}")) for i, c in enumerate(part)],
+                  F.col("_range") == F.col("_cell_range"))
+    joined = placed.join(broadcast_if_small(offsets, max_broadcast_rows), same, "inner")
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns],
+                         (F.col("_off") + F.col("_mid") - F.col("_first")).cast("bigint").alias(name))
 
 
 def line_index(lines: DataFrame, name: str = "idx", per_file: bool = True,

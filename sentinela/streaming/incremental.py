@@ -3,8 +3,8 @@
 Each run reads only files not seen by earlier runs (the file source keeps the
 list in its checkpoint), writes them with the exactly-once file sink (its
 ``_spark_metadata`` log makes a retried batch invisible until committed) and
-stops when the inbox is drained (``trigger(availableNow=True)``).  Processed
-inputs can be archived by the source itself (``cleanSource``).
+stops when the inbox is drained (``trigger(availableNow=True)``).  The inputs of a
+finished run are moved to an archive folder.
 """
 
 from __future__ import annotations
@@ -22,11 +22,12 @@ def load_new_files(spark: SparkSession, inbox: str, sink: str, checkpoint: str,
     """Load every file of ``inbox`` not loaded by an earlier run into ``sink``.
 
     ``transform`` must be a row-level (stateless) function, so the stream can
-    append.  With ``archive_dir`` the source moves completed input files there.
+    append.  With ``archive_dir``, the files that were in ``inbox`` at the start are
+    moved there once the run has finished, every one of them being loaded by then.
+    A run that fails moves nothing; the next one that finishes does.
     """
+    waiting = _files(spark, inbox) if archive_dir else []
     reader = spark.readStream.schema(schema).format(fmt)
-    if archive_dir:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(inbox)
@@ -42,6 +43,27 @@ def load_new_files(spark: SparkSession, inbox: str, sink: str, checkpoint: str,
         raise TimeoutError(f"incremental load into {sink} did not finish in {timeout_s}s")
     if query.exception() is not None:
         raise query.exception()
+    if archive_dir:
+        _move(spark, waiting, archive_dir)
+
+
+def _files(spark: SparkSession, inbox: str) -> list[str]:
+    """Paths of the files in ``inbox`` (names only, as the file source itself keeps them)."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(inbox)
+    return [r.path for r in listing.select("path").collect()]
+
+
+def _move(spark: SparkSession, paths: list[str], archive_dir: str) -> None:
+    """Move files under ``archive_dir``, keeping their whole path below it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for name in paths:
+        source = hadoop.Path(name)
+        target = hadoop.Path(f"{archive_dir.rstrip('/')}{source.toUri().getPath()}")
+        fs = source.getFileSystem(conf)
+        fs.mkdirs(target.getParent())
+        if fs.exists(source) and not fs.rename(source, target):
+            raise OSError(f"cannot move {name} to {target}")
 
 
 def read_loaded(spark: SparkSession, sink: str, schema: T.StructType | None = None) -> DataFrame:
