@@ -40,19 +40,22 @@ def row_index(df: DataFrame, order_by: list[str], partition_by: list[str] | tupl
     ranges = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(f"`{c}`") for c in [*part, *order_by]]
     held = df.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
-    placed = held.withColumn("_range", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
-    cells = placed.groupBy("_range", *part).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    own = "_row"
+    while any(c.startswith(own) for c in df.columns):   # helper columns must not clash with the caller's
+        own = f"_{own}"
+    at, mid, first, off = (f"{own}_{c}" for c in ("range", "mid", "first", "off"))
+    placed = held.withColumn(at, F.spark_partition_id()).withColumn(mid, F.monotonically_increasing_id())
+    cells = placed.groupBy(at, *[F.col(f"`{c}`") for c in part]).agg(F.min(mid).alias(first), F.count(F.lit(1)).alias(off))
     # without groups: one window over one row per range
-    before = Window.partitionBy(*part).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cells.select(F.col("_range").alias("_cell_range"),
-                           *[F.col(f"`{c}`").alias(f"_cell_{i}") for i, c in enumerate(part)], "_first",
-                           F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("bigint").alias("_off"))
-    offsets = pin(offsets)
-    same = reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.col(f"_cell_{i}")) for i, c in enumerate(part)],
-                  F.col("_range") == F.col("_cell_range"))
+    before = Window.partitionBy(*[F.col(f"`{c}`") for c in part]).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = pin(cells.select(F.col(at).alias(f"{own}_cell"),
+                               *[F.col(f"`{c}`").alias(f"{own}_cell_{i}") for i, c in enumerate(part)], first,
+                               F.coalesce(F.sum(off).over(before), F.lit(0)).cast("bigint").alias(off)))
+    same = reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.col(f"{own}_cell_{i}")) for i, c in enumerate(part)],
+                  F.col(at) == F.col(f"{own}_cell"))
     joined = placed.join(broadcast_if_small(offsets, max_broadcast_rows), same, "inner")
     return joined.select(*[F.col(f"`{c}`") for c in df.columns],
-                         (F.col("_off") + F.col("_mid") - F.col("_first")).cast("bigint").alias(name))
+                         (F.col(off) + F.col(mid) - F.col(first)).cast("bigint").alias(name))
 
 
 def line_index(lines: DataFrame, name: str = "idx", per_file: bool = True,

@@ -340,19 +340,29 @@ def _dna(text_col: str):
     return F.translate(F.regexp_replace(F.lower(text_col), "[^a-zß-öø-ÿ]", ""), LETTERS, BASES)
 
 
+def _fasta(spark, refs) -> str:
+    """References (``item_id, seq``) as FASTA: an id that sorts like the number, a
+    header with a ``>`` inside, lines of 70 bases."""
+    path = scratch_path(spark, "fasta")
+    header = F.concat(F.lit(">"), F.lpad(F.col("item_id").cast("string"), 12, "0"), F.lit(" item A>G strain"))
+    lines = F.regexp_replace("seq", "(.{70})", "$1\n")
+    refs.select(F.concat_ws("\n", header, lines).alias("value")).write.text(path)
+    return path
+
+
 def read_mapping_dna(spark, sf_dir):
-    """Documents as DNA cut into 100-base reads, placed on benchmark items as
-    DNA references by k-mer voting on both strands."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"]) \
-        .select("doc_id", _dna("text").alias("dna"))
-    starts = F.sequence(F.lit(0), F.greatest(F.length("dna") - 1, F.lit(0)), F.lit(READ_LEN))
-    reads = (docs.select("doc_id", "dna", F.explode(starts).alias("read_start"))
-             .select("doc_id", "read_start",
-                     F.substring(F.col("dna"), F.col("read_start") + 1, READ_LEN).alias("seq")))
-    refs = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("ref_id"), _dna("text").alias("seq"))
-    placed = M.map_reads(reads, refs, k=KMER, window=10_000, min_seeds=2, read_id=["doc_id", "read_start"])
-    return placed.select("doc_id", F.col("read_start").cast("bigint").alias("read_start"),
-                         F.col("gene").alias("item_id"), "strand", "start", "nt_length", "seeds")
+    """Documents as DNA cut into 100-base reads, placed on benchmark items, which
+    are read from FASTA files, by k-mer voting on both strands.  The sample is the
+    document's source."""
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), ["doc_id"]) \
+        .select("doc_id", F.col("source").alias("sample"), _dna("text").alias("dna"))
+    reads = M.cut(docs, ["sample", "doc_id"], "dna", READ_LEN).select(
+        "sample", "doc_id", F.col("start").alias("read_start"), F.col("piece").alias("seq"))
+    items = table(spark, sf_dir, "benchmark").select("item_id", _dna("text").alias("seq"))
+    refs = S.read_fasta(spark, _fasta(spark, items)).select("ref_id", "seq")
+    placed = M.map_reads(reads, refs, k=KMER, min_seeds=2, read_id=["sample", "doc_id", "read_start"])
+    return placed.select("sample", "doc_id", "read_start", F.col("gene").cast("bigint").alias("item_id"), "strand",
+                         "start", "end", "nt_length", "seeds", "identity")
 
 
 # --------------------------------------------------------- 7. incremental

@@ -168,10 +168,11 @@ ORACLE_SQL = {
                    FROM seeds)
         SELECT doc_id, item_id, seeds FROM ranked WHERE rn = 1""",
     "read_mapping_dna": f"""
-        WITH d AS (SELECT doc_id, {_DNA} AS dna FROM documents),
-        r0 AS (SELECT doc_id, dna, unnest(generate_series(0, greatest(length(dna) - 1, 0), 100)) AS read_start FROM d),
-        reads AS (SELECT doc_id, read_start, substring(dna, read_start + 1, 100) AS seq FROM r0),
-        rq AS (SELECT doc_id, read_start, length(seq) AS nt_length, seq,
+        WITH d AS (SELECT doc_id, source AS sample, {_DNA} AS dna FROM documents),
+        r0 AS (SELECT sample, doc_id, dna, unnest(generate_series(0, greatest(length(dna) - 1, 0), 100)) AS read_start
+               FROM d),
+        reads AS (SELECT sample, doc_id, read_start, substring(dna, read_start + 1, 100) AS seq FROM r0),
+        rq AS (SELECT sample, doc_id, read_start, length(seq) AS nt_length, seq,
                       reverse(translate(seq, 'ACGT', 'TGCA')) AS rc FROM reads WHERE length(seq) >= 16),
         q AS (SELECT doc_id, read_start, nt_length, seq, rc,
                      unnest(generate_series(0, nt_length - 16)) AS qpos FROM rq),
@@ -187,8 +188,17 @@ ORACLE_SQL = {
                   FROM qk JOIN rk ON qk.kmer = rk.kmer
                   GROUP BY 1, 2, 3, 4, 5, 6 HAVING count(*) >= 2),
         best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, read_start
-                                              ORDER BY seeds DESC, item_id, strand, diag) AS rn FROM votes)
-        SELECT doc_id, read_start, item_id, strand, diag AS start, nt_length, seeds FROM best WHERE rn = 1""",
+                                              ORDER BY seeds DESC, item_id, strand, diag) AS rn FROM votes),
+        won AS (SELECT rq.sample, best.*, CASE strand WHEN '+' THEN seq ELSE rc END AS o, b.dna
+                FROM best JOIN rq USING (doc_id, read_start) JOIN b USING (item_id) WHERE rn = 1),
+        bases AS (SELECT doc_id, read_start, count(*) AS same
+                  FROM (SELECT doc_id, read_start, o, dna, diag, unnest(generate_series(0, nt_length - 1)) AS i FROM won)
+                  WHERE diag + i >= 0 AND diag + i < length(dna)
+                    AND substring(o, i + 1, 1) = substring(dna, diag + i + 1, 1)
+                  GROUP BY doc_id, read_start)
+        SELECT sample, doc_id, read_start, item_id, strand, diag AS start, diag + won.nt_length AS "end",
+               won.nt_length, seeds, round(same / CAST(won.nt_length AS DOUBLE), 6) AS identity
+        FROM won JOIN bases USING (doc_id, read_start)""",
     "incremental_load": """
         SELECT user_id AS record_id, event_type AS bacteria, count(event_type) AS otu
         FROM events GROUP BY user_id, event_type""",
