@@ -17,10 +17,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,53 +32,57 @@ GROUP_BYTES = 8 << 20
 #: Tokens held before they are packed, whatever the group.
 HOLD_TOKENS = 1 << 23
 END_ID = 50256           # the id the rank file leaves free: ends every document, fills every row
-PIECE_CACHE = 300_000    # pieces in the young and in the old table
-PIECE_CHARS = 64
+WORD_GAP = re.compile(r"(?<=\S) (?=\S)")
 SLICE = 1 << 20
+LONG = 10_000            # characters of white space that make a run too long for the pattern
+# The characters of the Unicode property White_Space.
+BLANK = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_BLANK = re.compile(f"[{BLANK}]{{{LONG},}}")
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
 class RankTokenizer:
-    """Byte-level BPE of a rank file, with the ids of frequent pieces kept."""
+    """Byte-level BPE of a rank file.
+
+    No piece of the pattern reaches over a single space between two characters
+    that are not white space, so a very long text is cut there and encoded in
+    slices without changing an id."""
 
     def __init__(self, ranks: bytes, pattern: str = PATTERN):
         import tiktoken
         table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line)}
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
-        self.pieces = regex.compile(pattern)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _piece(self, piece: str) -> bytes:
-        out = self.old.get(piece)
-        if out is None:
-            out = np.array(self.encoding.encode_ordinary(piece), "<u2").tobytes()
-        if len(piece) <= PIECE_CHARS:
-            if len(self.young) >= PIECE_CACHE:
-                self.young, self.old = {}, self.young
-            self.young[piece] = out
-        return out
 
     def encode(self, text: str) -> np.ndarray:
-        """Ids of the whole text as 16-bit numbers."""
+        """Ids of the whole text as 16-bit numbers.
+
+        A very long run of white space would overflow the pattern matcher's stack.
+        It is one piece, but for its last character where a word follows, so it is
+        taken out and merged without the pattern."""
+        out, at = [np.zeros(0, "<u2")], 0
+        for run in LONG_BLANK.finditer(text) if len(text) >= LONG else ():
+            to = run.end() - (run.end() < len(text))
+            out += self._slices(text[at:run.start()])
+            out.append(np.array(self.encoding._encode_single_piece(text[run.start():to]), "<u2"))
+            at = to
+        out += self._slices(text[at:])
+        return np.concatenate(out)
+
+    def _slices(self, text: str) -> list[np.ndarray]:
         out, at = [], 0
         while at < len(text):
-            to = len(text)
-            if to - at > SLICE:
-                # a letter followed by one space and a letter always ends a piece
-                cut = regex.compile(r"\p{L}(?= \p{L})").search(text, at + SLICE)
-                to = cut.end() if cut else to
-            known, other = self.young.get, self._piece
-            out.append(b"".join([known(p) or other(p) for p in self.pieces.findall(text[at:to])]))
+            gap = WORD_GAP.search(text, at + SLICE) if len(text) - at > SLICE else None
+            to = gap.start() if gap else len(text)
+            out.append(self.encoding.encode_to_numpy(text[at:to], disallowed_special=()).astype("<u2"))
             at = to
-        return np.frombuffer(b"".join(out), "<u2")
+        return out
 
 
 _LOADED: dict[bytes, RankTokenizer] = {}
 
 
 def _loaded(ranks: bytes) -> RankTokenizer:
-    """One tokenizer with its table of pieces per worker process, not per task."""
+    """One tokenizer per worker process, not per task."""
     key = hashlib.sha256(ranks).digest()
     if key not in _LOADED:
         _LOADED[key] = RankTokenizer(ranks)

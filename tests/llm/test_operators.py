@@ -453,3 +453,17 @@ def test_feature_buckets_follow_the_definition():
     grams = sum(max(0, len(w) + 2 - n + 1) for w in t.split() for n in quality_classifier.NGRAMS)
     assert sum(map(len, found)) == len(t.split()) + 1 + grams
     assert regex.findall(r"\S+", t) == t.split()
+
+
+def test_pack_tokenizer_equals_library_on_slices_and_long_blanks(monkeypatch):
+    model = token_pack.RankTokenizer(open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb").read())
+    whole = model.encode("a" + " " * 2_000_000 + "b" + "\n" * 1_500_000)     # the pattern's stack would overflow
+    assert model.encoding.decode(whole.tolist()) == "a" + " " * 2_000_000 + "b" + "\n" * 1_500_000
+    monkeypatch.setattr(token_pack, "SLICE", 37)
+    monkeypatch.setattr(token_pack, "LONG", 3)
+    monkeypatch.setattr(token_pack, "LONG_BLANK", re.compile(f"[{token_pack.BLANK}]{{3,}}"))
+    rnd = random.Random(6)
+    letters = " \n\t   \x1c\x85\u2003abZ9's\u00e9,.!\u6f22\U0001f642"
+    for _ in range(3000):
+        text = "".join(rnd.choice(letters) for _ in range(rnd.randrange(0, 120)))
+        assert model.encode(text).tolist() == model.encoding.encode_ordinary(text)
