@@ -400,6 +400,37 @@ def test_host_repeats_are_cut_where_no_article_is_marked(spark):
     assert html_extract.extract(pages.limit(0)).count() == 0
 
 
+def test_ordinary_phrases_of_a_host_stay(spark):
+    rnd = random.Random(5)
+    word = lambda: rnd.choice("abcdefghij") + str(rnd.randint(0, 9999))
+    phrases = [" ".join(word() for _ in range(rnd.randint(6, 20))) for _ in range(5)]
+    boiler, menu = "all the news that is fit to read", "<ul><li>Home</li><li>World news</li><li>About us all</li></ul>"
+    long_run = " ".join(word() for _ in range(55))
+    text, rows = {}, []
+    for i in range(40):                                # every page holds two of the five phrases, in mid-sentence
+        one, two = (f"{word()} {rnd.choice(phrases)} {word()}" for _ in range(2))
+        lead, tail = word(), word()
+        text[i] = f"{one}\n\n{two}\n\n{lead} {tail}" if i < 2 else f"{one}\n\n{two}"
+        end = f"<p>{lead} {long_run} {tail}</p>" if i < 2 else ""      # a long passage of just two pages
+        rows.append((i, f"http://site.org/{i}", f"<div>{one}</div>{menu}<p>{two}</p>{end}<div>{boiler}</div>"))
+    got = {r.page_id: r.main_text for r in html_extract.extract(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == text
+
+
+def test_border_spans_cover_every_row_of_blocks():
+    rnd = random.Random(4)
+    for _ in range(50):
+        lengths, size = [rnd.randint(1, 9) for _ in range(rnd.randint(0, 9))], rnd.randint(1, 12)
+        at = [0, *np.cumsum(lengths).tolist()]
+        spans = html_extract.border_spans(lengths, size).tolist()
+        assert all(b in at and e in at and e - b >= size for b, e in spans)
+        for b in at:
+            for e in at:
+                if e - b >= size:
+                    assert {k for x, y in spans if b <= x and y <= e for k in range(x, y)} == set(range(b, e))
+
+
 def test_suffix_runs_match_all_windows():
     rnd = random.Random(8)
     streams = [np.array([rnd.randint(0, 3) for _ in range(rnd.randint(0, 25))], np.uint64) for _ in range(8)]
