@@ -400,6 +400,30 @@ def test_host_repeats_are_cut_where_no_article_is_marked(spark):
     assert html_extract.extract(pages.limit(0)).count() == 0
 
 
+def test_pages_whose_article_is_not_marked_keep_their_text(spark):
+    html_of = {
+        "a": "<div id=content><p>the story itself</p></div><aside><article>a teaser</article></aside>",
+        "b": "<div class='content sidebar-right'><article>the story itself</article></div><p>end</p>",
+        "c": "<main></main><div>the story itself</div>",
+        "d": "<div class='sidebar'><article><p>the story itself</p></article></div><div>few words</div>",
+        "e": "<div class='sidebar'><article>a teaser</article></div><div>the story itself</div>",
+        "f": "<div class='comments'><article>Nice!</article><article>Oh!</article></div><div>the story itself</div>",
+        "g": "<!-- <article>no</article> --><div>the story itself</div>",
+        "h": "<div class='content sidebar-left'><p>the story itself</p></div>"}
+    pages = spark.createDataFrame([(k, f"http://{k}.org/", h) for k, h in html_of.items()], "page_id string, url string, html string")
+    got = {r.page_id: r.main_text for r in html_extract.extract(pages).collect()}
+    assert got == {k: "the story itself" for k in html_of}
+
+
+def test_only_scripts_styles_and_form_contents_are_skipped():
+    page = ("<article><p>If <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> then<p><noscript>no script</noscript>"
+            "<p><object data=a>an object</object><p><canvas>a canvas</canvas><p><svg><title>t</title><path d='M0'/><text>an axis</text></svg>"
+            "<p><iframe src='a'/>frame<script>var a</script><style>p{}</style><p>Pick<select><option>one<option>two</select>now"
+            "<p>Or <select><option>three<p>not closed<p><option>four<p>end<textarea>typed</textarea></article>")
+    assert html_extract.article_text(page).split("\n\n") == [
+        "If x=2 then", "no script", "an object", "a canvas", "an axis", "frame", "Pick now", "Or", "not closed", "end"]
+
+
 def test_ordinary_phrases_of_a_host_stay(spark):
     rnd = random.Random(5)
     word = lambda: rnd.choice("abcdefghij") + str(rnd.randint(0, 9999))
