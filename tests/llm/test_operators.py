@@ -368,6 +368,67 @@ def test_suppression_equals_all_pairs():
         assert {(d.begin, d.end, d.signature.name) for d in license_scan.detect(canonical, rules)} == {(a, z, r.name) for a, z, _, r in kept}
 
 
+def texts_of(parsed, way):
+    """One text that the parsed pattern matches: the ``way``-th branch everywhere, repeats as few times as allowed."""
+    out = []
+    for op, arg in parsed:
+        kind = str(op)
+        if kind == "LITERAL":
+            out.append(chr(arg))
+        elif kind in ("ANY", "NOT_LITERAL"):
+            out.append("x")
+        elif kind == "IN":
+            out.append("x" if str(arg[0][0]) == "NEGATE" else chr(min(arg[0][1]) if str(arg[0][0]) == "RANGE" else arg[0][1]))
+        elif kind == "BRANCH":
+            out.append(texts_of(arg[1][way % len(arg[1])], way))
+        elif kind == "SUBPATTERN":
+            out.append(texts_of(arg[3], way))
+        elif kind in ("MAX_REPEAT", "MIN_REPEAT"):
+            out.append(texts_of(arg[2], way) * arg[0])
+        else:
+            assert kind in ("ASSERT", "ASSERT_NOT"), kind
+    return "".join(out)
+
+
+def test_every_license_rule_finds_a_text():
+    from re import _parser
+    rules, dead = license_scan.signatures(), []
+    assert len({r.name for r in rules}) == len(rules)
+    for r in rules:
+        parsed = _parser.parse(r.pattern.pattern.decode())
+        before = "spdx license identifier " if "/joined-id/" in r.name else ""
+        for way in range(4):
+            canonical = f" {before}{texts_of(parsed, way)} ".encode()
+            kept = license_scan.detect(canonical, rules)
+            if not (r.keyword in canonical and r.also in canonical and r.pattern.search(canonical)
+                    and r.label in {d.signature.label for d in kept}):
+                dead.append((r.name, way, canonical, [d.signature.name for d in kept]))
+    assert not dead
+
+
+@pytest.mark.parametrize("text, labels", [
+    ("SPDX-License-Identifier: MIT", "mit"), ("SPDX-License-Identifier: ISC", "isc"), ("SPDX-License-Identifier: Zlib", "zlib"),
+    ("SPDX-License-Identifier: EPL-2.0", "epl-2"), ("SPDX-License-Identifier: BSL-1.0", "bsl-1"),
+    ("SPDX-License-Identifier: Artistic-2.0", "artistic-2"), ("SPDX-License-Identifier: Unlicense", "unlicense"),
+    ("SPDX-License-Identifier: (MIT OR Apache-2.0) AND Zlib", "apache-2,mit,zlib"), ("License: MIT", "mit"),
+    ("licensed under MIT", "mit"), ("Licensed under GPL.", "gpl"), ("Die License mit der Nummer", ""), ("ruby and openssl, mit zlib", ""),
+    ("Copyright X. All rights reserved. Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+     "software and associated documentation files (the \"Software\"), to deal in the Software without restriction", "mit"),
+    ("Copyright X. All rights reserved.\n * Redistribution and use in source and binary forms, with or without modification, are "
+     "permitted provided that the following conditions are met:\n * 1. The notice.", "bsd-2-clause"),
+    ("All rights reserved. Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+     "that the following conditions are met: 1. The notice. 3. Neither the name of X nor", "bsd-3-clause"),
+    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+     "published by the Free Software Foundation, either version 3 of the License, or any later version.", "gpl-3"),
+    ("All rights reserved. Licensed under the MIT license. Permission is hereby granted, free of charge, to any person obtaining "
+     "a copy of this software and associated documentation files", "mit,proprietary"),
+])
+def test_license_ids_and_bodies(text, labels):
+    canonical = f" {' '.join(words_of(text))} ".encode()
+    kept = license_scan.detect(canonical, license_scan.signatures())
+    assert ",".join(sorted({d.signature.label for d in kept})) == labels
+
+
 def brute_main_text(paragraphs):
     return "\n\n".join(" ".join(p.split()) for p in paragraphs if p.split())
 
