@@ -1,4 +1,4 @@
-"""Benchmark decontamination over a distributed positional inverted index.
+"""Benchmark decontamination over a distributed positional forward index.
 
 The benchmark's windows name the terms that matter.  One pass over the
 documents stores the postings of those terms, document by document: position
@@ -9,9 +9,13 @@ the next rarer terms' offset-adjusted lists cut them down until only exact
 phrases (or, with ``slop``, phrases whose words are shifted by at most that
 much) remain.  All of a document's lists lie in one row, so no candidate is
 shuffled, and a document or term that is very frequent stays spread over tasks.
+There is no table keyed by term: every document is read once a block in any
+case, and lists kept by term would send each posting and candidate through a
+shuffle, most of them for the terms that all documents share.
 
 The benchmark is taken in blocks of at most ``block_words`` words, so what the
-tasks hold of it is bounded; each block is one index and one look-up.
+tasks and the driver, which makes the windows, hold of it is bounded; each block
+is one index over all documents and one look-up.
 """
 
 from __future__ import annotations
@@ -221,20 +225,24 @@ def matches(index: DataFrame, groups: list[Windows], names: list[str], counts: n
     return map_arrow(index, run, schema)
 
 
-def blocks_of(benchmark: DataFrame, item_col: str, text_col: str, block_words: int):
-    """Lists of ``(name, words)`` of at most ``block_words`` words each (one item at least),
-    read item by item: the driver holds one block."""
+def blocks_of(benchmark: DataFrame, item_col: str, text_col: str, block_words: int, window: int = WINDOW):
+    """Lists of ``(name, words)`` of at most ``block_words`` words each (one window at least),
+    read item by item: the driver holds one item's text and one block.  A longer item is
+    taken in pieces that share ``window - 1`` words, so each of its windows is in one."""
     block, words = [], 0
     rows = benchmark.select(F.coalesce(F.col(f"`{item_col}`").cast("string"), F.lit("")).alias("item"),
                             F.col(f"`{text_col}`").cast("string").alias("text"))
     for r in rows.toLocalIterator():
-        own = words_of((r["text"] or "").encode())
-        if block and words + len(own) > block_words:
-            yield block
-            block, words = [], 0
-        if own:
-            block.append((r["item"], own))
-            words += len(own)
+        whole = words_of((r["text"] or "").encode())
+        size = max(block_words, window)
+        for at in range(0, max(1, len(whole) - window + 1), size - window + 1):
+            own = whole[at:at + size]
+            if block and words + len(own) > block_words:
+                yield block
+                block, words = [], 0
+            if own:
+                block.append((r["item"], own))
+                words += len(own)
     yield block
 
 
@@ -252,7 +260,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     nothing; empty documents give an empty table.  Other columns are not read."""
     spark = docs.sparkSession
     found = []
-    for block in blocks_of(benchmark, item_col, item_text_col, block_words):
+    for block in blocks_of(benchmark, item_col, item_text_col, block_words, window):
         vocabulary = {w: i for i, w in enumerate(sorted({w for _, ws in block for w in ws}))}
         names = sorted({name for name, _ in block})
         number = {name: i for i, name in enumerate(names)}

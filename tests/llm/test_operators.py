@@ -213,6 +213,21 @@ def test_decontamination_matches_a_plain_search(spark, docs, none, block_words):
     assert all(not r["items"] for r in decontaminate.contamination(docs, bench.limit(0)).collect())
 
 
+def test_a_long_item_is_taken_in_blocks(spark):
+    rnd = random.Random(6)
+    words = [f"w{rnd.randint(0, 400)}" for _ in range(100)]
+    items = [(1, " ".join(words)), (2, "one two"), (3, None), (4, " ".join(words[:25]))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for block_words in (1, 12, 40):
+        blocks = list(decontaminate.blocks_of(bench, "item_id", "text", block_words))
+        assert max(sum(len(ws) for _, ws in b) for b in blocks) <= max(block_words, decontaminate.WINDOW)
+        got = {(n, tuple(w.decode() for w in ws[i:i + 10])) for b in blocks for n, ws in b for i in range(max(1, len(ws) - 9))}
+        assert got == {(str(n), tuple(words_of(t)[i:i + 10])) for n, t in items for i in range(max(1, len(words_of(t)) - 9)) if t}
+    docs = spark.createDataFrame([(7, " ".join(words[20:60])), (8, " ".join(words[70:79]))], "doc_id long, text string")
+    out = {r.id: r for r in decontaminate.contamination(docs, bench, block_words=60).collect()}
+    assert sum(x.finish - x.begin for x in out[7].runs) == 40 and out[7]["items"] == ["1"] and not out[8]["items"]
+
+
 def test_proximity_takes_shifted_words(spark):
     docs = spark.createDataFrame([(1, "a b x c d e"), (2, "a b c d e"), (3, "a b x y z c d e"), (4, "d e")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "a b c d e")], "item_id long, text string")
