@@ -176,28 +176,30 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], dimensions: int = DIME
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
                     usable: Column, max_rows: int = MAX_ROWS) -> DataFrame:
-    """``label, buckets, n`` of at most ``max_rows`` labelled rows, smallest id hashes first."""
+    """``label, order, size, text, buckets, n`` (``text`` is its hash) of at most ``max_rows``
+    labelled ids, smallest id hashes first; rows with one id and text count once."""
     spark = docs.sparkSession
     key = F.col(f"`{id_col}`")
     chosen = (labels.filter(usable & key.isNotNull() & F.col(label_col).isin(0, 1))
               .select(key.alias("id"), F.col(label_col).cast("int").alias("label")).distinct()
               .withColumn("order", F.xxhash64("id")).orderBy("order", "id", "label").limit(max_rows))
     texts = docs.select(key.alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    joined = texts.join(F.broadcast(chosen), "id").select("label", "order", "text")  # max_rows rows are broadcast
+    joined = texts.join(F.broadcast(chosen), "id")                                  # max_rows rows are broadcast
+    joined = joined.select("id", "label", "order", "text").distinct().select("label", "order", "text")
 
     def run(batches):
         for b in batches:
             made = [counted(t) for t in b.column(2).to_pylist()]
             kind = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([len(x[0]) for x in made], pa.int64()),
+                [b.column(0), b.column(1), pa.array([len(x[0]) for x in made], pa.int64()), b.column(3),
                  pa.array([x[0].astype(np.int32) for x in made], kind),
                  pa.array([x[1].astype(np.int32) for x in made], kind)],
-                names=["label", "order", "size", "buckets", "n"])
+                names=["label", "order", "size", "text", "buckets", "n"])
 
     path = scratch_path(spark, "classifier-sample")
-    schema = "label INT, order BIGINT, size BIGINT, buckets ARRAY<INT>, n ARRAY<INT>"
-    map_arrow(joined, run, schema).write.parquet(path)
+    schema = "label INT, order BIGINT, size BIGINT, text BIGINT, buckets ARRAY<INT>, n ARRAY<INT>"
+    map_arrow(joined.withColumn("hash", F.xxhash64("text")), run, schema).write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -206,19 +208,21 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_i
     """A model from the labelled rows for which ``usable`` (a condition on ``labels``) holds.
 
     At most ``max_rows`` rows and ``max_features`` features are brought to the
-    driver.  Labels other than 0 and 1, null labels and null ids are left out; an
+    driver, the first by id hash, label, size and text hash, however many texts an
+    id has; equal rows count once.  Labels other than 0 and 1, null labels and null ids are left out; an
     id with both labels counts with both.  Without any row the score is 0.5."""
     sample = labelled_sample(docs, labels, id_col, text_col, label_col, usable, max_rows)
-    sizes = sorted((r["order"], r["size"]) for r in sample.select("order", "size").limit(2 * max_rows).collect())
+    place = ["order", "label", "size", "text"]
     total, last = 0, None
-    for order, size in sizes:
-        total += size
+    for r in sample.select(*place).orderBy(*place).limit(max_rows).collect():
+        total += r["size"]
         if total > max_features:
             break
-        last = order
+        last = r
     if last is None:
         return Model(np.zeros(1 << BUCKET_BITS), 0.0)
-    table = (sample.filter(F.col("order") <= last).orderBy("order", "label", "size")
+    table = (sample.filter(F.struct(*place) <= F.struct(*[F.lit(v).cast(sample.schema[c].dataType) for c, v in zip(place, last)]))
+             .orderBy(*place)
              .select("label", "buckets", "n").toArrow().combine_chunks())
     if not table.num_rows:
         return Model(np.zeros(1 << BUCKET_BITS), 0.0)

@@ -578,6 +578,20 @@ def test_classifier_learns_and_scores_whole_texts(spark, none, monkeypatch):
     assert [r.score for r in quality_classifier.score(docs.limit(2), empty).collect()] == [0.5, 0.5]
 
 
+def test_the_sample_is_bounded_when_an_id_repeats(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality_classifier, "train", lambda rows: seen.append(rows) or quality_classifier.Model(np.zeros(1), 0.0))
+    rows = [(1, "same text")] * 300 + [(2, f"text number {i}") for i in range(300)] + [(i, f"own {i}") for i in range(3, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 9)], "doc_id long, quality int")
+    for some in (docs, docs.repartition(7), docs.orderBy(F.desc("text"))):
+        quality_classifier.fit(some, labels, usable=F.lit(True), max_rows=20)
+        quality_classifier.fit(some, labels.filter("doc_id != 2"), usable=F.lit(True), max_rows=20, max_features=60)
+    plain = [[(y, b.tolist(), n.tolist()) for y, b, n in rows] for rows in seen]
+    assert plain[0] == plain[2] == plain[4] and len(plain[0]) == 20
+    assert plain[1] == plain[3] == plain[5] and 0 < sum(len(b) for _, b, _ in plain[1]) <= 60
+
+
 def test_feature_buckets_follow_the_definition():
     t = "ab ab\nabc d"
     found = [b for x in quality_classifier.slices(t) for _, b in quality_classifier.features(x)]
