@@ -29,6 +29,7 @@ from .arrow import map_arrow
 
 SEQ_LEN = 2048
 GROUP_BYTES = 8 << 20
+ROW_BYTES = 64             # counted for a row besides its text where copies crowd a group
 #: Tokens held before they are packed, whatever the group.
 HOLD_TOKENS = 1 << 23
 END_ID = 50256           # the id the rank file leaves free: ends every document, fills every row
@@ -147,12 +148,25 @@ def segments(n: int, size: int) -> list[tuple[int, int]]:
 
 
 def grouped(docs: DataFrame, id_col: str, text_col: str, group_bytes: int) -> DataFrame:
-    """``grp, id, text`` in ``grp`` order within partitions, longest texts first."""
+    """``grp, id, text`` in ``grp`` order within partitions, longest texts first.
+
+    Copies of one row whose bytes exceed a group's are dealt over so many groups."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    groups = max(1, -(-total // group_bytes))
-    return (rows.withColumn("grp", F.pmod(F.xxhash64("id", "text"), F.lit(groups)).cast("int"))
+    sizes = (rows.groupBy(F.xxhash64("id", "text").alias("key"))
+             .agg(F.count("*").alias("copies"), F.sum(F.octet_length("text")).alias("n"),
+                  F.sum(F.octet_length("text") + ROW_BYTES).alias("weight")))
+    heavy = F.when((F.col("copies") > 1) & (F.col("weight") > group_bytes),
+                   F.struct("key", F.ceil(F.col("weight") / group_bytes).alias("parts")))
+    total, crowds = sizes.agg(F.sum("n"), F.collect_list(heavy)).first()   # at most one crowd for each group_bytes
+    groups = max(1, -(-(total or 0) // group_bytes))
+    key = F.xxhash64("id", "text")
+    if crowds:
+        known = docs.sparkSession.createDataFrame([tuple(c) for c in crowds], "crowd BIGINT, parts BIGINT")
+        rows = rows.join(F.broadcast(known), key == F.col("crowd"), "left")
+        part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("parts"))
+        key = F.when(F.col("parts").isNull(), key).otherwise(F.xxhash64("id", "text", part))
+    return (rows.withColumn("grp", F.pmod(key, F.lit(groups)).cast("int"))
             .repartition(groups, "grp")
             .sortWithinPartitions("grp", F.octet_length("text").desc(), "id", F.xxhash64("text"))
             .select("grp", "id", "text"))

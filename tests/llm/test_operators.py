@@ -293,6 +293,19 @@ def test_packing_is_lossless_and_best_fit(spark, docs, none):
     assert token_pack.pack(none, path).count() == 0
 
 
+def test_copies_of_one_row_are_packed_in_many_groups(spark):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    text = "the river and the stone " * 5
+    rows = [(1, text)] * 600 + [(None, None)] * 300 + [(i, f"own text {i} " * 9) for i in range(1000, 1300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = token_pack.pack(docs, path, seq_len=64, group_bytes=4000).collect()
+    own = [(r.grp, z - a) for r in got for d, a, z in zip(r.doc_ids, r.cu_seqlens, r.cu_seqlens[1:]) if d == 1]
+    length = len(token_pack.RankTokenizer(open(path, "rb").read()).encode(text)) + 1
+    assert sum(n for _, n in own) == 600 * length and sum(r.n_segments for r in got) == 1200
+    share = Counter(g for g, _ in own)
+    assert len(share) > 8 and max(share.values()) < 200
+
+
 def test_best_fit_matches_a_linear_search():
     rnd = random.Random(1)
     for _ in range(50):
