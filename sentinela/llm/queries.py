@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_extract, license_scan, line_dedup
-from . import quality_classifier, quality_rules, ring_shard, simhash, token_pack
+from . import bpe, conversation_repair, decontaminate, hard_negatives, html_extract, license_scan, line_dedup
+from . import onebit_search, quality_classifier, quality_rules, ring_shard, simhash, token_pack
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,6 +90,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("component").alias("component_id"))
 
 
+def op11_onebit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return onebit_search.search(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"), label=label)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(_table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -97,7 +110,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_html_extract, op3_license_scan, op4_token_pack, op5_ring_shard, op6_quality_rules,
-    op7_line_dedup, op8_decontamination, op9_bpe, op10_simhash, pipeline)}
+    op7_line_dedup, op8_decontamination, op9_bpe, op10_simhash, op11_onebit_search, op12_hard_negatives,
+    op13_conversation_repair, pipeline)}
 
 _STOP = ", ".join(f"'{w}'" for w in quality_rules.STOP_FORMS)
 
@@ -159,4 +173,22 @@ items AS (
 SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op12_hard_negatives": """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, o.vec_id, a.label = o.label AS same, list_inner_product(a.v, o.v)::BIGINT AS score
+  FROM e a JOIN e o ON a.vec_id <> o.vec_id WHERE a.vec_id % 50 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, s.vec_id AS negative_id, positive_score,
+       s.score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same
+WHERE 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= 3""",
 }
