@@ -7,25 +7,25 @@ candidate placement and the best placement per read is kept.
 Scale notes:
 * A reference is cut into windows before exploding, so no row holds a whole
   genome's k-mers.
+* DNA k-mers are packed numbers (``seeds``), never strings.
 * The reference side is broadcast only when its row count is proven under a
-  bound (2M k-grams are at most about 250 MB); otherwise both sides are shuffled on the k-gram key and AQE splits
-  skewed (repeat) keys.  No k-gram is capped or sampled away.
+  bound; otherwise reads keep only the k-mers that the references hold, and both
+  sides are shuffled on the codes, AQE splitting skewed (repeat) keys.  No k-gram
+  is capped or sampled away.
 * The bound is proven on the raw references (total length), before any
-  k-gram is built.  Broadcast joins probe on ``xxhash64`` of the k-gram and
-  re-check every hit against the k-gram itself; shuffle joins key on the
-  k-gram.  Both are exact.
+  k-gram is built.  Word shingles are broadcast by ``xxhash64`` and every hit is
+  re-checked against the words; otherwise they shuffle on the words.  Both are exact.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .joins import DEFAULT_BROADCAST_ROWS, total_at_most
 from .partitions import pin, spread
+from .seeds import both_strands, code_names, kmers, known_only, reverse_complement
 
 # ---------------------------------------------------------------- text form
 
@@ -97,32 +97,7 @@ def best_reference(seeds: DataFrame, doc_id: str = "doc_id", ref_id: str = "item
 READ_PIECE = 500
 
 
-def reverse_complement(seq) -> F.Column:
-    return F.reverse(F.translate(seq, "ACGT", "TGCA"))
-
-
-def _kmers(df: DataFrame, keys: list[str], seq: str, k: int, base_pos=None,
-           limit_col: str | None = None) -> DataFrame:
-    """``keys, pos, kmer, h`` for every ACGT-only k-mer of ``seq``; ``h`` is
-    ``xxhash64(kmer)``.  The ACGT test runs once per sequence, in a projection
-    below the explode (an expression listed next to a generator is evaluated
-    once per generated row), and per k-mer only for sequences holding other
-    letters (e.g. ``N``)."""
-    n = F.length(seq) - k + 1
-    if limit_col is not None:
-        n = F.least(n, F.col(limit_col))
-    extra = [base_pos] if base_pos is not None else []
-    # a NULL sequence has no k-mers; the non-NULL column keeps the join from
-    # inferring an ``isnotnull(kmer)`` filter that would cut every k-mer twice
-    checked = df.select(*keys, F.coalesce(F.col(seq), F.lit("")).alias(seq), *extra, n.alias("_n"),
-                        F.col(seq).rlike("^[ACGT]*$").alias("_clean"))
-    staged = checked.select(*keys, seq, *extra, "_clean",
-                            F.explode(F.when(F.col("_n") > 0, F.sequence(F.lit(0), F.col("_n") - 1))).alias("_i"))
-    kmer = F.substring(F.col(seq), F.col("_i") + 1, k)
-    pos = F.col("_i") + (F.col(base_pos) if base_pos is not None else F.lit(0))
-    return (staged.select(*keys, pos.cast("bigint").alias("pos"), kmer.alias("kmer"), "_clean")
-            .filter(F.col("_clean") | F.col("kmer").rlike(f"^[ACGT]{{{k}}}$"))
-            .select(*keys, "pos", "kmer", F.xxhash64("kmer").alias("h")))
+_kmers = kmers
 
 
 def cut(df: DataFrame, keys: list[str], seq: str, size: int, overlap: int = 0) -> DataFrame:
@@ -161,36 +136,76 @@ def reference_windows(refs: DataFrame, ref_id: str = "ref_id", seq: str = "seq",
 TILE = 64
 
 
-def matching_bases(placed: DataFrame, reads: DataFrame, refs: DataFrame, keys: list[str],
-                   broadcast: bool = False) -> DataFrame:
-    """``keys, matches``: bases of a placed read that equal the reference base
+def matching_bases(placed: DataFrame, refs: DataFrame, broadcast: bool = False) -> DataFrame:
+    """``rid, matches``: bases of a placed read that equal the reference base
     they lie on; letters other than A, C, G, T never match.
 
-    ``placed`` has ``keys, ref_id, strand, diag, nt_length``, ``reads`` has ``keys,
-    fwd``, ``refs`` has ``ref_id, seq``.  Reads and references meet tile by tile
-    (``TILE`` reference bases), so neither a genome nor a long read is compared in
-    one row.  Reads that share their keys and length count with their best."""
-    read_side = reads.select(*[F.col(c).alias(f"_r_{c}") for c in keys], "fwd")
-    same = reduce(and_, [placed[c].eqNullSafe(F.col(f"_r_{c}")) for c in keys])
-    one = (placed.join(read_side, same).filter(F.length("fwd") == F.col("nt_length"))
-           .select(*keys, "ref_id", "diag", "nt_length", F.xxhash64("fwd").alias("_f"),
-                   F.regexp_replace(F.when(F.col("strand") == "+", F.col("fwd"))
-                                    .otherwise(reverse_complement(F.col("fwd"))), "[^ACGT]", ".").alias("_o")))
+    ``placed`` has ``rid, fwd, ref_id, strand, diag, nt_length``, ``refs`` has
+    ``ref_id, seq``.  Reads and references meet tile by tile (``TILE`` reference
+    bases), so neither a genome nor a long read is compared in one row."""
+    one = placed.select("rid", "ref_id", "diag", "nt_length", F.regexp_replace(
+        F.when(F.col("strand") == "+", F.col("fwd")).otherwise(reverse_complement(F.col("fwd"))), "[^ACGT]", ".").alias("_o"))
     first = F.floor(F.greatest(F.col("diag"), F.lit(0)) / TILE) * TILE
     tiled = (one.select("*", F.explode(F.sequence(first, F.col("diag") + F.col("nt_length") - 1, F.lit(TILE).cast("bigint")))
                         .alias("start"))
              .withColumn("_lo", F.greatest("diag", "start"))
              .withColumn("_len", (F.least(F.col("diag") + F.col("nt_length"), F.col("start") + TILE) - F.col("_lo"))
                          .cast("int"))
-             .select(*keys, "_f", "ref_id", "start", "_len",
+             .select("rid", "ref_id", "start", "_len",
                      F.substring(F.col("_o"), (F.col("_lo") - F.col("diag") + 1).cast("int"), F.col("_len")).alias("_a"),
                      (F.col("_lo") - F.col("start")).cast("int").alias("_skip")))
     tiles = cut(refs.select("ref_id", "seq"), ["ref_id"], "seq", TILE).select("ref_id", "start", "piece")
     met = tiled.join(F.broadcast(tiles) if broadcast else tiles, ["ref_id", "start"])
     equal = F.size(F.filter(F.sequence(F.lit(1), F.col("_len")), lambda i: F.substring(F.col("_a"), i, 1)
                             == F.substring(F.col("piece"), F.col("_skip") + i, 1)))
-    return (met.groupBy(*keys, "_f").agg(F.sum(equal).alias("matches"))
-            .groupBy(*keys).agg(F.max("matches").alias("matches")))
+    return met.groupBy("rid").agg(F.sum(equal).alias("matches"))
+
+
+def held_reads(reads: DataFrame, keys: list[Column], seq: str) -> DataFrame:
+    """``rid``, the key columns, ``fwd`` and ``nt_length``, kept in the shared folder:
+    seeds then carry one BIGINT for a read whatever names it, and what made the
+    reads (framing, cutting) runs once."""
+    spark = reads.sparkSession
+    made = reads.select(F.monotonically_increasing_id().alias("rid"), *keys, F.upper(F.col(seq)).alias("fwd"))
+    made = made.withColumn("nt_length", F.length("fwd"))
+    path = scratch_path(spark, "reads")
+    made.write.parquet(path)
+    return spark.read.schema(made.schema).parquet(path)
+
+
+def seed_hits(held: DataFrame, genomes: DataFrame, k: int, window: int,
+              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+              max_filter_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """``rid, ref_id, strand, diag``, one row per shared k-mer of a read and a reference,
+    and whether the references were proven small.
+
+    Reads are enumerated on one strand: the read's reverse complement has at
+    ``q'`` the k-mer rc(read[L-k-q' : L-q']), so it matches a reference k-mer exactly
+    when the read's forward k-mer at ``q = L-k-q'`` equals that k-mer's reverse
+    complement, which the (smaller) reference side adds."""
+    codes = code_names(k)
+    index = both_strands(reference_windows(genomes, "ref_id", "seq", window, k), ["ref_id"], "wseq", k, "wstart") \
+        .withColumnRenamed("pos", "rpos")
+    pieces = cut(held.filter(F.col("nt_length") >= k), ["rid", "nt_length"], "fwd", READ_PIECE, k - 1)
+    # the read's place and its length as one number
+    read_k = kmers(pieces, ["rid", "nt_length"], "piece", k, base_pos="start", limit_col="n").select(
+        "rid", (F.shiftleft(F.col("nt_length").cast("bigint"), 32) + F.col("pos")).alias("at"), *codes)
+    # a reference of n bases has at most n k-mers per strand: prove the bound on the raw input
+    small = total_at_most(genomes, 2 * F.length("seq"), max_broadcast_rows)
+    if small:
+        met = read_k.join(F.broadcast(index), codes, "inner")
+    else:
+        met = known_only(read_k, index, codes, max_filter_rows).join(index, codes, "inner")
+    q, length = F.col("at") % (1 << 32), F.shiftright("at", 32)
+    qpos = F.when(F.col("strand") == "+", q).otherwise(length - k - q)
+    return met.select("rid", "ref_id", "strand", (F.col("rpos") - qpos).alias("diag")), small
+
+
+def read_keys(read_id: str | list[str]) -> tuple[list[str], list[Column]]:
+    """Names and columns that name a read: one id, or several columns together (sample, mate, ...)."""
+    if isinstance(read_id, str):
+        return ["read_id"], [F.col(read_id).alias("read_id")]
+    return list(read_id), [F.col(c) for c in read_id]
 
 
 def map_reads(reads: DataFrame, refs: DataFrame, k: int = 21, window: int = 200,
@@ -201,65 +216,33 @@ def map_reads(reads: DataFrame, refs: DataFrame, k: int = 21, window: int = 200,
 
     ``read_id`` is one column (returned as ``read_id``) or a list of columns that
     name a read together and are returned as they are, such as sample, mate and
-    id.  Repeated references count once.
+    id.  Repeated references count once; repeated reads are reads of their own.
 
     Returns ``read_id, gene, strand, start, end, nt_length, seeds, identity``
     where ``start`` is the 0-based reference position of read base 0 on the
     winning diagonal, ``seeds`` the number of read k-mers on that diagonal and
     ``identity`` the share of the read's bases that equal the reference base on
     that diagonal (see ``matching_bases``).  Reads with fewer than ``min_seeds`` seeds on every diagonal are left out.  Ties go to the smallest
-    reference id, then ``+`` strand, then smallest start.
+    reference id, then ``+`` strand, then smallest start.  ``operators.alignment``
+    places reads with gaps.
     """
     if k < 1:
         raise ValueError("k must be positive")
-    # one id, or several columns that together name a read (sample, mate, ...)
-    keys = ["read_id"] if isinstance(read_id, str) else list(read_id)
-    named = [F.col(read_id).alias("read_id")] if isinstance(read_id, str) else [F.col(c) for c in keys]
-    refs = refs.select(ref_id, ref_seq).distinct()
-    ref_k = _kmers(reference_windows(refs.select(F.col(ref_id).alias("ref_id"), F.upper(F.col(ref_seq)).alias("seq")),
-                                     "ref_id", "seq", window, k),
-                   ["ref_id"], "wseq", k, base_pos="wstart", limit_col="_wn")
-    # Both strands on the (small) reference side: the read's reverse complement
-    # has at q' the k-mer rc(read[L-k-q' : L-q']), so it matches a reference
-    # k-mer exactly when the read's forward k-mer at q = L-k-q' matches the
-    # reverse complement of that reference k-mer.  Reads are enumerated once.
-    plus = ref_k.select("ref_id", F.col("pos").alias("rpos"), F.lit("+").alias("strand"),
-                        F.col("kmer").alias("rkmer"), "h")
-    minus = (ref_k.select("ref_id", F.col("pos").alias("rpos"), F.lit("-").alias("strand"),
-                          reverse_complement(F.col("kmer")).alias("rkmer"))
-             .withColumn("h", F.xxhash64("rkmer")))
-    ref_both = plus.unionByName(minus)
-    r = reads.select(*named, F.upper(F.col(read_seq)).alias("fwd"))
-    r = r.select(*keys, F.length("fwd").alias("nt_length"), "fwd")
-    read_k = _kmers(cut(r, [*keys, "nt_length"], "fwd", READ_PIECE, k - 1), [*keys, "nt_length"], "piece", k,
-                    base_pos="start", limit_col="n").withColumnRenamed("pos", "q")
-    # a reference of n bases has at most n k-mers per strand: prove the bound on the raw input
-    small = total_at_most(refs, 2 * F.length(F.col(ref_seq)), max_broadcast_rows)
-    if small:
-        hits = (read_k.join(F.broadcast(ref_both), "h", "inner")
-                .filter(F.col("kmer") == F.col("rkmer")))      # exact: hash hits are re-checked
-    else:
-        hits = read_k.join(ref_both.drop("h"), F.col("kmer") == F.col("rkmer"), "inner")
-    qpos = F.when(F.col("strand") == "+", F.col("q")).otherwise(F.col("nt_length") - k - F.col("q"))
-    hits = hits.withColumn("qpos", qpos)
-    votes = (hits.select(*keys, "strand", "nt_length", "ref_id",
-                         (F.col("rpos") - F.col("qpos")).alias("diag"), "qpos")
-             .groupBy(*keys, "strand", "nt_length", "ref_id", "diag")
-             # one row per (read k-mer, reference k-mer): on a fixed diagonal each
-             # read position meets at most one reference position
-             .agg(F.count(F.lit(1)).alias("seeds"))
+    keys, named = read_keys(read_id)
+    genomes = refs.select(F.col(ref_id).alias("ref_id"), F.upper(F.col(ref_seq)).alias("seq")).distinct()
+    held = held_reads(reads, named, read_seq)
+    hits, small = seed_hits(held, genomes, k, window, max_broadcast_rows)
+    # one row per (read k-mer, reference k-mer): on a fixed diagonal each read position meets at most one reference position
+    votes = (hits.groupBy("rid", "strand", "ref_id", "diag").agg(F.count(F.lit(1)).alias("seeds"))
              .filter(F.col("seeds") >= min_seeds))
     # best placement per read: a plain min aggregate (partial before the
     # shuffle), so a read with many candidate placements is never sorted whole
-    pick = F.min(F.struct((-F.col("seeds")).alias("ns"), "ref_id", "strand", "diag", "nt_length"))
-    best = votes.groupBy(*keys).agg(pick.alias("_b")).select(
-        *keys, (-F.col("_b.ns")).alias("seeds"), "_b.ref_id", "_b.strand", "_b.diag", "_b.nt_length")
-    # read twice below (comparison and result), so the votes are counted once
-    best = pin(best)
-    genomes = refs.select(F.col(ref_id).alias("ref_id"), F.upper(F.col(ref_seq)).alias("seq"))
-    equal = matching_bases(best, r, genomes, keys, small).select(
-        *[F.col(c).alias(f"_m_{c}") for c in keys], "matches")
-    found = best.join(equal, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_m_{c}")) for c in keys]))
+    pick = F.min(F.struct((-F.col("seeds")).alias("ns"), "ref_id", "strand", "diag"))
+    best = votes.groupBy("rid").agg(pick.alias("_b")).select(
+        "rid", (-F.col("_b.ns")).alias("seeds"), "_b.ref_id", "_b.strand", "_b.diag")
+    # read twice below (comparison and result), so the votes are counted and the winners' reads fetched once
+    placed = pin(best.join(held, "rid"))
+    found = placed.join(matching_bases(placed, genomes, small), "rid")
     return found.select(*keys, F.col("ref_id").alias("gene"), "strand",
                         F.col("diag").alias("start"), (F.col("diag") + F.col("nt_length")).alias("end"),
                         "nt_length", "seeds",
