@@ -99,7 +99,7 @@ def min_rows_guard(df: DataFrame, keys, min_rows: int = 2,
 def number_samples(hits: DataFrame, sample: str = "sample") -> DataFrame:
     """0-based sample numbers in name order, the reference's listing order:
     ``sample, index``.  One row per sample, numbered by ``row_index``."""
-    return row_index(hits.select(sample).distinct(), [sample], name="index")
+    return row_index(hits.select(sample).distinct(), [sample], name="index", unique=True)
 
 
 def positional_pairs(hits: DataFrame, patients: DataFrame, sample: str = "sample",

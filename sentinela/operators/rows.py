@@ -14,14 +14,14 @@ from operator import and_
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_root
+from ..session import scratch_path, shared_root
 from .joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 from .partitions import pin
 
 
 def row_index(df: DataFrame, order_by: list[str], partition_by: list[str] | tuple = (),
               name: str = "idx", n_buckets: int | None = None,
-              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, unique: bool = False) -> DataFrame:
     """Add ``name`` = 0-based position of each row in ``order_by`` order, counted
     within each ``partition_by`` group (W1; ``row_number() - 1`` semantics).
 
@@ -31,18 +31,27 @@ def row_index(df: DataFrame, order_by: list[str], partition_by: list[str] | tupl
     split it.  A row's position is its place in its range, plus the group's rows
     in earlier ranges, known from one counted row per (range, group).  Columns
     of any orderable type will do; NULLs sort first, NaN last, and NULL groups
-    are groups.  Rows equal in all ``order_by`` columns stay in one range and
-    take neighbouring positions in any order.
+    are groups.  Rows equal in all ``order_by`` columns take neighbouring
+    positions in any order, and are split over ranges as well: every task numbers its
+    rows and the number is the last range key.  ``unique`` promises that the order
+    tells all rows apart and saves that step.
     """
     spark = df.sparkSession
     shared_root(spark)  # checkpoint folder must exist before checkpoint()
     part = list(partition_by)
     ranges = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(f"`{c}`") for c in [*part, *order_by]]
-    held = df.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
     own = "_row"
     while any(c.startswith(own) for c in df.columns):   # helper columns must not clash with the caller's
         own = f"_{own}"
+    numbered, by = df, keys
+    if not unique:
+        # sorted first, with a hash of the row after the keys: a task that runs again gives
+        # its rows the same numbers (but for rows equal in all columns, which may change places)
+        whole = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+        numbered = df.sortWithinPartitions(*keys, F.xxhash64(*whole)).withColumn(f"{own}_tie", F.monotonically_increasing_id())
+        by = [*keys, F.col(f"{own}_tie")]
+    held = numbered.repartitionByRange(ranges, *by).sortWithinPartitions(*by).checkpoint(eager=True)
     at, mid, first, off = (f"{own}_{c}" for c in ("range", "mid", "first", "off"))
     placed = held.withColumn(at, F.spark_partition_id()).withColumn(mid, F.monotonically_increasing_id())
     cells = placed.groupBy(at, *[F.col(f"`{c}`") for c in part]).agg(F.min(mid).alias(first), F.count(F.lit(1)).alias(off))
@@ -67,30 +76,28 @@ def line_index(lines: DataFrame, name: str = "idx", per_file: bool = True,
     a file scan.  Inside one split, lines are contiguous and
     ``monotonically_increasing_id`` counts up by one, so the position is that id
     minus the split's first id plus the line count of the file's earlier splits.
-    Two passes over the files; only the per-split table (one row per split) is
-    materialised, never the lines.  If the files are split differently in the
-    second pass (other settings or parallelism), the query raises; no line is
-    ever dropped or numbered wrongly.
+
+    The files are read once: every line is kept in the shared folder together with
+    its split and id, and both the counts per split and the result come from there.
+    However the files are split later (other settings or parallelism), the numbers
+    stay those of the one pass.  Only the per-split table (one row per split) is joined.
     ``per_file=False`` numbers all lines of all
     files in (file path, offset) order, like ``zipWithIndex`` over a sorted
     listing; the running count then spans the small per-split table only.
     """
-    shared_root(lines.sparkSession)
+    spark = lines.sparkSession
+    path = scratch_path(spark, "lines")
     with_id = lines.withColumn("_mid", F.monotonically_increasing_id())
-    per_split = with_id.groupBy("file", "block").agg(F.min("_mid").alias("_first"),
-                                                     F.count(F.lit(1)).alias("_n"))
+    with_id.write.parquet(path)
+    held = spark.read.schema(with_id.schema).parquet(path)
+    per_split = held.groupBy("file", "block").agg(F.min("_mid").alias("_first"),
+                                                  F.count(F.lit(1)).alias("_n"))
     earlier = (Window.partitionBy("file").orderBy("block") if per_file
                else Window.orderBy("file", "block")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_split.select("file", "block", "_first", "_n",
-                               F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off")
-                               ).checkpoint(eager=True)
-    joined = with_id.join(broadcast_if_small(offsets, max_broadcast_rows), ["file", "block"], "left")
-    # a split that moved or changed its length puts at least one line outside 0.._n-1
-    within = F.col("_mid") - F.col("_first")
-    checked = F.when((within >= 0) & (within < F.col("_n")), F.col("_off") + within).otherwise(F.raise_error(F.concat(
-        F.lit("line_index: file splits changed between its two passes at "), F.col("file"), F.lit(":"),
-        F.col("block").cast("string"))).cast("bigint"))
-    return (joined.withColumn(name, checked.cast("bigint")).drop("_mid", "_first", "_off", "_n"))
+    offsets = pin(per_split.select("file", "block", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off")))
+    joined = held.join(broadcast_if_small(offsets, max_broadcast_rows), ["file", "block"])
+    return (joined.withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_first")).cast("bigint"))
+            .drop("_mid", "_first", "_off"))
 
 
 def first_rows(df: DataFrame, k: int, partition_by: list[str], order_by: list[str]) -> DataFrame:

@@ -37,6 +37,33 @@ def write_chunks(df: DataFrame, path: str, partition_cols: list[str], fmt: str =
     writer.format(fmt).save(path)
 
 
+def write_record_chunks(records: DataFrame, path: str, size: int, sample, mate, lines: list[str],
+                        number: str = "record") -> None:
+    """Framed records as text files in folders ``sample=/mate=/chunk=`` of ``size``
+    records each (K3, W2): ``records`` hold one record a row, its ``lines`` in columns and
+    its 0-based ``number`` within (sample, mate).
+
+    A record is one value of the text writer, so no record is cut between files.  Rows
+    are range-partitioned by sample, mate and number, so a chunk of any size is written
+    by as many tasks as it needs and its part files, in name order, hold its records in
+    order.  Lines that a record lacks (the last of a cut-off file) are left out."""
+    value = F.concat_ws("\n", *[F.col(c) for c in lines])
+    out = records.select(sample.alias("sample"), mate.alias("mate"),
+                         F.expr(f"{number} div {size} + 1").alias("chunk"), F.col(number).alias("_number"), value.alias("value"))
+    order = ["sample", "mate", "_number"]
+    (out.repartitionByRange(*order).sortWithinPartitions(*order).drop("_number")
+     .write.partitionBy("sample", "mate", "chunk").text(path))
+
+
+def write_mapping_result(rows: DataFrame, path: str) -> None:
+    """Mapping results as tab-separated files, a folder per ``sample`` (read back with
+    ``sources.files.read_mapping_result``).  Rows are dealt by sample and a hash of the
+    read, so a large sample is several part files and a small one is few."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (rows.repartition(parts, "sample", F.pmod(F.xxhash64("id"), F.lit(4))).sortWithinPartitions("sample")
+     .write.partitionBy("sample").option("sep", "\t").csv(path))
+
+
 def create_keyed_table(spark: SparkSession, name: str, df: DataFrame, key: str,
                        buckets: int, location: str | None = None) -> None:
     """A table bucketed and sorted by its key (T1): later joins and lookups on

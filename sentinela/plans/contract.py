@@ -329,7 +329,8 @@ def read_mapping(spark, sf_dir):
 
 
 # Letter-to-base map used to derive DNA from the text tables: a-z and the
-# accented Latin-1 letters, in code point order, stand for A, C, G, T in turn.
+# accented Latin-1 letters, in code point order, stand for A, C, G, T in turn;
+# any other letter stands for the base its code point has modulo 4.
 LETTERS = "".join(chr(c) for c in [*range(ord("a"), ord("z") + 1), *range(0xDF, 0xF7), *range(0xF8, 0x100)])
 BASES = "".join("ACGT"[i % 4] for i in range(len(LETTERS)))
 READ_LEN = 100
@@ -337,7 +338,10 @@ KMER = 16
 
 
 def _dna(text_col: str):
-    return F.translate(F.regexp_replace(F.lower(text_col), "[^a-zß-öø-ÿ]", ""), LETTERS, BASES)
+    most = F.translate(F.regexp_replace(F.lower(text_col), r"[^\p{L}]", ""), LETTERS, BASES)
+    each = F.transform(F.split(most, ""), lambda c: F.when(c.isin("", "A", "C", "G", "T"), c).otherwise(
+        F.substring(F.lit("ACGT"), F.ascii(c) % 4 + 1, 1)))
+    return F.when(most.rlike("[^ACGT]"), F.array_join(each, "")).otherwise(most)
 
 
 def _fasta(spark, refs) -> str:

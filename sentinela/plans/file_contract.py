@@ -13,19 +13,24 @@ from pyspark.sql import types as T
 
 from ..functions import cleaning as C
 from ..operators import abundance as A
+from ..operators import alignment
+from ..operators import mapping as M
 from ..operators import profile as P
 from ..operators import records as R
 from ..operators import reports as Q
 from ..operators import rows as W
+from ..operators import taxonomy
 from ..operators import warehouse as H
-from ..operators.partitions import pin
+from ..operators.partitions import pin, spread
 from ..session import scratch_path
 from ..sources import files as S
-from .contract import CHUNK_ROWS, LINES_PER_FILE, SKIP_ROWS, infection, table
+from .contract import CHUNK_ROWS, KMER, LINES_PER_FILE, READ_LEN, SKIP_ROWS, _dna, infection, table
 
 WARD_USERS = 10
 CALLS_PER_SAMPLE = 10
 BUCKETS = 8
+DOCS_PER_SAMPLE = 100
+RECORDS_PER_CHUNK = 15
 
 
 def _text(spark, df, name: str, **writer) -> str:
@@ -73,6 +78,96 @@ def agg_infection(spark, sf_dir):
     return made
 
 
+# --------------------------------------- reads, chunks, mapping, annotation
+
+def _sample(key):
+    """Documents in hundreds as samples: ``SRS`` and six digits."""
+    return F.concat(F.lit("SRS"), F.lpad(F.floor(key / DOCS_PER_SAMPLE).cast("string"), 6, "0"))
+
+
+def _fastq(rows, *folders):
+    """Rows of ``id, seq`` and folder columns as 4-line records; a quality line may open like a header."""
+    return rows.select(*folders, "at", F.concat_ws("\n", F.concat(F.lit("@"), F.col("id"), F.lit(" sampled")), "seq", F.lit("+"),
+                                                   F.rpad(F.lit("@"), F.length("seq"), "I")).alias("value"))
+
+
+def _benchmark_genomes(spark, sf_dir):
+    """Benchmark items as genomes in FASTA files with Windows line ends, read back."""
+    path = scratch_path(spark, "genomes")
+    items = table(spark, sf_dir, "benchmark").select("item_id", _dna("text").alias("seq"))
+    lines = F.regexp_replace("seq", "(.{70})", "$1\r\n")
+    items.select(F.concat_ws("\r\n", F.concat(F.lit(">"), _accession("item_id"), F.lit(" item A>G")), lines).alias("value")) \
+        .write.text(path)
+    return S.read_fasta(spark, path)
+
+
+def _accession(item):
+    return F.concat(F.lit("NC_"), F.lpad(item.cast("string") if not isinstance(item, str) else F.col(item).cast("string"), 9, "0"))
+
+
+def _taxa(spark, sf_dir):
+    """A parent table over the benchmark items: item, one of 7 genera, one of 3 families, the root."""
+    item = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("i"), F.lit(1).alias("one"))
+    genus, family = F.concat(F.lit("g"), F.pmod("i", F.lit(7))), F.concat(F.lit("f"), F.pmod(F.pmod("i", F.lit(7)), F.lit(3)))
+    rows = [(_accession(F.col("i")), genus, F.concat(F.lit("item "), F.col("i"))), (genus, family, F.concat(F.lit("Genus "), genus)),
+            (family, F.lit("r"), F.concat(F.lit("Family "), family)), (F.lit("r"), F.lit("r"), F.lit("Bacteria"))]
+    made = [item.select(t.alias("taxon"), p.alias("parent"), n.alias("name")).distinct() for t, p, n in rows]
+    return made[0].unionByName(made[1]).unionByName(made[2]).unionByName(made[3])
+
+
+def sequencing_pipeline(spark, sf_dir):
+    """FASTQ files of all samples to ``infection``: reads framed, placed with gaps on the
+    genomes, written as the 11-column mapping result, read back by sample, counted,
+    annotated from lineages and paired with patients by position."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", _dna("text").alias("dna"))
+    cut = M.cut(spread(docs, ["doc_id"]), ["doc_id"], "dna", READ_LEN).select(
+        _sample(F.col("doc_id")).alias("sample"), F.concat_ws("_", "doc_id", "start").alias("id"),
+        F.struct("doc_id", "start").alias("at"), F.col("piece").alias("seq"))
+    raw = scratch_path(spark, "raw-reads")
+    (_fastq(cut, "sample").repartition("sample").sortWithinPartitions("sample", "at").drop("at")
+     .write.partitionBy("sample").text(raw))
+    reads = S.read_fastq(spark, raw).select(
+        F.substring_index(F.element_at(F.split("file", "/"), -2), "=", -1).alias("sample"), "read_id", "seq")
+    genomes = _benchmark_genomes(spark, sf_dir)
+    placed = alignment.align_reads(reads, genomes, k=KMER, read_id=["sample", "read_id"])
+    names = genomes.select(F.col("ref_id").alias("gene"), F.col("description").alias("strain"))
+    results = scratch_path(spark, "mapping-results")
+    H.write_mapping_result(alignment.mapping_result(placed, F.col("read_id"), names, F.col("sample")), results)
+    hits = S.read_mapping_result(spark, f"{results}/*/part-*")
+    known = taxonomy.lineages(_taxa(spark, sf_dir)).select(F.col("taxon").alias("gene"), "lineage")
+    patients = table(spark, sf_dir, "customer").select("c_custkey")
+    ids = scratch_path(spark, "patient-ids")
+    (patients.orderBy("c_custkey").select(F.col("c_custkey").cast("double").alias("Discharge ID"), F.lit("x").alias("note"))
+     .write.option("header", True).csv(ids))
+    pairs = A.positional_pairs(hits, S.read_patient_index(spark, ids))
+    return A.infection_from_hits(hits, pin(A.taxonomy_labels(known)), pin(pairs))
+
+
+def fastq_chunks(spark, sf_dir):
+    """Raw read files cut into chunk files of whole records and read back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", _dna("text").alias("seq"))
+    mate = (F.pmod("doc_id", F.lit(2)) + 1).alias("mate")
+    rows = spread(docs, ["doc_id"]).select(_sample(F.col("doc_id")).alias("sample"), mate, F.col("doc_id").alias("at"),
+                                           F.col("doc_id").cast("string").alias("id"), "seq")
+    raw = scratch_path(spark, "raw-fastq")
+    (_fastq(rows, "sample", "mate").repartition("sample", "mate").sortWithinPartitions("sample", "mate", "at").drop("at")
+     .write.partitionBy("sample", "mate").text(raw))
+    folder = F.split("file", "/")
+    records = S.read_fastq_records(spark, raw)
+    chunks = scratch_path(spark, "fastq-chunks")
+    H.write_record_chunks(records, chunks, RECORDS_PER_CHUNK, F.substring_index(F.element_at(folder, -3), "=", -1),
+                          F.substring_index(F.element_at(folder, -2), "=", -1).cast("int"), ["header", "seq", "plus", "qual"])
+    back = S.read_fastq(spark, chunks)
+
+    def part(i):
+        return F.substring_index(F.element_at(folder, i), "=", -1)
+
+    ident = F.col("read_id").cast("bigint")
+    return (back.groupBy(C.chunk_name(part(-4), part(-3), part(-2)).alias("chunk"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min(ident).alias("first_id"), F.max(ident).alias("last_id"),
+                 F.sum(F.length("seq")).alias("bases"), F.sum((F.length("qual") == F.length("seq")).cast("int")).alias("whole")))
+
+
 # ------------------------------------------------------------ file sources
 
 def catalogue_file(spark, sf_dir):
@@ -248,5 +343,5 @@ def patient_facts(spark, sf_dir):
 
 
 FILE_QUERIES = {f.__name__: f for f in (
-    annotation_job, agg_infection, catalogue_file, id_list_file, object_worklist, parts_file, chunk_files, keyed_table,
+    annotation_job, sequencing_pipeline, fastq_chunks, agg_infection, catalogue_file, id_list_file, object_worklist, parts_file, chunk_files, keyed_table,
     discharge_demographics, discharge_billing, patient_panel, pharmacy_rejects, patient_facts)}

@@ -1,6 +1,6 @@
 """Independent DuckDB SQL for the queries of ``file_contract`` (same column names)."""
 
-from .oracle import INF, ORACLE_SQL
+from .oracle import _DNA, INF, ORACLE_SQL
 
 #: Amount columns of the billing table by their position in a discharge line.
 _AMOUNTS = {76: "adj_billed_charges", 77: "clinical_charges", 78: "imaging_charges", 79: "lab_charges",
@@ -23,6 +23,40 @@ FILE_ORACLE_SQL = {
         SELECT c.sample, 'Bacteria_' || c.event_type AS bacteria, c.otu, p.record_id
         FROM c JOIN s ON c.sample = s.sample JOIN p ON s.i = p.i
         WHERE c.sample IN (SELECT sample FROM c GROUP BY sample HAVING count(*) >= 2)""",
+    "sequencing_pipeline": f"""
+        WITH d AS (SELECT doc_id, {_DNA} AS dna FROM documents),
+        r0 AS (SELECT doc_id, dna, unnest(generate_series(0, greatest(length(dna) - 1, 0), 100)) AS read_start FROM d),
+        rq AS (SELECT doc_id, read_start, substring(dna, read_start + 1, 100) AS seq FROM r0),
+        rs AS (SELECT doc_id, read_start, '+' AS strand, seq FROM rq WHERE length(seq) >= 16
+               UNION ALL SELECT doc_id, read_start, '-', reverse(translate(seq, 'ACGT', 'TGCA')) FROM rq WHERE length(seq) >= 16),
+        qk AS (SELECT doc_id, read_start, strand, qpos, substring(seq, qpos + 1, 16) AS kmer
+               FROM (SELECT *, unnest(generate_series(0, length(seq) - 16)) AS qpos FROM rs)),
+        rk AS (SELECT item_id, rpos, substring(dna, rpos + 1, 16) AS kmer
+               FROM (SELECT item_id, dna, unnest(generate_series(0, length(dna) - 16)) AS rpos
+                     FROM (SELECT item_id, {_DNA} AS dna FROM benchmark) WHERE length(dna) >= 16)),
+        votes AS (SELECT doc_id, read_start, strand, item_id, rpos - qpos AS diag, count(*) AS n
+                  FROM qk JOIN rk USING (kmer) GROUP BY ALL),
+        chain AS (SELECT doc_id, read_start, strand, item_id, moved, floor((diag + moved) / 12.0) AS bucket,
+                         sum(n) AS seeds, max(diag) - min(diag) AS width, min(diag) AS low
+                  FROM votes, (SELECT unnest([0, 6]) AS moved) GROUP BY ALL HAVING sum(n) >= 2),
+        best AS (SELECT doc_id, item_id FROM chain
+                 QUALIFY row_number() OVER (PARTITION BY doc_id, read_start
+                                            ORDER BY seeds DESC, width, item_id, strand, low) = 1),
+        h AS (SELECT 'sample=SRS' || lpad(CAST(doc_id // 100 AS VARCHAR), 6, '0') AS sample, item_id FROM best),
+        c AS (SELECT sample, item_id, count(*) AS otu FROM h GROUP BY ALL),
+        s AS (SELECT sample, row_number() OVER (ORDER BY sample) AS i FROM (SELECT DISTINCT sample FROM h)),
+        p AS (SELECT c_custkey AS record_id, row_number() OVER (ORDER BY c_custkey) AS i FROM customer)
+        SELECT c.sample, 'Bacteria_Family f' || (item_id % 7 % 3) || '_Genus g' || (item_id % 7) || '_item ' || item_id AS bacteria,
+               c.otu, p.record_id
+        FROM c JOIN s ON c.sample = s.sample JOIN p ON s.i = p.i
+        WHERE c.sample IN (SELECT sample FROM c GROUP BY sample HAVING count(*) >= 2)""",
+    "fastq_chunks": f"""
+        WITH d AS (SELECT doc_id, 'SRS' || lpad(CAST(doc_id // 100 AS VARCHAR), 6, '0') AS sample, doc_id % 2 + 1 AS mate,
+                          length({_DNA}) AS bases FROM documents),
+        n AS (SELECT *, (row_number() OVER (PARTITION BY sample, mate ORDER BY doc_id) - 1) // 15 + 1 AS c FROM d)
+        SELECT sample || '_' || mate || '_' || c AS chunk, count(*) AS n, min(doc_id) AS first_id, max(doc_id) AS last_id,
+               CAST(sum(bases) AS BIGINT) AS bases, count(*) AS whole
+        FROM n GROUP BY sample, mate, c""",
     "agg_infection": ORACLE_SQL["infection_profile"],
     "catalogue_file": ORACLE_SQL["catalogue_filter"],
     "id_list_file": """

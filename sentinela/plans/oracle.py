@@ -9,8 +9,10 @@ INF = ("inf AS (SELECT user_id AS record_id, event_type AS bacteria, count(event
        "FROM events GROUP BY user_id, event_type)")
 
 _LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
-_DNA = ("translate(regexp_replace(lower(text), '[^a-zß-öø-ÿ]', '', 'g'), "
-        f"'{_LETTERS}', '{('ACGT' * 20)[:len(_LETTERS)]}')")
+_MOST = ("translate(regexp_replace(lower(text), '[^\\p{L}]', '', 'g'), "
+         f"'{_LETTERS}', '{('ACGT' * 20)[:len(_LETTERS)]}')")
+_DNA = (f"CASE WHEN regexp_matches({_MOST}, '[^ACGT]') THEN array_to_string([CASE WHEN c IN ('A', 'C', 'G', 'T') THEN c "
+        f"ELSE substring('ACGT', unicode(c) % 4 + 1, 1) END FOR c IN string_split({_MOST}, '')], '') ELSE {_MOST} END")
 
 _WORDS = "list_filter(regexp_split_to_array(lower(text), '[^\\p{L}]+'), lambda x: x <> '')"
 

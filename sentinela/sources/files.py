@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import cleaning as C
 from ..operators.rows import frame_records, line_index
 
 # The 11 column names of the read-mapping result, in file order
@@ -92,7 +93,7 @@ def read_patient_index(spark: SparkSession, paths, id_col: int = 0) -> DataFrame
     first = raw.columns[id_col]
     rows = raw.select(F.col("_metadata.file_path").alias("file"),
                       F.col("_metadata.file_block_start").alias("block"),
-                      F.col(f"`{first}`").try_cast("double").try_cast("bigint").alias("record_id"))
+                      C.parse_int_trunc(F.col(f"`{first}`")).alias("record_id"))
     return line_index(rows, name="index", per_file=False).select("record_id", "index")
 
 
@@ -115,26 +116,30 @@ def read_fasta(spark: SparkSession, paths) -> DataFrame:
     raw = spark.read.option("lineSep", "\n>").text(paths)
     opened = raw.withColumn("value", F.regexp_replace("value", r"^\s*>", ""))  # the file's first record
     body = opened.filter(F.length(F.trim("value")) > 0)
-    header = F.split_part(F.col("value"), F.lit("\n"), F.lit(1))
+    header = F.regexp_replace(F.split_part(F.col("value"), F.lit("\n"), F.lit(1)), r"^\s+|\s+$", "")  # a CR too
     seq = F.upper(F.regexp_replace(
         F.when(F.instr("value", "\n") > 0, F.expr("substr(value, instr(value, '\n') + 1)"))
         .otherwise(F.lit("")), r"\s+", ""))
     return body.select(F.col("_metadata.file_path").alias("file"),
-                       F.split_part(F.trim(header), F.lit(" "), F.lit(1)).alias("ref_id"),
-                       F.trim(header).alias("description"), seq.alias("seq"))
+                       F.regexp_extract(header, r"^\S*", 0).alias("ref_id"),
+                       header.alias("description"), seq.alias("seq"))
 
 
-def read_fastq(spark: SparkSession, paths) -> DataFrame:
-    """FASTQ reads framed as 4-line records: ``file, record, read_id, seq, qual``.
+def read_fastq_records(spark: SparkSession, paths) -> DataFrame:
+    """FASTQ files framed as 4-line records, the lines as they are: ``file, record,
+    header, seq, plus, qual, n_lines`` (S6).
 
     A quality line may begin with ``@``, so records are framed by line number
     in the file (``line div 4``), not by searching for ``@``.
     """
-    lines = line_index(read_lines(spark, paths))
-    framed = frame_records(lines, 4, names=["header", "seq", "plus", "qual"])
-    return framed.select("file", "record",
-                         F.split_part(F.expr("substr(header, 2)"), F.lit(" "), F.lit(1)).alias("read_id"),
-                         "seq", "qual", "n_lines")
+    return frame_records(line_index(read_lines(spark, paths)), 4, names=["header", "seq", "plus", "qual"])
+
+
+def read_fastq(spark: SparkSession, paths) -> DataFrame:
+    """FASTQ reads: ``file, record, read_id, seq, qual, n_lines``."""
+    return read_fastq_records(spark, paths).select(
+        "file", "record", F.split_part(F.expr("substr(header, 2)"), F.lit(" "), F.lit(1)).alias("read_id"),
+        "seq", "qual", "n_lines")
 
 
 def list_objects(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:

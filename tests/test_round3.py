@@ -1,0 +1,119 @@
+"""Lineages, ties in row numbers, line numbers of one pass, FASTQ chunk files."""
+
+import random
+
+from pyspark.sql import functions as F
+
+from conftest import write_text
+from sentinela.operators import rows as W
+from sentinela.operators import taxonomy
+from sentinela.operators import warehouse as H
+from sentinela.sources import files as S
+
+
+def test_lineages_deep_trees_orphans_and_cycles(spark):
+    rows = [(f"d{i:02}", f"d{i - 1:02}" if i else None, f"n{i}") for i in range(41)]      # depth 41
+    rows += [("self", "self", "S"), ("o1", "missing", "O1"), ("o2", "o1", "O2")]
+    rows += [("c1", "c2", "C1"), ("c2", "c3", "C2"), ("c3", "c1", "C3"), ("tail", "c1", "T"), ("tail2", "tail", "T2")]
+    rows += [("d05", "zz", "late"), (None, "d01", "no taxon"), ("noname", "d00", None)]
+    df = spark.createDataFrame(rows, "taxon string, parent string, name string")
+    got = {r.taxon: r for r in taxonomy.lineages(df).collect()}
+    assert len(got) == 41 + 3 + 5 + 1
+    for i in range(41):
+        r = got[f"d{i:02}"]
+        assert (r.lineage, r.depth, r.status) == ([f"n{j}" for j in range(i + 1)], i + 1, "ok")
+    assert (got["self"].lineage, got["self"].status) == (["S"], "ok")
+    assert (got["o1"].status, got["o2"].lineage, got["o2"].status) == ("orphan", ["O1", "O2"], "orphan")
+    assert all(got[t].status == "cycle" and got[t].lineage is None for t in ("c1", "c2", "c3", "tail", "tail2"))
+    assert got["noname"].lineage == ["n0", None]
+    assert taxonomy.lineages(df.limit(0)).collect() == []
+
+
+def test_lineages_of_a_wide_tree(spark):
+    df = spark.range(1, 3000).select(F.col("id").alias("taxon"), F.expr("IF(id = 1, NULL, id div 2)").alias("parent"),
+                                     F.col("id").cast("string").alias("name"))
+    for r in taxonomy.lineages(df).sample(0.05, seed=1).collect():
+        path, t = [], r.taxon
+        while t:
+            path.append(str(t))
+            t //= 2
+        assert r.lineage == path[::-1] and r.depth == len(path)
+
+
+def test_row_index_spreads_equal_rows(spark):
+    df = spark.range(200_000).select(F.lit("a").alias("k"), F.lit(1).alias("v"))
+    got = W.row_index(df, ["v"], ["k"], n_buckets=8)
+    tasks = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(tasks) == 8 and max(tasks) < 60_000
+    ends = got.agg(F.count("*"), F.countDistinct("idx"), F.min("idx"), F.max("idx")).first()
+    assert tuple(ends) == (200_000, 200_000, 0, 199_999)
+
+
+def test_row_index_orders_ties_next_to_each_other(spark):
+    rows = [(g, v, n) for g in "ab" for v in (3, 1, 2) for n in range(40)]
+    random.Random(1).shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, v int, _row_tie int").repartition(5)
+    got = W.row_index(df, ["v"], ["g"], n_buckets=7).collect()
+    for g in "ab":
+        mine = sorted((r.idx, r.v) for r in got if r.g == g)
+        assert [i for i, _ in mine] == list(range(120)) and [v for _, v in mine] == [1] * 40 + [2] * 40 + [3] * 40
+
+
+def test_line_numbers_are_those_of_the_one_pass(spark, tmp_path):
+    for f in range(2):
+        write_text(str(tmp_path / "big" / f"part-{f}.txt"), [f"{f}:{i}" for i in range(20000)])
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.leafNodeDefaultParallelism")
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        spark.conf.set(keys[0], "30000")
+        numbered = W.line_index(S.read_lines(spark, str(tmp_path / "big")))
+        for size in ("7000", "90000", "1000000"):
+            spark.conf.set(keys[0], size)
+            got = {(r.file.rsplit("/", 1)[-1], r.value): r.idx for r in numbered.collect()}
+            assert got == {(f"part-{f}.txt", f"{f}:{i}"): i for f in range(2) for i in range(20000)}
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_fastq_chunks_hold_whole_records_in_order(spark, tmp_path):
+    rnd = random.Random(4)
+    want = {}
+    for sample in ("SRS000001", "SRS000002"):
+        for mate in (1, 2):
+            n = rnd.randrange(60, 140)
+            recs = [(f"@{sample}.{mate}.{i} len=5", "".join(rnd.choice("ACGT") for _ in range(rnd.randrange(1, 90))), "+",
+                     "@" + "I" * rnd.randrange(0, 20)) for i in range(n)]
+            want[sample, mate] = recs
+            write_text(str(tmp_path / "in" / f"{sample}_{mate}.fastq"), [x for r in recs for x in r])
+    saved = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")       # records lie across splits
+    try:
+        records = S.read_fastq_records(spark, str(tmp_path / "in"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", saved)
+    name = F.element_at(F.split("file", "/"), -1)
+    out = str(tmp_path / "chunks")
+    H.write_record_chunks(records, out, 25, F.substring(name, 1, 9), F.substring(name, 11, 1), ["header", "seq", "plus", "qual"])
+    import glob
+    for (sample, mate), recs in want.items():
+        for c in range(-(-len(recs) // 25)):
+            files = sorted(glob.glob(f"{out}/sample={sample}/mate={mate}/chunk={c + 1}/part-*"))
+            texts = [open(f).read().split("\n")[:-1] for f in files]
+            assert all(len(t) % 4 == 0 for t in texts)                # no record is cut between files
+            lines = [x for t in texts for x in t]
+            assert [tuple(lines[i:i + 4]) for i in range(0, len(lines), 4)] == recs[25 * c:25 * c + 25]
+    back = {r.read_id: (r.seq, r.qual) for r in S.read_fastq(spark, out).collect()}
+    assert back == {h[1:].split(" ")[0]: (s, q) for recs in want.values() for h, s, _, q in recs}
+
+
+def test_fasta_with_windows_line_ends(spark, tmp_path):
+    write_text(str(tmp_path / "f" / "a.fna"), [">NC_1", "ACGT", "AC", ">NC_2 two", "GG"], end="\r\n")
+    got = {(r.ref_id, r.description, r.seq) for r in S.read_fasta(spark, f"{tmp_path}/f").collect()}
+    assert got == {("NC_1", "NC_1", "ACGTAC"), ("NC_2", "NC_2 two", "GG")}
+
+
+def test_patient_ids_follow_python_numbers(spark, tmp_path):
+    write_text(str(tmp_path / "p.csv"), ["id", "12.0", "1_000", "12.0d", "7"])
+    got = [(r["index"], r.record_id) for r in S.read_patient_index(spark, f"{tmp_path}/p.csv").orderBy("index").collect()]
+    assert got == [(0, 12), (1, 1000), (2, None), (3, 7)]
