@@ -74,31 +74,63 @@ def _windows(placed: DataFrame, genomes: DataFrame, width: int, broadcast: bool)
     return placed.join(joined, "rid").select(*placed.columns, window.alias("window"))
 
 
+# Codes of letters in the band: bases as they are, and where a read's row begins, has not begun, is over.
+_BEGIN, _BEFORE, _OVER = 1, 2, 3
+
+
+def _letters(text: Column, length: Column) -> Column:
+    """The first ``length`` letters of ``text`` as an array of their codes."""
+    return F.transform(F.slice(F.split(text, "", -1), 1, length), lambda c: F.ascii(c))
+
+
 def _banded(read: str, window: str, width: int) -> Column:
-    """The band's cells after the last base of ``read`` (both columns hold arrays of letters)."""
-    start = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda d: (_STARTS - d).cast("bigint"))
+    """``cell, ended``: the best cell after the last base, and its diagonal (from 0).
+
+    ``read`` and ``window`` are columns of letter codes, the read's padded and reversed by
+    ``_padded``.  The band (``width`` diagonals, odd) is worked by antidiagonals: a cell after
+    ``i`` bases on diagonal ``d`` lies on number ``2 i + d`` and follows from the two before it
+    (a match from the second, gaps from the first), so a step is one pass over half the
+    diagonals.  Cells of rows that have not begun hold nothing, those of the first row begin
+    an alignment, those behind the last keep its value."""
+    half = (width + 1) // 2
     none = F.lit(_NONE).cast("bigint")
 
-    def moved(cells: Column, by: int) -> Column:
-        return F.concat(F.array_repeat(none, by), F.slice(cells, 1, width - by))
+    def starts(parity: int) -> Column:
+        return F.array(*[F.lit(_STARTS - d).cast("bigint") for d in range(parity, width, 2)])
+
+    length = F.size(read) - 2 * half - 2
+    state = F.struct(F.array_repeat(none, half - 1).alias("second"),
+                     F.concat(F.array(F.lit(_STARTS).cast("bigint")), F.array_repeat(none, half - 1)).alias("first"))
+
+    def step(acc: Column, t: Column) -> Column:
+        odd, u = t % 2 == 1, F.shiftright(t, 1)
+        n = F.when(odd, half - 1).otherwise(half)
+        zipped = F.arrays_zip(
+            acc["second"].alias("same"),
+            F.slice(F.when(odd, acc["first"]).otherwise(F.concat(F.array(none), acc["first"])), 1, n).alias("left"),
+            F.slice(F.when(odd, F.slice(acc["first"], 2, half - 1)).otherwise(F.concat(acc["first"], F.array(none))), 1, n)
+            .alias("right"),
+            F.slice(F.col(read), length + half + 2 - u, n).alias("base"),
+            F.slice(F.col(window), u + F.when(odd, 1).otherwise(0), n).alias("on"),
+            F.when(odd, starts(1)).otherwise(starts(0)).alias("start"))
+        cells = F.transform(zipped, lambda z: F.when(z["base"] == _BEGIN, z["start"]).when(z["base"] == _OVER, z["same"])
+                            .otherwise(F.greatest(
+                                z["same"] + F.when(z["base"] == z["on"], F.lit(MATCH * _SCORE + _MATCHES)).otherwise(F.lit(MISMATCH * _SCORE)),
+                                F.greatest(z["left"], z["right"]) + GAP * _SCORE)))
+        return F.struct(acc["first"].alias("second"), cells.alias("first"))
+
+    def last(acc: Column) -> Column:   # the last antidiagonal is an even one
+        both = F.flatten(F.zip_with(acc["first"], acc["second"], lambda a, b: F.array(a, b)))
+        return F.struct(F.array_max(both).alias("cell"), (F.array_position(both, F.array_max(both)) - 1).cast("int").alias("ended"))
 
-    def gapped(cells: Column, others: Column, size: int) -> Column:
-        return F.zip_with(cells, others, lambda x, y: F.greatest(x, y + size * GAP * _SCORE))
+    return F.aggregate(F.sequence(F.lit(1), 2 * length + width - 1), state, step, last)
 
-    def base(cells: Column, at: Column) -> Column:
-        # at: a base of the read and its number from 1; the cell of shift d meets base number + d of the window
-        on = F.zip_with(cells, F.slice(F.col(window), at["i"], width), lambda c, w: c + F.when(
-            w == at["base"], F.lit(MATCH * _SCORE + _MATCHES)).otherwise(F.lit(MISMATCH * _SCORE)))
-        over = F.concat(F.slice(cells, 2, width - 1), F.array(none))      # a base that the reference lacks
-        best = gapped(on, over, 1)
-        by = 1
-        while by < width:                                                 # bases that the read lacks: 1, 2, 4, ... at once
-            best = gapped(best, moved(best, by), by)
-            by *= 2
-        return best
 
-    letters = F.transform(F.col(read), lambda x, i: F.struct(x.alias("base"), (i + 1).alias("i")))
-    return F.aggregate(letters, start, base)
+def _padded(read: Column, width: int) -> Column:
+    """A read's letter codes reversed, with the marks of rows outside it (see ``_banded``)."""
+    half = (width + 1) // 2
+    return F.reverse(F.concat(F.array_repeat(F.lit(_BEFORE), half), F.array(F.lit(_BEGIN)), read,
+                              F.array_repeat(F.lit(_OVER), half + 1)))
 
 
 def align_reads(reads: DataFrame, refs: DataFrame, k: int = 21, window: int = 200, min_seeds: int = 2,
@@ -127,25 +159,27 @@ def align_reads(reads: DataFrame, refs: DataFrame, k: int = 21, window: int = 20
     # the chain is used twice below (its reference window and the result), so seeds are found once
     placed = pin(best.join(held, "rid"))
     oriented = F.when(F.col("strand") == "+", F.col("fwd")).otherwise(reverse_complement(F.col("fwd")))
-    # letters as arrays, pinned: an array that is only an expression would be built anew for every base
+    # pinned: an array that is only an expression would be built anew for every base
     staged = pin(_windows(placed, genomes, width, small).select(
         "rid", *keys, "ref_id", "strand", "diag", "from", "nt_length", "seeds",
-        F.split(F.regexp_replace(oriented, "[^ACGT]", "."), "", -1).alias("read"),
-        F.split("window", "", -1).alias("window"))
-        .withColumn("read", F.slice("read", 1, F.col("nt_length"))).withColumn("window", F.slice("window", 1, F.col("nt_length") + width)))
+        _letters(F.regexp_replace(oriented, "[^ACGT]", "."), F.col("nt_length")).alias("read"),
+        _letters(F.col("window"), F.col("nt_length") + width).alias("window")))
     shift = (F.col("diag") - F.col("from")).cast("int")
     same = F.zip_with("read", F.slice(F.col("window"), shift + 1, F.col("nt_length")), lambda a, b: (a == b).cast("int"))
-    plain = staged.withColumn("plain", F.aggregate(same, F.lit(0), lambda n, x: n + x))
+    plain = pin(staged.withColumn("plain", F.aggregate(same, F.lit(0), lambda n, x: n + x)))
+    kept = [c for c in plain.columns if c not in ("read", "window", "plain")]
     done = plain.filter(F.col("plain") >= F.col("nt_length") - 1).select(
-        *plain.columns, shift.alias("began"), shift.alias("ended"), F.col("plain").alias("matches"),
+        *kept, shift.alias("began"), shift.alias("ended"), F.col("plain").alias("matches"),
         (MATCH * F.col("plain") + MISMATCH * (F.col("nt_length") - F.col("plain"))).alias("score"))
-    cells = plain.filter(F.col("plain") < F.col("nt_length") - 1).withColumn("cells", _banded("read", "window", width))
-    top = cells.withColumn("cell", F.array_max("cells"))
-    banded = top.select(*plain.columns, (_STARTS - F.col("cell") % _MATCHES - F.when(F.col("cell") % _MATCHES < 0, _MATCHES)
-                                         .otherwise(0)).cast("int").alias("began"),
-                        (F.array_position("cells", F.col("cell")) - 1).cast("int").alias("ended"),
-                        F.shiftright("cell", 12).bitwiseAND((1 << 20) - 1).cast("int").alias("matches"),
-                        F.shiftright("cell", 32).cast("int").alias("score"))
+    # the band takes far longer than reading its rows: spread over all cores, however small the table, and kept
+    parts = int(plain.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    uneven = pin(plain.filter(F.col("plain") < F.col("nt_length") - 1).repartition(parts, "rid")
+                 .withColumn("read", _padded(F.col("read"), width)))
+    top = pin(uneven.select(*kept, _banded("read", "window", width).alias("top")))
+    low = F.pmod(F.col("top.cell"), F.lit(_MATCHES))
+    banded = top.select(*kept, (_STARTS - low).cast("int").alias("began"), F.col("top.ended").alias("ended"),
+                        F.shiftright("top.cell", 12).bitwiseAND((1 << 20) - 1).cast("int").alias("matches"),
+                        F.shiftright("top.cell", 32).cast("int").alias("score"))
     found = done.unionByName(banded)
     length, moved = F.col("nt_length"), F.col("ended") - F.col("began")
     # score = matches - 2 mismatches - 4 gap bases, with read bases = matches + mismatches + insertions
