@@ -78,6 +78,7 @@ PHARMACY_COLUMNS = [
     ("Pharmacy Charges", "pharmacy_charges"),
     ("Date Of Service", "date_of_service"),
 ]
+PHARMACY_AMOUNTS = ("adj_pharmacy_charges", "pharmacy_charges")
 PHARMACY_DROPPED = ["Day Of Service", "Drug Class", "Generic Drug", "Route Of Administration",
                     "Route Of Administration Title", "Therapeutic Category"]
 
@@ -86,8 +87,8 @@ PHARMACY_SCHEMA = T.StructType(
      T.StructField("Drug Class Title", T.StringType()),
      T.StructField("Therapeutic Category Title", T.StringType()),
      T.StructField("Generic Drug Title", T.StringType()),
-     T.StructField("Adj Pharmacy Charges", T.DoubleType()),
-     T.StructField("Pharmacy Charges", T.DoubleType()),
+     T.StructField("Adj Pharmacy Charges", T.StringType()),   # text, so that a bad amount is seen
+     T.StructField("Pharmacy Charges", T.StringType()),
      T.StructField("Date Of Service", T.StringType())]
     + [T.StructField(n, T.StringType()) for n in PHARMACY_DROPPED])
 
@@ -178,20 +179,25 @@ def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def pharmacy(raw: DataFrame, mode: str = C.QUARANTINE, rejects: bool = False) -> DataFrame:
     """Pharmacy records: drop the unused fields, rename the kept ones, parse the
-    service date (P3, C10); ``record_id`` by ``int(float(s))``.  With ``rejects``
-    (quarantine mode), ``reject_reason`` is bad_id, bad_date or NULL, for
-    ``split_rejects`` (M1)."""
+    service date (P3, C10); ``record_id`` by ``int(float(s))``, amounts by ``float(s)``
+    (quoted or not; a missing one stays NULL).  With ``rejects`` (quarantine mode),
+    ``reject_reason`` is bad_id, bad_date, bad_number or NULL, for ``split_rejects`` (M1)."""
     kept = raw.drop(*PHARMACY_DROPPED)
-    cols = []
+    cols, bad_amount = [], F.lit(False)
     for src, dst in PHARMACY_COLUMNS:
         c = F.col(f"`{src}`")
         if dst == "record_id":
             c = C.parse_int_trunc(c.cast("string"), mode)
         elif dst == "date_of_service":
             c = C.parse_datetime(c, C.SERVICE_DATETIME, mode)
+        elif dst in PHARMACY_AMOUNTS:
+            text = c.cast("string")
+            c = F.when(text.isNotNull(), C.parse_double(text, mode))
+            bad_amount = bad_amount | (text.isNotNull() & C.parse_double(text).isNull())
         cols.append(c.alias(dst))
-    out = kept.select(*cols)
     if not rejects:
-        return out
-    reason = F.when(F.col("record_id").isNull(), "bad_id").when(F.col("date_of_service").isNull(), "bad_date")
-    return out.withColumn("reject_reason", reason)
+        return kept.select(*cols)
+    out = kept.select(*cols, bad_amount.alias("_bad_amount"))
+    reason = (F.when(F.col("record_id").isNull(), "bad_id").when(F.col("date_of_service").isNull(), "bad_date")
+              .when(F.col("_bad_amount"), "bad_number"))
+    return out.withColumn("reject_reason", reason).drop("_bad_amount")

@@ -67,13 +67,26 @@ def write_mapping_result(rows: DataFrame, path: str) -> None:
 def create_keyed_table(spark: SparkSession, name: str, df: DataFrame, key: str,
                        buckets: int, location: str | None = None) -> None:
     """A table bucketed and sorted by its key (T1): later joins and lookups on
-    the key read co-located, sorted buckets without a shuffle."""
-    writer = df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    the key read co-located, sorted buckets without a shuffle.  The rows are dealt by
+    bucket before the write, so a bucket is one file, not one a task."""
+    writer = (df.repartition(buckets, F.col(key)).write.mode("overwrite").format("parquet")
+              .bucketBy(buckets, key).sortBy(key))
     if location:
         writer = writer.option("path", location)
     writer.saveAsTable(name)
 
 
+def write_lookup_table(df: DataFrame, path: str, key: str, distinct: int, row_group_bytes: int = 16 << 20) -> None:
+    """A table for lookups by ``key`` (P7): ranges of the key in sorted files, with a
+    Parquet Bloom filter on it sized for ``distinct`` keys a file.  A lookup's equality
+    filter skips files and row groups by their bounds and filters, so it reads about one
+    row group, however large the table."""
+    (df.repartitionByRange(key).sortWithinPartitions(key).write.mode("overwrite")
+     .option(f"parquet.bloom.filter.enabled#{key}", "true")
+     .option(f"parquet.bloom.filter.expected.ndv#{key}", str(max(1, distinct)))
+     .option("parquet.block.size", str(row_group_bytes)).parquet(path))
+
+
 def describe(spark: SparkSession, name: str) -> DataFrame:
     """Column names and types of a table."""
     return spark.sql(f"DESCRIBE TABLE {name}").select("col_name", "data_type")

@@ -17,6 +17,7 @@ from ..operators import alignment
 from ..operators import mapping as M
 from ..operators import profile as P
 from ..operators import records as R
+from ..operators import refresh
 from ..operators import reports as Q
 from ..operators import rows as W
 from ..operators import taxonomy
@@ -24,6 +25,7 @@ from ..operators import warehouse as H
 from ..operators.partitions import pin, spread
 from ..session import scratch_path
 from ..sources import files as S
+from ..streaming.annotation import SampleLoad
 from .contract import CHUNK_ROWS, KMER, LINES_PER_FILE, READ_LEN, SKIP_ROWS, _dna, infection, table
 
 WARD_USERS = 10
@@ -168,6 +170,102 @@ def fastq_chunks(spark, sf_dir):
                  F.sum(F.length("seq")).alias("bases"), F.sum((F.length("qual") == F.length("seq")).cast("int")).alias("whole")))
 
 
+def incremental_annotation(spark, sf_dir):
+    """The annotation job in three loads as files arrive: half of every third ward's
+    files come in the second drop, and the third run finds nothing new (I1, J4, K2)."""
+    ev = table(spark, sf_dir, "events")
+    ward = F.floor(F.col("user_id") / WARD_USERS)
+    hit = [F.col("event_id").cast("string"), F.lit("100"), F.lit("98%"), F.lit("90"), F.lit("1"), F.lit("0.98"), F.lit("strain"),
+           F.lit("+"), F.concat(F.lit("NC_"), F.coalesce("event_type", F.lit("none"))), F.lit("10"), F.lit("110")]
+    late = (F.pmod(ward, F.lit(3)) == 0) & (F.pmod("event_id", F.lit(2)) == 1)
+    rows = ev.select(F.concat(F.lit("W"), ward).alias("ward"), late.alias("late"), F.concat_ws("\t", *hit).alias("value"))
+    root = scratch_path(spark, "incremental-annotation")
+    gene = F.concat(F.lit("NC_"), F.col("event_type"))
+    labels = pin(ev.filter("event_type NOT IN ('view', 'error')").select(gene.alias("gene"), F.upper("event_type").alias("bacteria"))
+                 .distinct())
+    load = SampleLoad(spark, f"{root}/inbox/*", f"{root}/store", labels)
+    for part in (False, True, None):
+        if part is not None:
+            (rows.filter(F.coalesce("late", F.lit(False)) == part).repartition("ward").select("ward", "value")
+             .write.mode("append").partitionBy("ward").text(f"{root}/inbox"))
+        load.run()
+    return load.annotated()
+
+
+def profile_refresh(spark, sf_dir):
+    """Profiles brought up to date by three appends, one of them repeated."""
+    ev = table(spark, sf_dir, "events").select(F.col("user_id").alias("record_id"), F.col("event_type").alias("bacteria"),
+                                               F.pmod("event_id", F.lit(3)).alias("part"))
+    root = scratch_path(spark, "profile-refresh")
+    for part in (0, 1, 2, 1):
+        counts = A.gene_counts(ev.filter(F.col("part") == part), keys=["record_id"], gene="bacteria", marker=None)
+        refresh.refresh_profiles(counts, f"{root}/rows", f"{root}/profiles", part, BUCKETS)
+    return refresh.read_profiles(spark, f"{root}/profiles")
+
+
+def keyed_append(spark, sf_dir):
+    """Order lines appended by order key in two overlapping loads: one row a key, and how
+    many keys each load gave again (T1, M2)."""
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("order_key"), "l_linenumber")
+    path = scratch_path(spark, "keyed-append")
+    first = refresh.append_new_keys(lines.filter("l_linenumber <= 2"), path, "order_key", 0, BUCKETS)
+    second = refresh.append_new_keys(lines.filter("l_linenumber >= 2 OR order_key % 5 = 0"), path, "order_key", 1, BUCKETS)
+    kept = spark.read.parquet(path).select("order_key", F.col("l_linenumber").cast("long").alias("n"), F.lit("kept").alias("status"))
+    return kept.unionByName(first.unionByName(second).select("order_key", "n", F.col("reason").alias("status")))
+
+
+def patient_lookup(spark, sf_dir):
+    """One patient's admissions from a table made for lookups (P7, P12), the patient being
+    the dashboard's default (L3)."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("record_id"), F.col("o_orderdate").alias("admit_date"),
+                                                   F.col("o_orderpriority").alias("campus_name"), "o_orderkey")
+    path = scratch_path(spark, "lookup")
+    H.write_lookup_table(orders, path, "record_id", 1_000_000)
+    made = spark.read.schema(orders.schema).parquet(path)
+    default = Q.first_id(made).first()["record_id"]        # one number
+    return Q.lookup(made, "record_id", default)
+
+
+def limited_parts(spark, sf_dir):
+    """The rows of the first two files, by name, of a part set of four."""
+    ev = table(spark, sf_dir, "events")
+    path = scratch_path(spark, "capped-parts")
+    (ev.select(F.concat(F.lit("x"), F.pmod("event_id", F.lit(4))).alias("part"), F.col("event_id").cast("string").alias("value"))
+     .repartition("part").write.partitionBy("part").text(path))
+    listing = S.worklist(S.list_objects(spark, path, "part-*").withColumn("name", F.element_at(F.split("path", "/"), -2)),
+                         limit_parts=2)
+    names = [r.path for r in listing.select("path").collect()]   # as many as the limit
+    return S.read_lines(spark, names).select(F.col("value").cast("bigint").alias("event_id"))
+
+
+def source_rejects(spark, sf_dir):
+    """Pharmacy JSON lines, some broken and some with bad amounts, told by reason and by
+    the lines' own places (M1, I2)."""
+    raw = _pharmacy_json(table(spark, sf_dir, "events"))
+    ident = F.regexp_extract(F.col("Generic Drug Title"), r"\d+", 0).cast("bigint")
+    text = F.to_json(F.struct("*"))
+    value = (F.when(F.pmod(ident, F.lit(9)) == 0, F.substring(text, 1, 20))
+             .when(F.pmod(ident, F.lit(9)) == 1, F.regexp_replace(text, '"Pharmacy Charges":[^,]*', '"Pharmacy Charges":"n/a"'))
+             .otherwise(text))
+    path = _text(spark, raw.select(value.alias("value")), "pharmacy-broken")
+    told = S.read_checked(spark, path, R.PHARMACY_SCHEMA)
+    bad = told.filter("reject_reason IS NOT NULL").select(F.col("reject_reason").alias("status"), "line")
+    parsed = R.pharmacy(told.filter("reject_reason IS NULL").drop("file", "line", "raw", "reject_reason"), rejects=True)
+    status = bad.select("status").unionByName(parsed.select(F.coalesce("reject_reason", F.lit("ok")).alias("status")))
+    return status.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def gene_checks(spark, sf_dir):
+    """Genes without taxonomy (J2) and rows without a gene (M2)."""
+    ev = table(spark, sf_dir, "events").select(F.col("user_id").alias("sample"), F.when(
+        F.pmod("event_id", F.lit(13)) == 0, None).otherwise(F.concat(F.lit("NC_"), "event_type")).alias("gene"))
+    labels = ev.filter("gene <> 'NC_error'").select("gene", F.upper("gene").alias("bacteria")).distinct()
+    unknown = A.unknown_genes(A.gene_counts(ev), labels).select("gene", F.lit("unknown").alias("problem"))
+    missing = H.null_keys(ev, ["sample", "gene"]).groupBy("gene").agg(F.count(F.lit(1)).alias("n")) \
+        .select("gene", F.concat(F.lit("null "), "n").alias("problem"))
+    return unknown.unionByName(missing)
+
+
 # ------------------------------------------------------------ file sources
 
 def catalogue_file(spark, sf_dir):
@@ -332,16 +430,26 @@ def pharmacy_rejects(spark, sf_dir):
 
 
 def patient_facts(spark, sf_dir):
-    """Patients with billing, pharmacy and infection facts, one row each."""
+    """Patients with billing, pharmacy and infection facts, one row each (J7), from tables
+    bucketed alike, so the report's joins move no row."""
     cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("record_id"), "c_name")
     bills = R.split_rejects(R.billing(_discharge(spark, sf_dir)))[0]
     billed = Q.totals_per_key(bills, "record_id", "billed_charges", "total_billed", "n_bills")
     drugs = R.split_rejects(R.pharmacy(_pharmacy_json(table(spark, sf_dir, "events")), rejects=True))[0]
     given = Q.totals_per_key(drugs, "record_id", "adj_pharmacy_charges", "total_pharmacy", "n_prescriptions")
     prof = P.profile_strings(P.profile_arrays(infection(spark, sf_dir)))
-    return Q.patient_report(cust, billed, given, prof.select("record_id", "all_bacteria", "all_otu"))
+    frames = [cust, billed, given, prof.select("record_id", "all_bacteria", "all_otu")]
+    tag = scratch_path(spark, "t").rsplit("-", 1)[1]
+    names = [f"patient_fact_{i}_{tag}" for i in range(len(frames))]
+    for name, frame in zip(names, frames):
+        H.create_keyed_table(spark, name, frame, "record_id", BUCKETS, location=scratch_path(spark, name))
+    report = Q.patient_report(*[S.read_table(spark, name) for name in names])
+    for name in names:
+        H.drop_table(spark, name)      # external: the files stay
+    return report
 
 
 FILE_QUERIES = {f.__name__: f for f in (
-    annotation_job, sequencing_pipeline, fastq_chunks, agg_infection, catalogue_file, id_list_file, object_worklist, parts_file, chunk_files, keyed_table,
+    annotation_job, sequencing_pipeline, fastq_chunks, incremental_annotation, profile_refresh, keyed_append,
+    patient_lookup, limited_parts, source_rejects, gene_checks, agg_infection, catalogue_file, id_list_file, object_worklist, parts_file, chunk_files, keyed_table,
     discharge_demographics, discharge_billing, patient_panel, pharmacy_rejects, patient_facts)}

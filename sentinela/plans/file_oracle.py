@@ -50,6 +50,33 @@ FILE_ORACLE_SQL = {
                c.otu, p.record_id
         FROM c JOIN s ON c.sample = s.sample JOIN p ON s.i = p.i
         WHERE c.sample IN (SELECT sample FROM c GROUP BY sample HAVING count(*) >= 2)""",
+    "incremental_annotation": """
+        WITH c AS (SELECT user_id // 10 AS w, event_type, count(*) AS otu FROM events
+                   WHERE event_type NOT IN ('view', 'error') GROUP BY ALL)
+        SELECT 'ward=W' || w AS sample, upper(event_type) AS bacteria, otu FROM c
+        WHERE w IN (SELECT w FROM c GROUP BY w HAVING count(*) >= 2)""",
+    "profile_refresh": ORACLE_SQL["infection_profile"],
+    "keyed_append": """
+        WITH l AS (SELECT l_orderkey AS k, l_linenumber AS m FROM lineitem),
+        a AS (SELECT k, count(*) AS n, min(m) AS m FROM l WHERE m <= 2 GROUP BY k),
+        b AS (SELECT k, count(*) AS n, min(m) AS m FROM l WHERE m >= 2 OR k % 5 = 0 GROUP BY k)
+        SELECT k AS order_key, CAST(m AS BIGINT) AS n, 'kept' AS status FROM a
+        UNION ALL SELECT k, CAST(m AS BIGINT), 'kept' FROM b WHERE k NOT IN (SELECT k FROM a)
+        UNION ALL SELECT k, n, 'repeated' FROM a WHERE n > 1
+        UNION ALL SELECT k, n, CASE WHEN k IN (SELECT k FROM a) THEN 'exists' ELSE 'repeated' END FROM b
+        WHERE n > 1 OR k IN (SELECT k FROM a)""",
+    "patient_lookup": """
+        SELECT o_custkey AS record_id, o_orderdate AS admit_date, o_orderpriority AS campus_name, o_orderkey
+        FROM orders WHERE o_custkey = (SELECT min(o_custkey) FROM orders)""",
+    "limited_parts": "SELECT event_id FROM events WHERE event_id % 4 IN (0, 1)",
+    "source_rejects": r"""
+        SELECT CASE WHEN k % 9 = 0 THEN 'malformed' WHEN k % 9 = 1 THEN 'bad_number' ELSE 'ok' END AS status, count(*) AS n
+        FROM (SELECT CAST(regexp_extract(props, '\d+') AS BIGINT) AS k FROM events) GROUP BY 1""",
+    "gene_checks": """
+        SELECT 'NC_error' AS gene, 'unknown' AS problem
+        WHERE EXISTS (FROM events WHERE event_type = 'error' AND event_id % 13 <> 0)
+        UNION ALL
+        SELECT NULL, 'null ' || count(*) FROM events WHERE event_id % 13 = 0 HAVING count(*) > 0""",
     "fastq_chunks": f"""
         WITH d AS (SELECT doc_id, 'SRS' || lpad(CAST(doc_id // 100 AS VARCHAR), 6, '0') AS sample, doc_id % 2 + 1 AS mate,
                           length({_DNA}) AS bases FROM documents),

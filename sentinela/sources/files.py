@@ -76,6 +76,30 @@ def read_json_records(spark: SparkSession, paths, schema: T.StructType) -> DataF
     return spark.read.schema(schema).json(paths)
 
 
+def read_checked(spark: SparkSession, paths, schema: T.StructType, sep: str | None = None) -> DataFrame:
+    """JSON lines, or delimited lines when ``sep`` is given, with where each came from:
+    the columns of ``schema``, then ``file, line`` (0-based), ``raw`` and ``reject_reason``
+    (M1, I2): ``malformed`` when the line does not parse or a field does not fit its type,
+    else NULL.  ``records.split_rejects`` cuts the frame.  Blank lines are no records; a
+    record is one line."""
+    bad = "_malformed"
+    while bad in schema.fieldNames():
+        bad = f"_{bad}"
+    wanted = T.StructType([*schema.fields, T.StructField(bad, T.StringType())])
+    lines = line_index(read_lines(spark, paths)).filter(F.length(F.trim("value")) > 0)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}
+    if sep is None:
+        parsed = F.from_json("value", wanted, options)
+    else:
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wanted.fields)
+        parsed = F.from_csv("value", ddl, {**options, "sep": sep})
+    # kept out of one projection with its fields, so a line is parsed once
+    rows = lines.select("file", F.col("idx").alias("line"), F.col("value").alias("raw"), F.explode(F.array(parsed)).alias("r"))
+    reason = F.when(F.col("r").isNull() | F.col(f"r.{bad}").isNotNull(), "malformed")
+    return rows.select(*[F.col(f"r.`{f.name}`").alias(f.name) for f in schema.fields], "file", "line", "raw",
+                       reason.alias("reject_reason"))
+
+
 def read_csv_table(spark: SparkSession, paths, schema: T.StructType, header: bool = True,
                    sep: str = ",", comment: str | None = None) -> DataFrame:
     """CSV/TSV with a declared schema (S3, S4, S8, S9).  Quotes, a UTF-8 BOM and
