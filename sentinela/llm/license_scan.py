@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -373,6 +374,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         words = text.translate(WORD_TABLE).split()
         canonical = b" " + b" ".join(words) + b" "
         # a word starting at byte b is word number: spaces before b, less the leading one
+        blanks = np.flatnonzero(np.frombuffer(canonical, np.uint8) == 0x20)
+        word = lambda b: int(np.searchsorted(blanks, b)) - 1
         places = [(p, label) for phrase, label in BASE_PHRASES for p in _places(canonical, phrase.encode())]
         base = {label for _, label in places}
         kept = detect(canonical, rules)
@@ -382,12 +385,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         for _ in base:
             doubt *= 0.05
         rows = [{"label": d.signature.label, "rule": d.signature.name,
-                 "first_word": canonical.count(b" ", 0, d.begin) - 1,
-                 "n_words": canonical.count(b" ", d.begin, d.end) + 1,
+                 "first_word": word(d.begin), "n_words": word(d.end) - word(d.begin) + 1,
                  "confidence": d.signature.confidence} for d in kept]
         at = sorted(p for p, _ in places)
-        return (len(words), len(places), canonical.count(b" ", 0, at[0]) - 1 if at else None,
-                canonical.count(b" ", 0, at[-1]) - 1 if at else None, ",".join(sorted(base)),
+        return (len(words), len(places), word(at[0]) if at else None, word(at[-1]) if at else None, ",".join(sorted(base)),
                 ",".join(sorted(base | {d.signature.label for d in kept})), 1.0 - doubt, rows)
 
     def run(batches):
