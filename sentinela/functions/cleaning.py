@@ -65,7 +65,9 @@ _NUMBER = (rf"^\s*[+-]?(({_DIGITS}\.?({_DIGITS})?|\.{_DIGITS})([eE][+-]?{_DIGITS
 def _py_float(raw: Column) -> Column:
     """``float(s)`` where Python takes the text, else NULL (Spark's cast also takes ``1.0d``)."""
     text = raw.cast("string")
-    return F.when(text.rlike(_NUMBER), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
+    # of digits, points and signs alone, both take the same texts; the pattern is for the rest
+    return F.when(F.translate(text, "0123456789.+-", "") == "", text.try_cast("double")).when(
+        text.rlike(_NUMBER), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
 
 
 def parse_double(c, mode: str = QUARANTINE) -> Column:

@@ -22,6 +22,7 @@ from ..operators import reports as Q
 from ..operators import rows as W
 from ..operators import taxonomy
 from ..operators import warehouse as H
+from ..operators.joins import new_items
 from ..operators.partitions import pin, spread
 from ..session import scratch_path
 from ..sources import files as S
@@ -192,6 +193,44 @@ def incremental_annotation(spark, sf_dir):
     return load.annotated()
 
 
+def pending_chunks(spark, sf_dir):
+    """Chunks that are listed among the inputs and have no result yet (S10, J4): two
+    listings, told apart by sample, mate and chunk taken from the names."""
+    conv = table(spark, sf_dir, "conversations")
+    name = C.chunk_name(F.concat(F.lit("SRS"), F.lpad(F.floor(F.col("conv_id") / 40).cast("string"), 6, "0")),
+                        F.pmod("turn", F.lit(2)) + 1, F.pmod("conv_id", F.lit(3)) + 1)
+    rows = conv.select(name.alias("f"), F.coalesce("text", F.lit("")).alias("value"), "conv_id", "turn")
+    root = scratch_path(spark, "work")
+    for kind, some in (("in", rows), ("out", rows.filter("(conv_id div 40 + turn % 2 + conv_id % 3) % 2 = 0"))):
+        (some.select("f", "value").repartition("f").sortWithinPartitions("f").write.partitionBy("f").text(f"{root}/{kind}"))
+
+    def listed(kind):
+        stem = F.substring_index(F.element_at(F.split("path", "/"), -2), "=", -1)
+        part = F.split(stem, "_")
+        return S.list_objects(spark, f"{root}/{kind}", "part-*").select(
+            part[0].alias("sample"), part[1].cast("int").alias("mate"), part[2].cast("int").alias("chunk"), "length")
+
+    return new_items(listed("in"), listed("out"), ["sample", "mate", "chunk"]).select("sample", "mate", "chunk", "length")
+
+
+def taxon_lineages(spark, sf_dir):
+    """Lineages from a parent table of customers, nations and regions, with some customers
+    whose parent is missing or who are their own (J2, F1, C14)."""
+    def taxon(kind, c):
+        return F.concat(F.lit(kind), F.col(c).cast("string"))
+
+    parent = (F.when(F.pmod("c_custkey", F.lit(97)) == 0, F.lit("nowhere"))
+              .when(F.pmod("c_custkey", F.lit(101)) == 0, taxon("c", "c_custkey")).otherwise(taxon("n", "c_nationkey")))
+    rows = (table(spark, sf_dir, "customer").select(taxon("c", "c_custkey").alias("taxon"), parent.alias("parent"),
+                                                    F.col("c_name").alias("name"))
+            .unionByName(table(spark, sf_dir, "nation").select(taxon("n", "n_nationkey").alias("taxon"), taxon("r", "n_regionkey")
+                                                               .alias("parent"), F.col("n_name").alias("name")))
+            .unionByName(table(spark, sf_dir, "region").select(taxon("r", "r_regionkey").alias("taxon"), F.lit(None).cast("string")
+                                                               .alias("parent"), F.col("r_name").alias("name"))))
+    found = taxonomy.lineages(rows)
+    return found.select("taxon", C.lineage_label("lineage").alias("label"), "depth", "status")
+
+
 def profile_refresh(spark, sf_dir):
     """Profiles brought up to date by three appends, one of them repeated."""
     ev = table(spark, sf_dir, "events").select(F.col("user_id").alias("record_id"), F.col("event_type").alias("bacteria"),
@@ -450,6 +489,6 @@ def patient_facts(spark, sf_dir):
 
 
 FILE_QUERIES = {f.__name__: f for f in (
-    annotation_job, sequencing_pipeline, fastq_chunks, incremental_annotation, profile_refresh, keyed_append,
+    annotation_job, sequencing_pipeline, fastq_chunks, incremental_annotation, pending_chunks, taxon_lineages, profile_refresh, keyed_append,
     patient_lookup, limited_parts, source_rejects, gene_checks, agg_infection, catalogue_file, id_list_file, object_worklist, parts_file, chunk_files, keyed_table,
     discharge_demographics, discharge_billing, patient_panel, pharmacy_rejects, patient_facts)}

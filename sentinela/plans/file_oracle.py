@@ -55,6 +55,21 @@ FILE_ORACLE_SQL = {
                    WHERE event_type NOT IN ('view', 'error') GROUP BY ALL)
         SELECT 'ward=W' || w AS sample, upper(event_type) AS bacteria, otu FROM c
         WHERE w IN (SELECT w FROM c GROUP BY w HAVING count(*) >= 2)""",
+    "pending_chunks": """
+        WITH w AS (SELECT 'SRS' || lpad(CAST(conv_id // 40 AS VARCHAR), 6, '0') AS sample, CAST(turn % 2 + 1 AS INTEGER) AS mate,
+                          CAST(conv_id % 3 + 1 AS INTEGER) AS chunk, strlen(coalesce(text, '')) + 1 AS n,
+                          (conv_id // 40 + turn % 2 + conv_id % 3) % 2 = 0 AS done
+                   FROM conversations)
+        SELECT sample, mate, chunk, CAST(sum(n) AS BIGINT) AS length FROM w
+        GROUP BY sample, mate, chunk HAVING NOT bool_or(done)""",
+    "taxon_lineages": """
+        SELECT 'c' || c_custkey AS taxon,
+               CASE WHEN c_custkey % 97 = 0 OR c_custkey % 101 = 0 THEN c_name ELSE r_name || '_' || n_name || '_' || c_name END AS label,
+               CASE WHEN c_custkey % 97 = 0 OR c_custkey % 101 = 0 THEN 1 ELSE 3 END AS depth,
+               CASE WHEN c_custkey % 97 = 0 THEN 'orphan' ELSE 'ok' END AS status
+        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+        UNION ALL SELECT 'n' || n_nationkey, r_name || '_' || n_name, 2, 'ok' FROM nation JOIN region ON n_regionkey = r_regionkey
+        UNION ALL SELECT 'r' || r_regionkey, r_name, 1, 'ok' FROM region""",
     "profile_refresh": ORACLE_SQL["infection_profile"],
     "keyed_append": """
         WITH l AS (SELECT l_orderkey AS k, l_linenumber AS m FROM lineitem),

@@ -10,10 +10,14 @@ finished run are moved to an archive folder.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..operators.partitions import pin
+
 
 def load_new_files(spark: SparkSession, inbox: str, sink: str, checkpoint: str,
                    schema: T.StructType, transform: Callable[[DataFrame], DataFrame] | None = None,
@@ -26,7 +30,7 @@ def load_new_files(spark: SparkSession, inbox: str, sink: str, checkpoint: str,
     moved there once the run has finished, every one of them being loaded by then.
     A run that fails moves nothing; the next one that finishes does.
     """
-    waiting = _files(spark, inbox) if archive_dir else []
+    waiting = _listing(spark, inbox) if archive_dir else None
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -47,17 +51,24 @@ def load_new_files(spark: SparkSession, inbox: str, sink: str, checkpoint: str,
         _move(spark, waiting, archive_dir)
 
 
-def _files(spark: SparkSession, inbox: str) -> list[str]:
-    """Paths of the files in ``inbox`` (names only, as the file source itself keeps them)."""
+#: Files moved at once.
+MOVERS = 16
+
+
+def _listing(spark: SparkSession, inbox: str) -> DataFrame:
+    """Paths of the files in ``inbox``, kept as a table in the shared folder."""
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(inbox)
-    return [r.path for r in listing.select("path").collect()]
+    return pin(listing.select("path"))
 
 
-def _move(spark: SparkSession, paths: list[str], archive_dir: str) -> None:
-    """Move files under ``archive_dir``, keeping their whole path below it."""
+def _move(spark: SparkSession, listing: DataFrame, archive_dir: str) -> None:
+    """Move files under ``archive_dir``, keeping their whole path below it.  The names
+    come by a partition at a time and several are moved at once; a file that an earlier,
+    broken move has taken is passed over."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for name in paths:
+
+    def move(name: str) -> None:
         source = hadoop.Path(name)
         target = hadoop.Path(f"{archive_dir.rstrip('/')}{source.toUri().getPath()}")
         fs = source.getFileSystem(conf)
@@ -65,6 +76,11 @@ def _move(spark: SparkSession, paths: list[str], archive_dir: str) -> None:
         if fs.exists(source) and not fs.rename(source, target):
             raise OSError(f"cannot move {name} to {target}")
 
+    names = (r.path for r in listing.toLocalIterator())
+    with ThreadPoolExecutor(MOVERS) as pool:
+        while some := list(islice(names, 64 * MOVERS)):
+            list(pool.map(move, some))    # raises what a move raised
+
 
 def read_loaded(spark: SparkSession, sink: str, schema: T.StructType | None = None) -> DataFrame:
     """Rows committed to the sink (only files named in its commit log)."""
