@@ -28,6 +28,8 @@ from ..session import scratch_path
 SHARDS = 8
 VIRTUAL_NODES = 64
 CELL_BITS = 14   # the ring's hashes are grouped by their upper bits (16,384 cells)
+#: Rows that one row of counts becomes in one task at most.
+RUN = 1 << 16
 HALF = 1 << 63
 
 
@@ -135,6 +137,13 @@ def shard_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ranked = ranked.withColumn("begin", F.col("end") - F.col("n"))
     cut = (ranked.join(table, "piece").filter("begin < hi AND end > lo")
            .withColumn("a", F.greatest("begin", "lo")).withColumn("b", F.least("end", "hi")))
-    return (cut.select("id", "size", "text_crc32", "shard",
-                       F.explode(F.sequence(F.col("first_slot") + F.col("a") - F.col("lo"),
-                                            F.col("first_slot") + F.col("b") - F.col("lo") - 1)).alias("slot")))
+    cut = cut.select("id", "size", "text_crc32", "shard", (F.col("first_slot") + F.col("a") - F.col("lo")).alias("from"),
+                     (F.col("first_slot") + F.col("b") - F.col("lo") - 1).alias("to"))
+    # equal rows beyond RUN are dealt over tasks in runs before they become rows
+    long = F.col("to") - F.col("from") >= RUN
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    runs = (cut.filter(long).select("id", "size", "text_crc32", "shard", "to", F.explode(
+        F.sequence("from", "to", F.lit(RUN).cast("bigint"))).alias("from"))
+        .withColumn("to", F.least("to", F.col("from") + RUN - 1)).repartition(parts, "shard", "from"))
+    every = cut.filter(~long).unionByName(runs)
+    return every.select("id", "size", "text_crc32", "shard", F.explode(F.sequence("from", "to")).alias("slot"))
