@@ -21,15 +21,19 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.joins import broadcast_if_small
+from ..operators.partitions import pin
 from .arrow import map_arrow
 
 SEQ_LEN = 2048
 GROUP_BYTES = 8 << 20
 ROW_BYTES = 64             # counted for a row besides its text where copies crowd a group
+#: Reducers there are at most, however many groups.
+MAX_TASKS = 20_000
 #: Tokens held before they are packed, whatever the group.
 HOLD_TOKENS = 1 << 23
 END_ID = 50256           # the id the rank file leaves free: ends every document, fills every row
@@ -156,18 +160,19 @@ def grouped(docs: DataFrame, id_col: str, text_col: str, group_bytes: int) -> Da
     sizes = (rows.groupBy(F.xxhash64("id", "text").alias("key"))
              .agg(F.count("*").alias("copies"), F.sum(F.octet_length("text")).alias("n"),
                   F.sum(F.octet_length("text") + ROW_BYTES).alias("weight")))
-    heavy = F.when((F.col("copies") > 1) & (F.col("weight") > group_bytes),
-                   F.struct("key", F.ceil(F.col("weight") / group_bytes).alias("parts")))
-    total, crowds = sizes.agg(F.sum("n"), F.collect_list(heavy)).first()   # at most one crowd for each group_bytes
-    groups = max(1, -(-(total or 0) // group_bytes))
+    # the crowds stay a table, at most one row for each group_bytes; the total is seen as they are written
+    seen = Observation()
+    crowds = pin(sizes.observe(seen, F.sum("n").alias("total"))
+                 .filter((F.col("copies") > 1) & (F.col("weight") > group_bytes))
+                 .select(F.col("key").alias("crowd"), F.ceil(F.col("weight") / group_bytes).alias("parts")))
+    groups = max(1, -(-(seen.get["total"] or 0) // group_bytes))
     key = F.xxhash64("id", "text")
-    if crowds:
-        known = docs.sparkSession.createDataFrame([tuple(c) for c in crowds], "crowd BIGINT, parts BIGINT")
-        rows = rows.join(F.broadcast(known), key == F.col("crowd"), "left")
+    if not crowds.isEmpty():
+        rows = rows.join(broadcast_if_small(crowds), key == F.col("crowd"), "left")
         part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("parts"))
         key = F.when(F.col("parts").isNull(), key).otherwise(F.xxhash64("id", "text", part))
     return (rows.withColumn("grp", F.pmod(key, F.lit(groups)).cast("int"))
-            .repartition(groups, "grp")
+            .repartition(min(groups, MAX_TASKS), "grp")     # a task packs its groups one after the other
             .sortWithinPartitions("grp", F.octet_length("text").desc(), "id", F.xxhash64("text"))
             .select("grp", "id", "text"))
 

@@ -48,3 +48,28 @@ def test_word_numbers_in_a_long_text(spark):
     assert (r.n_words, r.first_word, r.last_word) == (5 * n + 4, 5 * n, 5 * n)
     firsts = [d.first_word for d in r.detections if d.n_words == 3]
     assert firsts[:3] == [0, 5, 10] and len(firsts) >= n
+
+
+def test_equal_rows_are_dealt_over_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from sentinela.llm import ring_shard
+    docs = spark.range(3_000_000).select(F.lit(1).cast("long").alias("doc_id"), F.lit("x").alias("text"))
+    out = ring_shard.shard_rows(docs)
+    tasks = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == 3_000_000 and len(tasks) >= 8 and max(tasks) < 1_000_000
+    ends = out.groupBy("shard").agg(F.count("*").alias("n"), F.min("slot").alias("a"), F.max("slot").alias("b"),
+                                    F.countDistinct("slot").alias("d")).collect()
+    assert len(ends) == 8 and all((r.n, r.a, r.b, r.d) == (375_000, 0, 374_999, 375_000) for r in ends)
+
+
+def test_packing_tasks_do_not_grow_with_the_groups(spark, monkeypatch):
+    from sentinela.llm import token_pack
+    monkeypatch.setattr(token_pack, "MAX_TASKS", 6)
+    docs = spark.createDataFrame([(i, f"text {i} " * 40) for i in range(300)] + [(7, "same row " * 40)] * 200,
+                                 "doc_id long, text string")
+    made = token_pack.grouped(docs, "doc_id", "text", 2000)
+    assert made.rdd.getNumPartitions() == 6
+    rows = made.collect()
+    assert len(rows) == 500 and len({r.grp for r in rows}) > 50
+    assert len({r.grp for r in rows if r.id == 7 and r.text.startswith("same")}) > 10
