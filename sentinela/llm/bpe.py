@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrow import lists, map_arrow
+from .columns import passes_columns
 
 END = "Ā"                 # stands for the end-of-word suffix; bytes are U+0000 to U+00FF
 NEVER = 1 << 60
@@ -252,6 +253,7 @@ def _sha256(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
+@passes_columns
 def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids",
            with_digests: bool = False) -> DataFrame:
     """``docs`` plus ``ids ARRAY<INT>``, as the tokenizers library encodes with
@@ -294,6 +296,7 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids", out_col: str = "dec
     return map_arrow(rows, run, T.StructType([*rows.schema.fields, T.StructField(out_col, T.StringType())]))
 
 
+@passes_columns
 def digests(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """``docs`` plus ``n_tokens``, ``ids_sha256`` (decimal ids joined by one space)
     and ``decoded_sha256``, without carrying the ids through Spark."""

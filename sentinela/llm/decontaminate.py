@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .columns import passes_columns
 from ..session import scratch_path
 from .arrow import lists, map_arrow, utf8, WORD_TABLE
 
@@ -289,9 +290,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                     F.coalesce("items", empty_items).alias("items")))
 
 
+@passes_columns
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """The rows of ``docs`` that no benchmark window occurs in, with their columns as they were."""
+    """The rows of ``docs`` that no benchmark window occurs in, with their columns as they were.
+
+    Null and empty texts hold none and stay; repeated rows stay or go together; an
+    empty table or benchmark changes nothing.  Extra columns may have any names."""
     text = F.col(f"`{text_col}`").cast("string")
     hit = (contamination(docs, benchmark, id_col, text_col, item_col, item_text_col, window)
            .filter(F.size("items") > 0).select(F.col("t1").alias("__t1"), F.col("t2").alias("__t2")).distinct())

@@ -22,6 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .columns import passes_columns
 from ..session import scratch_path
 
 MIN_DOCS = 10
@@ -128,6 +129,7 @@ def index_lines(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_DOC
     return runs
 
 
+@passes_columns
 def drop_common_lines(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS,
                       batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
     """``docs`` plus a struct ``__lines``: ``n_lines``, ``n_dropped`` and ``kept``
@@ -136,8 +138,7 @@ def drop_common_lines(docs: DataFrame, text_col: str = "text", min_docs: int = M
     Null and empty texts are one empty line, never dropped (``kept`` is empty).
     A document that repeats a line counts once; equal rows count each.  Lines
     that differ only in outer white space or A-Z case share a key.  Extra
-    columns are passed on; names starting ``__`` are reserved.  An empty table
-    stays empty."""
+    columns are passed on.  An empty table stays empty."""
     spark = docs.sparkSession
     own = [F.col(f"`{c}`") for c in docs.columns]
     path = scratch_path(spark, "line-frequent")
@@ -167,6 +168,7 @@ def drop_common_lines(docs: DataFrame, text_col: str = "text", min_docs: int = M
     return both.withColumn("__lines", out).select(*own, "__lines")
 
 
+@passes_columns
 def without_common_lines(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS,
                          batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
     """``docs`` with the common lines taken out of the text; a null text stays

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .columns import passes_columns
+
 WORD_GAP = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]+"
 MIN_WORDS = 50
@@ -118,13 +120,14 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return q.withColumn("__quality", counts).select(*[F.col(f"`{c}`") for c in docs.columns], "__quality")
 
 
+@passes_columns
 def judge(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` plus the struct ``__quality``: the counts of ``measure``,
     ``base_failed``, ``kept`` and ``failed_rules`` (names in table order).
 
     Null and empty texts have no words and fail.  Rows are judged one by one, so
     repeated rows, ties and nulls elsewhere change nothing; an empty table stays
-    empty.  Extra columns are passed on; names starting ``__`` are reserved."""
+    empty.  Extra columns are passed on."""
     own = [F.col(f"`{c}`") for c in docs.columns]
     q = measure(docs, text_col)
     names = q.schema["__quality"].dataType.names
@@ -137,6 +140,7 @@ def judge(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RUL
     return flat.select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns], verdict.alias("__quality"))
 
 
+@passes_columns
 def keep_good(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` that pass, with their columns as they were.
 

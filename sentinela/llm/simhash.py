@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from .columns import passes_columns
 from ..session import scratch_path
 from .arrow import LOWER_TABLE, map_arrow, utf8
 from .components import components
@@ -158,12 +159,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(by_fp, "fp").select("id", "fp", "component")
 
 
+@passes_columns
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              k: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE) -> DataFrame:
     """The rows of ``docs`` with one row of each near-duplicate group: the one
     with the smallest id (nulls last), then the smallest text hash.  All columns
-    are kept; of wholly equal smallest rows one stays."""
-    spark = docs.sparkSession
+    are kept, whatever their names; of wholly equal smallest rows one stays, of rows
+    equal in id and text any.  Null and empty texts are near duplicates of each other;
+    an empty table stays empty."""
+    spark, own = docs.sparkSession, [F.col(f"`{c}`") for c in docs.columns]
     text_hash = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.col(text_col).isNull())
     groups = near_duplicates(docs.select(F.struct(F.col(id_col).isNull().alias("a"), F.col(id_col).alias("b"),
                                                   text_hash.alias("c")).alias("__row"),
@@ -174,6 +178,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
      .write.parquet(path))
     kept = spark.read.parquet(path)
     found = docs.join(kept, docs[id_col].eqNullSafe(kept["__kept_id"]) & (text_hash == kept["__kept_hash"]))
-    once = found.filter("__kept_n = 1").select(*docs.columns)
-    again = (found.filter("__kept_n > 1").dropDuplicates(["__kept_id", "__kept_hash"]).select(*docs.columns))
+    once = found.filter("__kept_n = 1").select(*own)
+    again = (found.filter("__kept_n > 1").dropDuplicates(["__kept_id", "__kept_hash"]).select(*own))
     return once.unionAll(again)
