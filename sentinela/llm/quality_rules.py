@@ -19,28 +19,40 @@ SYMBOLS = r"[#*$%&|<>]+"
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 
-# Frequent function words of English, German, French and Spanish.
+# Frequent function words of English, German, French and Spanish, then of Italian,
+# Portuguese, Dutch, Swedish, Polish, Turkish and Russian.
 STOP_WORDS = (
     "the", "of", "and", "to", "in", "is", "it", "that", "was", "for", "on", "with", "as", "are", "by", "an", "be",
     "der", "die", "das", "und", "ein", "eine", "ist", "den", "dem", "des", "mit", "von", "zu", "für", "auf", "im",
     "le", "la", "les", "de", "des", "et", "est", "un", "une", "en", "du", "que", "qui", "dans", "pour", "pas",
     "el", "los", "las", "del", "y", "se", "su", "con", "por", "es", "para", "una", "lo",
+    "il", "di", "che", "non", "per", "della", "sono", "gli", "alla",
+    "não", "uma", "com", "dos", "mais", "como", "pela", "ao",
+    "het", "een", "van", "niet", "zijn", "voor", "met", "aan", "ook",
+    "och", "att", "det", "som", "är", "inte", "med", "till", "av",
+    "się", "nie", "jest", "na", "że", "jak", "ale", "przez", "oraz",
+    "ve", "bir", "bu", "için", "ile", "olarak", "çok", "daha", "gibi",
+    "и", "в", "не", "на", "что", "он", "как", "это", "из",
 )
 
 
-#: Lower case and capitalized, as they stand in a text without punctuation.
-STOP_FORMS = sorted({f for w in STOP_WORDS for f in (w, w.capitalize())})
+#: Lower case, capitalized and in capitals, as they stand in a text without punctuation.
+STOP_FORMS = sorted({f for w in STOP_WORDS for f in (w, w.capitalize(), w.upper())})
+#: Letters of the scripts of these languages: Latin and Cyrillic.
+LISTED_SCRIPTS = r"[^A-Za-z\x{C0}-\x{24F}\x{400}-\x{4FF}]+"
 
 
 @dataclass(frozen=True)
 class Rule:
-    """Passes when ``scale * num`` is at least (``low``) or at most (``high``) ``bound * den``."""
+    """Passes when ``scale * num`` is at least (``low``) or at most (``high``) ``bound * den``,
+    or when ``scale * count`` is below ``bound * other`` for the counts of ``unless``."""
 
     name: str
     num: str
     den: str
     low: tuple[int, int] | None = None   # (scale, bound)
     high: tuple[int, int] | None = None
+    unless: tuple[int, str, int, str] | None = None
 
     def passed(self) -> Column:
         checks = []
@@ -51,6 +63,9 @@ class Rule:
         out = checks[0]
         for c in checks[1:]:
             out = out & c
+        if self.unless:
+            scale, count, bound, other = self.unless
+            out = out | (F.lit(scale) * F.col(count) < F.lit(bound) * F.col(other))
         return out
 
 
@@ -58,7 +73,8 @@ class Rule:
 RULES = (
     Rule("word_length", "word_chars", "n_words", low=(10, 25), high=(1, 12)),     # 2.5 to 12 code points a word
     Rule("symbols", "n_symbols", "n_words", high=(100, 10)),                      # at most 0.1 symbols a word
-    Rule("stop_words", "n_stop_words", "n_words", low=(100, 4)),                  # at least 4 % function words
+    Rule("stop_words", "n_stop_words", "n_words", low=(100, 4),                   # at least 4 % function words,
+         unless=(2, "n_listed", 1, "word_chars")),                                # or mostly in other scripts
     Rule("shouting", "n_bangs", "n_words", high=(100, 20)),                       # at most 0.2 exclamation marks a word
     Rule("dup_lines", "n_dup_lines", "n_lines", high=(100, 50)),                  # at most half repeated lines
 )
@@ -115,6 +131,9 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
         F.col("__in_words.repeat").alias("n_repeat_words"),
         F.col("__in_words.stop").alias("n_stop_words"),
+        # looked at only where function words are few
+        F.when(100 * F.col("__in_words.stop") >= 4 * (gaps + 1), bare).otherwise(
+            F.char_length(F.regexp_replace("__text", LISTED_SCRIPTS, ""))).cast("long").alias("n_listed"),
         (F.char_length("__text") - F.char_length(F.replace("__text", F.lit("!"), F.lit("")))).cast("long").alias("n_bangs"),
     )
     return q.withColumn("__quality", counts).select(*[F.col(f"`{c}`") for c in docs.columns], "__quality")

@@ -130,13 +130,14 @@ m AS (
   SELECT w.doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(ls) AS n_lines,
          len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
-         len([x FOR x IN ws IF x IN ({_STOP})]) AS n_stop, length(t) - length(replace(t, '!', '')) AS n_bang
+         len([x FOR x IN ws IF x IN ({_STOP})]) AS n_stop, length(t) - length(replace(t, '!', '')) AS n_bang,
+         length(regexp_replace(t, '[^A-Za-z\x{{C0}}-\x{{24F}}\x{{400}}-\x{{4FF}}]', '', 'g')) AS n_listed
   FROM w LEFT JOIN rep USING (doc_id)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
        NOT base_failed AND 10 * word_chars >= 25 * n_words AND word_chars <= 12 * n_words
-       AND 100 * n_symbols <= 10 * n_words AND 100 * n_stop >= 4 * n_words AND 100 * n_bang <= 20 * n_words
+       AND 100 * n_symbols <= 10 * n_words AND (100 * n_stop >= 4 * n_words OR 2 * n_listed < word_chars) AND 100 * n_bang <= 20 * n_words
        AND 100 * n_dup_lines <= 50 * n_lines AS kept
 FROM b""",
     "op7_line_dedup": r"""

@@ -71,3 +71,24 @@ def test_a_clash_with_a_returned_column_raises(spark, rows):
         quality_rules.judge(df)
     out = line_dedup.drop_common_lines(df)
     assert out.columns == [*df.columns, "__lines"] and out.count() == len(rows)
+
+
+def test_clean_texts_of_other_languages_and_in_capitals_stay(spark, duck):
+    english = "the river runs to the sea and the stones of it are worn by water that was ice on hills "
+    texts = {"capitals": english.upper() * 4, "polish": "kot nie jest na dachu i się nie boi że spadnie oraz jak ptak siedzi " * 6,
+             "turkish": "bu kedi bir damda ve çok mutlu olarak daha uzun bakar gibi durur için " * 6,
+             "russian": "кот и пёс не на крыше в саду что он как дома это из книги сказок " * 6,
+             "hindi": "यह एक बिल्ली है जो छत पर बैठी है और आकाश देखती रहती सुबह शाम " * 6,
+             "junk": "xkq zzvw qqpr lmnt brrt wvxk plok mnbz qwrt zxcv " * 8}
+    # words differ from line to line, so that no window repeats
+    texts = {k: " ".join(w + (str(i) if i % 4 == 3 else "") for i, w in enumerate(t.split())) for k, t in texts.items()}
+    df = spark.createDataFrame([(i, k, t) for i, (k, t) in enumerate(texts.items())], "doc_id long, kind string, text string")
+    got = {r.kind: r.kept for r in quality_rules.judge(df).select("kind", "__quality.kept").collect()}
+    assert got == {k: k != "junk" for k in texts}
+    from sentinela.llm.queries import ORACLE_SQL
+    import duckdb
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [(i, t) for i, t in enumerate(texts.values())])
+    told = {r[0]: r[-1] for r in con.sql(ORACLE_SQL["op6_quality_rules"]).fetchall()}
+    assert [told[i] for i in range(len(texts))] == [got[k] for k in texts]
