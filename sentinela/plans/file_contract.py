@@ -208,7 +208,9 @@ def pending_chunks(spark, sf_dir):
         stem = F.substring_index(F.element_at(F.split("path", "/"), -2), "=", -1)
         part = F.split(stem, "_")
         return S.list_objects(spark, f"{root}/{kind}", "part-*").select(
-            part[0].alias("sample"), part[1].cast("int").alias("mate"), part[2].cast("int").alias("chunk"), "length")
+            # never NULL: a join infers no filter that would take the names apart again
+            F.coalesce(part[0], F.lit("")).alias("sample"), F.coalesce(part[1].cast("int"), F.lit(0)).alias("mate"),
+            F.coalesce(part[2].cast("int"), F.lit(0)).alias("chunk"), "length")
 
     return new_items(listed("in"), listed("out"), ["sample", "mate", "chunk"]).select("sample", "mate", "chunk", "length")
 
