@@ -235,6 +235,28 @@ def test_proximity_takes_shifted_words(spark):
     assert hits(0) == {2} and hits(1) == {1, 2}
 
 
+def test_inverted_index_holds_every_posting_and_serves_many_searches(spark, docs):
+    rows = Counter((str(r.doc_id), tuple(words_of(r.text))) for r in docs.collect())
+    found = {}
+    for size in (1, 700, 1 << 20):                                             # a segment a document, a few, one a task
+        index = decontaminate.build_index(docs, segment_bytes=size).cache()
+        places = {}
+        for r in index.filter("term IS NOT NULL").collect():
+            at = list(np.cumsum(r.steps))
+            assert len(at) == r.n and at == sorted(set(at))
+            places.setdefault(r.segment, {}).update({int(p): bytes(r.term).decode() for p in at if r.term})
+        whole = Counter()
+        for r in index.filter("term IS NULL").collect():
+            whole[str(r.id), tuple(places[r.segment][r.begin + i] for i in range(r.n_words))] += 1
+        assert whole == rows
+        for block in ([("a", [b"cat", b"dog"]), ("b", [b"moon"])], [("c", [b"word"] * 12)], [("d", [b"unheard", b"of"])]):
+            hit = decontaminate.search(index, block).join(index.filter("term IS NULL"), ["segment", "begin"])
+            got = sorted((str(r.id), r["items"], [tuple(x) for x in r.runs]) for r in hit.collect())
+            assert found.setdefault(block[0][0], got) == got
+        index.unpersist()
+    assert found["a"] and [(i, r) for i, _, r in found["c"]] == [("402", [(0, 3000)])] and not found["d"]
+
+
 def test_bpe_equals_the_tokenizers_library(spark, docs, none):
     from tokenizers import Tokenizer
     path = public_tokenizers.path("word_bpe_49k.json")
