@@ -9,6 +9,9 @@ from ``min_docs`` documents need no more counting.  When a level holds
 So each line hash is rewritten a logarithmic number of times, and memory never
 holds more than a merge.
 
+All runs have one bucket layout by hash, so merging, compacting and the final count read
+matching buckets side by side and shuffle nothing.
+
 Everything is DataFrame operations.  A line that a third of all documents share
 is one row per task before any shuffle.  Documents meet their dropped line
 numbers by the hash of the whole text, one row per distinct text, so copies of
@@ -17,8 +20,6 @@ one text are a skewed join side that AQE can split.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,9 +36,6 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Capital letters that ``lower`` changes and the key must not.
 OTHER_CAPITALS = r"[\p{IsUppercase}\p{Lt}&&[^A-Z]]"
 
-_RUN = "h1 BIGINT, h2 BIGINT, n BIGINT"
-
-
 def line_key(line: Column) -> Column:
     """The line without ASCII white space at both ends, A-Z lower-cased."""
     bare = F.btrim(line, F.lit(BLANKS))
@@ -52,81 +50,118 @@ def _lines(text_col: str) -> Column:
     return F.split(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), "\n", -1)
 
 
-def line_counts(docs: DataFrame, text_col: str = "text", by: list[Column] | None = None) -> DataFrame:
-    """``[by...], h1, h2, n``: in how many rows of ``docs`` each non-empty line key occurs."""
+def line_counts(docs: DataFrame, text_col: str = "text", batches: int = 1) -> DataFrame:
+    """``h1, h2, batch, n``: in how many rows of ``docs`` each non-empty line key occurs, by
+    batch (a row's batch is a hash of its text).  All batches are counted side by side, so
+    one shuffle of partial counts serves them and leaves the rows dealt by line hash."""
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    batch = F.pmod(F.xxhash64(text, F.lit(2)), F.lit(batches)).cast("int").alias("batch")
     keys = F.array_distinct(F.transform(_lines(text_col), line_key))
-    by = by or []
-    one = docs.select(*by, F.explode(keys).alias("key")).filter("key != ''")
-    names = [c for c in one.columns if c != "key"]
-    return one.select(*names, *_hashes(F.col("key"))).groupBy(*names, "h1", "h2").agg(F.count("*").alias("n"))
+    one = docs.select(batch, F.explode(keys).alias("key")).filter("key != ''").select("batch", *_hashes(F.col("key")))
+    counts = one.groupBy("h1", "h2").agg(*[F.count_if(F.col("batch") == b).alias(f"n{b}") for b in range(batches)])
+    each = F.array(*[F.struct(F.lit(b).alias("batch"), F.col(f"n{b}").alias("n")) for b in range(batches)])
+    return counts.select("h1", "h2", F.inline(F.filter(each, lambda x: x.n > 0)))
+
+
+class Runs:
+    """Numbered runs of ``h1, h2, n`` in one table of the shared folder: a partition a run,
+    every run bucketed and sorted by the hash with the same number of buckets.  Joins and
+    counts over any runs read them bucket by bucket, without a shuffle.  The table's name
+    lives in the session's catalog until ``close``."""
+
+    def __init__(self, spark: SparkSession, buckets: int | None = None):
+        self.spark = spark
+        self.buckets = min(buckets or int(spark.conf.get("spark.sql.shuffle.partitions")),
+                           int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+        self.path = scratch_path(spark, "line-runs")
+        self.name = "line_runs_" + self.path.rsplit("-", 1)[1]
+        spark.sql(f"CREATE TABLE {self.name} (h1 BIGINT, h2 BIGINT, n BIGINT, run INT) USING parquet "
+                  f"PARTITIONED BY (run) CLUSTERED BY (h1, h2) SORTED BY (h1, h2) INTO {self.buckets} BUCKETS "
+                  f"LOCATION '{self.path}'")
+
+    def write(self, rows: DataFrame) -> None:
+        """Append ``rows(h1, h2, n, run)``; ``run`` must name new runs."""
+        (rows.select("h1", "h2", "n", F.col("run").cast("int")).write.mode("append").format("parquet")
+         .partitionBy("run").bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2").saveAsTable(self.name))
+
+    def read(self, runs: list[int]) -> DataFrame:
+        return self.spark.table(self.name).filter(F.col("run").isin(*runs)).select("h1", "h2", "n")
+
+    def close(self) -> None:
+        """Drop the table's name; the files stay, so frames read from it still work."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
 class LineRuns:
-    """The levelled runs.  Only folder names live here; the rows are Parquet in the shared folder."""
+    """The levelled runs.  Only run numbers live here; the rows are a bucketed table."""
+
+    def __init__(self, spark: SparkSession, min_docs: int = MIN_DOCS, fanout: int = FANOUT,
+                 buckets: int | None = None):
+        self.min_docs, self.fanout = min_docs, fanout
+        self.runs = Runs(spark, buckets)
+        self.levels: dict[int, list[int]] = {}
+        self.settled: list[int] = []
+        self.made = 0
 
-    def __init__(self, spark: SparkSession, min_docs: int = MIN_DOCS, fanout: int = FANOUT):
-        self.spark, self.min_docs, self.fanout = spark, min_docs, fanout
-        self.levels: dict[int, list[str]] = {}
-        self.settled: list[str] = []
+    def _next(self) -> int:
+        self.made += 1
+        return self.made
 
-    def _read(self, paths: list[str]) -> DataFrame:
-        return self.spark.read.schema(_RUN).parquet(*paths)
+    def _all(self) -> list[int]:
+        return self.settled + [r for level in self.levels.values() for r in level]
+
+    def _without(self, counts: DataFrame, runs: list[int]) -> DataFrame:
+        return counts.join(self.runs.read(runs).hint("merge"), ["h1", "h2"], "left_anti") if runs else counts
 
     def unseen(self, counts: DataFrame) -> DataFrame:
         """Rows of ``counts(h1, h2, n)`` whose line is in no run yet."""
-        runs = self.settled + [p for level in self.levels.values() for p in level]
-        return counts if not runs else counts.join(self._read(runs).hint("merge"), ["h1", "h2"], "left_anti")
+        return self._without(counts, self._all())
+
+    def unsettled(self, counts: DataFrame) -> DataFrame:
+        """Rows of ``counts(h1, h2, n)`` whose line is not known from ``min_docs`` documents yet."""
+        return self._without(counts, self.settled)
 
     def add(self, counts: DataFrame) -> None:
         """Add one batch (``h1, h2, n``, one row a line) as a run, then compact full levels."""
-        if self.settled:
-            counts = counts.join(self._read(self.settled).hint("merge"), ["h1", "h2"], "left_anti")
-        path = scratch_path(self.spark, "line-run-0")
-        counts.select("h1", "h2", "n").sortWithinPartitions("h1", "h2").write.parquet(path)
-        self.levels.setdefault(0, []).append(path)
+        run = self._next()
+        self.runs.write(self.unsettled(counts).withColumn("run", F.lit(run)))
+        self.levels.setdefault(0, []).append(run)
         level = 0
         while len(self.levels.get(level, [])) >= self.fanout:
             self._compact(level)
             level += 1
 
-    def _totals(self, paths: list[str]) -> DataFrame:
-        return self._read(paths).groupBy("h1", "h2").agg(F.sum("n").alias("n"))
+    def totals(self, runs: list[int]) -> DataFrame:
+        return self.runs.read(runs).groupBy("h1", "h2").agg(F.sum("n").alias("n"))
 
     def _compact(self, level: int) -> None:
-        path = scratch_path(self.spark, f"line-run-{level + 1}")
-        (self._totals(self.levels.pop(level)).withColumn("settled", F.col("n") >= self.min_docs)
-         .sortWithinPartitions("settled", "h1", "h2").write.partitionBy("settled").parquet(path))
-        parts = self.spark.read.schema(f"{_RUN}, settled BOOLEAN").parquet(path)
-        for flag in {r["settled"] for r in parts.select("settled").distinct().collect()}:  # at most two values
-            if flag:
-                self.settled.append(f"{path}/settled=true")
-            else:
-                self.levels.setdefault(level + 1, []).append(f"{path}/settled=false")
+        done, open_ = self._next(), self._next()
+        self.runs.write(self.totals(self.levels.pop(level)).withColumn(
+            "run", F.when(F.col("n") >= self.min_docs, done).otherwise(open_)))
+        self.settled.append(done)
+        self.levels.setdefault(level + 1, []).append(open_)
 
     def frequent(self) -> DataFrame:
-        """``h1, h2`` of the lines seen in at least ``min_docs`` documents."""
-        found = [self._read(self.settled).select("h1", "h2")] if self.settled else []
-        if runs := [p for level in self.levels.values() for p in level]:
-            found.append(self._totals(runs).filter(F.col("n") >= self.min_docs).select("h1", "h2"))
-        if not found:
-            return self.spark.range(0).selectExpr("id AS h1", "id AS h2")
-        return reduce(DataFrame.unionByName, found).distinct()
+        """``h1, h2`` of the lines seen in at least ``min_docs`` documents.  A settled line's own
+        run holds that many already, so one sum over all runs decides."""
+        return self.totals(self._all()).filter(F.col("n") >= self.min_docs).select("h1", "h2")
+
+    def close(self) -> None:
+        self.runs.close()
 
 
 def index_lines(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS,
                 batches: int = BATCHES, fanout: int = FANOUT) -> LineRuns:
     """All of ``docs`` added to new runs in ``batches`` batches.  The texts are
-    read once; batches are cut from the counted hashes."""
-    spark = docs.sparkSession
-    path = scratch_path(spark, "line-batches")
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    batch = F.pmod(F.xxhash64(text, F.lit(2)), F.lit(batches)).cast("int").alias("batch")
-    line_counts(docs, text_col, [batch]).write.partitionBy("batch").parquet(path)
-    counted = spark.read.schema(f"{_RUN}, batch INT").parquet(path)
-    runs = LineRuns(spark, min_docs, fanout)
+    read once; the counted hashes lie in buckets as the runs do, so adding a batch
+    and compacting shuffle nothing."""
+    lines = LineRuns(docs.sparkSession, min_docs, fanout)
+    counted = Runs(docs.sparkSession, lines.runs.buckets)
+    counted.write(line_counts(docs, text_col, batches).withColumnRenamed("batch", "run"))
     for b in range(batches):
-        runs.add(counted.filter(F.col("batch") == b))
-    return runs
+        lines.add(counted.read([b]))
+    counted.close()
+    return lines
 
 
 @passes_columns
@@ -142,7 +177,9 @@ def drop_common_lines(docs: DataFrame, text_col: str = "text", min_docs: int = M
     spark = docs.sparkSession
     own = [F.col(f"`{c}`") for c in docs.columns]
     path = scratch_path(spark, "line-frequent")
-    index_lines(docs, text_col, min_docs, batches, fanout).frequent().write.parquet(path)
+    lines = index_lines(docs, text_col, min_docs, batches, fanout)
+    lines.frequent().write.parquet(path)
+    lines.close()
     frequent = spark.read.schema("h1 BIGINT, h2 BIGINT").parquet(path)
     if frequent.count() <= BROADCAST_ROWS:
         frequent = F.broadcast(frequent)

@@ -110,6 +110,27 @@ def test_line_runs_compact_and_report_unseen(spark):
     assert sum(map(len, runs.levels.values())) <= 1
 
 
+def test_line_runs_merge_and_compact_without_a_shuffle(spark, docs, none):
+    def shuffles(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+    lines = line_dedup.index_lines(docs, min_docs=3)
+    batch = line_dedup.Runs(spark, lines.runs.buckets)
+    batch.write(line_dedup.line_counts(docs, batches=2).withColumnRenamed("batch", "run"))
+    assert lines.settled
+    assert shuffles(lines.unsettled(batch.read([0]))) == 0
+    assert shuffles(lines.totals(lines.settled)) == 0
+    assert shuffles(lines.frequent()) == 0
+    files = [p for p in batch.read([0, 1]).inputFiles()]
+    assert len(files) <= 2 * batch.buckets
+    seen = {(r.h1, r.h2) for r in lines.frequent().collect()}
+    plain = line_dedup.line_counts(docs).filter("n >= 3")
+    assert seen == {(r.h1, r.h2) for r in plain.collect()} and seen
+    assert line_dedup.index_lines(none).frequent().count() == 0
+    lines.close(), batch.close()
+    assert not [t for t in spark.catalog.listTables() if t.name in (lines.runs.name, batch.name)]
+
+
 def brute_fingerprint(text, k=3):
     ws = re.findall(r"[^\x20\x09-\x0D]+", lowered(text))
     grams = [" ".join(ws[i:i + k]) for i in range(len(ws) - k + 1)] if len(ws) >= k else [" ".join(ws)] if ws else []
