@@ -24,7 +24,7 @@ from ..operators import taxonomy
 from ..operators import warehouse as H
 from ..operators.joins import new_items
 from ..operators.partitions import pin, spread
-from ..session import scratch_path
+from ..session import SMALL_FILES, scratch_path
 from ..sources import files as S
 from ..streaming.annotation import SampleLoad
 from .contract import CHUNK_ROWS, KMER, LINES_PER_FILE, READ_LEN, SKIP_ROWS, _dna, infection, table
@@ -188,7 +188,7 @@ def incremental_annotation(spark, sf_dir):
     for part in (False, True, None):
         if part is not None:
             (rows.filter(F.coalesce("late", F.lit(False)) == part).repartition("ward").select("ward", "value")
-             .write.mode("append").partitionBy("ward").text(f"{root}/inbox"))
+             .write.mode("append").options(**SMALL_FILES).partitionBy("ward").text(f"{root}/inbox"))
         load.run()
     return load.annotated()
 

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions import cleaning as C
 from ..operators.rows import frame_records, line_index
+from ..session import few_listing_tasks
 
 # The 11 column names of the read-mapping result, in file order
 # (the reference spells the sixth "alignemnt_identity"; the build uses the
@@ -44,7 +45,8 @@ def read_lines(spark: SparkSession, paths, line_sep: str | None = None) -> DataF
     reader = spark.read
     if line_sep is not None:
         reader = reader.option("lineSep", line_sep)
-    df = reader.text(paths)
+    with few_listing_tasks(spark):
+        df = reader.text(paths)
     return df.select(F.col("_metadata.file_path").alias("file"),
                      F.col("_metadata.file_block_start").alias("block"), "value")
 
@@ -124,10 +126,12 @@ def read_patient_index(spark: SparkSession, paths, id_col: int = 0) -> DataFrame
 def read_mapping_result(spark: SparkSession, paths) -> DataFrame:
     """Tab-separated read-mapping result with the 11 named columns (S4, S5);
     short lines give NULL fields, malformed numbers give NULL.  ``sample`` is the
-    folder that holds the part files, so all parts of a sample count together."""
-    return (spark.read.schema(MAPPING_RESULT_SCHEMA).option("sep", "\t")
-            .option("mode", "PERMISSIVE").csv(paths)
-            .withColumn("sample", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)))
+    folder that holds the part files, so all parts of a sample count together.  Folders may be
+    named by the one above them: its listing is dealt over tasks, a glob is worked out on the driver."""
+    reader = spark.read.schema(MAPPING_RESULT_SCHEMA).option("sep", "\t").option("mode", "PERMISSIVE")
+    with few_listing_tasks(spark):
+        rows = reader.option("recursiveFileLookup", "true").csv(paths)
+    return rows.withColumn("sample", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
 
 
 def read_fasta(spark: SparkSession, paths) -> DataFrame:
@@ -171,7 +175,8 @@ def list_objects(spark: SparkSession, path: str, glob: str | None = None) -> Dat
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    listing = reader.option("recursiveFileLookup", "true").load(path)
+    with few_listing_tasks(spark):
+        listing = reader.option("recursiveFileLookup", "true").load(path)
     return listing.select("path", F.element_at(F.split("path", "/"), -1).alias("name"),
                           "length")
 

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from ..operators import abundance as A
 from ..operators.joins import broadcast_if_small
 from ..operators.partitions import pin
+from ..session import few_listing_tasks
 from ..sources.files import MAPPING_RESULT_SCHEMA
 
 _COUNTS = T.StructType([T.StructField("sample", T.StringType()), T.StructField("gene", T.StringType()),
@@ -60,6 +61,10 @@ class SampleLoad:
 
     def run(self, max_files_per_trigger: int | None = None, timeout_s: float | None = None) -> None:
         """Load the files of the inbox that no earlier run has loaded, then stop."""
+        with few_listing_tasks(self.spark):     # the inbox is listed by every batch as well as here
+            self._run(max_files_per_trigger, timeout_s)
+
+    def _run(self, max_files_per_trigger: int | None, timeout_s: float | None) -> None:
         reader = self.spark.readStream.schema(MAPPING_RESULT_SCHEMA).format("csv").option("sep", "\t")
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators.partitions import pin
+from ..session import few_listing_tasks
 
 
 def load_new_files(spark: SparkSession, inbox: str, sink: str, checkpoint: str,
@@ -30,6 +31,11 @@ def load_new_files(spark: SparkSession, inbox: str, sink: str, checkpoint: str,
     moved there once the run has finished, every one of them being loaded by then.
     A run that fails moves nothing; the next one that finishes does.
     """
+    with few_listing_tasks(spark):
+        _load(spark, inbox, sink, checkpoint, schema, transform, fmt, archive_dir, max_files_per_trigger, timeout_s)
+
+
+def _load(spark, inbox, sink, checkpoint, schema, transform, fmt, archive_dir, max_files_per_trigger, timeout_s) -> None:
     waiting = _listing(spark, inbox) if archive_dir else None
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
