@@ -38,7 +38,7 @@ def write_chunks(df: DataFrame, path: str, partition_cols: list[str], fmt: str =
 
 
 def write_record_chunks(records: DataFrame, path: str, size: int, sample, mate, lines: list[str],
-                        number: str = "record") -> None:
+                        number: str = "record", options: dict[str, str] | None = None) -> None:
     """Framed records as text files in folders ``sample=/mate=/chunk=`` of ``size``
     records each (K3, W2): ``records`` hold one record a row, its ``lines`` in columns and
     its 0-based ``number`` within (sample, mate).
@@ -46,13 +46,14 @@ def write_record_chunks(records: DataFrame, path: str, size: int, sample, mate,
     A record is one value of the text writer, so no record is cut between files.  Rows
     are range-partitioned by sample, mate and number, so a chunk of any size is written
     by as many tasks as it needs and its part files, in name order, hold its records in
-    order.  Lines that a record lacks (the last of a cut-off file) are left out."""
+    order.  Lines that a record lacks (the last of a cut-off file) are left out.
+    ``options`` go to the writer."""
     value = F.concat_ws("\n", *[F.col(c) for c in lines])
     out = records.select(sample.alias("sample"), mate.alias("mate"),
                          F.expr(f"{number} div {size} + 1").alias("chunk"), F.col(number).alias("_number"), value.alias("value"))
     order = ["sample", "mate", "_number"]
     (out.repartitionByRange(*order).sortWithinPartitions(*order).drop("_number")
-     .write.partitionBy("sample", "mate", "chunk").text(path))
+     .write.options(**(options or {})).partitionBy("sample", "mate", "chunk").text(path))
 
 
 def write_mapping_result(rows: DataFrame, path: str) -> None:

@@ -154,12 +154,13 @@ def fastq_chunks(spark, sf_dir):
                                            F.col("doc_id").cast("string").alias("id"), "seq")
     raw = scratch_path(spark, "raw-fastq")
     (_fastq(rows, "sample", "mate").repartition("sample", "mate").sortWithinPartitions("sample", "mate", "at").drop("at")
-     .write.partitionBy("sample", "mate").text(raw))
+     .write.options(**SMALL_FILES).partitionBy("sample", "mate").text(raw))
     folder = F.split("file", "/")
     records = S.read_fastq_records(spark, raw)
     chunks = scratch_path(spark, "fastq-chunks")
     H.write_record_chunks(records, chunks, RECORDS_PER_CHUNK, F.substring_index(F.element_at(folder, -3), "=", -1),
-                          F.substring_index(F.element_at(folder, -2), "=", -1).cast("int"), ["header", "seq", "plus", "qual"])
+                          F.substring_index(F.element_at(folder, -2), "=", -1).cast("int"), ["header", "seq", "plus", "qual"],
+                          options=SMALL_FILES)
     back = S.read_fastq(spark, chunks)
 
     def part(i):

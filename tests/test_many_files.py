@@ -70,3 +70,21 @@ def test_listing_setting_comes_back_after_an_error(spark):
         with few_listing_tasks(spark):
             raise ValueError
     assert spark.conf.get(LISTING) == before
+
+
+def _captured(monkeypatch, name):
+    paths, real = [], getattr(S, name)
+    monkeypatch.setattr(FC.S, name, lambda spark, path: paths.append(path) or real(spark, path))
+    return paths
+
+
+@pytest.mark.parametrize("query, reader", [(FC.fastq_chunks, "read_fastq")])
+def test_no_checksum_files_beside_small_files(spark, tmp_path, monkeypatch, query, reader):
+    paths = _captured(monkeypatch, reader)
+    texts = spark.range(130).select(F.col("id").alias("doc_id"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 4).alias("text"))
+    texts.write.parquet(f"{tmp_path}/documents.parquet")
+    texts.filter("doc_id < 5").select(F.col("doc_id").alias("item_id"), "text").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.range(3).select(F.col("id").alias("c_custkey")).write.parquet(f"{tmp_path}/customer.parquet")
+    query(spark, str(tmp_path)).collect()
+    assert glob.glob(f"{paths[0]}/**/part-*", recursive=True)
+    assert not glob.glob(f"{paths[0]}/**/.part-*.crc", recursive=True)
