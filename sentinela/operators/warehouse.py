@@ -56,13 +56,14 @@ def write_record_chunks(records: DataFrame, path: str, size: int, sample, mate,
      .write.options(**(options or {})).partitionBy("sample", "mate", "chunk").text(path))
 
 
-def write_mapping_result(rows: DataFrame, path: str) -> None:
+def write_mapping_result(rows: DataFrame, path: str, options: dict[str, str] | None = None) -> None:
     """Mapping results as tab-separated files, a folder per ``sample`` (read back with
     ``sources.files.read_mapping_result``).  Rows are dealt by sample and a hash of the
-    read, so a large sample is several part files and a small one is few."""
+    read, so a large sample is several part files and a small one is few.  ``options`` go to
+    the writer."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (rows.repartition(parts, "sample", F.pmod(F.xxhash64("id"), F.lit(4))).sortWithinPartitions("sample")
-     .write.partitionBy("sample").option("sep", "\t").csv(path))
+     .write.options(**(options or {})).partitionBy("sample").option("sep", "\t").csv(path))
 
 
 def create_keyed_table(spark: SparkSession, name: str, df: DataFrame, key: str,

@@ -128,15 +128,15 @@ def sequencing_pipeline(spark, sf_dir):
         F.struct("doc_id", "start").alias("at"), F.col("piece").alias("seq"))
     raw = scratch_path(spark, "raw-reads")
     (_fastq(cut, "sample").repartition("sample").sortWithinPartitions("sample", "at").drop("at")
-     .write.partitionBy("sample").text(raw))
+     .write.options(**SMALL_FILES).partitionBy("sample").text(raw))
     reads = S.read_fastq(spark, raw).select(
         F.substring_index(F.element_at(F.split("file", "/"), -2), "=", -1).alias("sample"), "read_id", "seq")
     genomes = _benchmark_genomes(spark, sf_dir)
     placed = alignment.align_reads(reads, genomes, k=KMER, read_id=["sample", "read_id"])
     names = genomes.select(F.col("ref_id").alias("gene"), F.col("description").alias("strain"))
     results = scratch_path(spark, "mapping-results")
-    H.write_mapping_result(alignment.mapping_result(placed, F.col("read_id"), names, F.col("sample")), results)
-    hits = S.read_mapping_result(spark, f"{results}/*/part-*")
+    H.write_mapping_result(alignment.mapping_result(placed, F.col("read_id"), names, F.col("sample")), results, SMALL_FILES)
+    hits = S.read_mapping_result(spark, results)
     known = taxonomy.lineages(_taxa(spark, sf_dir)).select(F.col("taxon").alias("gene"), "lineage")
     patients = table(spark, sf_dir, "customer").select("c_custkey")
     ids = scratch_path(spark, "patient-ids")

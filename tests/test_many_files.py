@@ -78,7 +78,7 @@ def _captured(monkeypatch, name):
     return paths
 
 
-@pytest.mark.parametrize("query, reader", [(FC.fastq_chunks, "read_fastq")])
+@pytest.mark.parametrize("query, reader", [(FC.fastq_chunks, "read_fastq"), (FC.sequencing_pipeline, "read_fastq")])
 def test_no_checksum_files_beside_small_files(spark, tmp_path, monkeypatch, query, reader):
     paths = _captured(monkeypatch, reader)
     texts = spark.range(130).select(F.col("id").alias("doc_id"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 4).alias("text"))
