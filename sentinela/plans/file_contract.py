@@ -54,9 +54,12 @@ def annotation_job(spark, sf_dir):
            F.lit("strain"), F.lit("found"), F.concat(marker, F.coalesce("event_type", F.lit("none"))),
            F.lit("10"), F.lit("110")]
     path = scratch_path(spark, "mapping-results")
-    (ev.select(ward.alias("ward"), F.concat_ws("\t", *hit).alias("value")).repartition(4, "value")
-     .sortWithinPartitions("ward").write.partitionBy("ward").text(path))
-    hits = S.read_mapping_result(spark, f"{path}/*/part-*")
+    # by ward and half: two part files a ward, written by all cores
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (ev.select(ward.alias("ward"), F.concat_ws("\t", *hit).alias("value"))
+     .repartition(parts, "ward", F.pmod(F.xxhash64("value"), F.lit(2)))
+     .sortWithinPartitions("ward").write.options(**SMALL_FILES).partitionBy("ward").text(path))
+    hits = S.read_mapping_result(spark, path)
 
     gene = F.concat(F.lit("NC_"), F.col("event_type"))
     taxonomy = (ev.filter(F.col("event_type") != "view").select(

@@ -78,6 +78,20 @@ def _captured(monkeypatch, name):
     return paths
 
 
+def test_annotation_job_writes_two_part_files_a_ward(spark, tmp_path, monkeypatch):
+    paths = _captured(monkeypatch, "read_mapping_result")
+    kinds = F.element_at(F.array(*map(F.lit, ("view", "click", "error", "buy"))), (F.col("id") % 4 + 1).cast("int"))
+    spark.range(4000).select(F.col("id").alias("event_id"), (F.col("id") % 120).alias("user_id"), kinds.alias("event_type")) \
+        .write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(30).select(F.col("id").alias("c_custkey"), F.lit("n").alias("c_name")).write.parquet(f"{tmp_path}/customer.parquet")
+    got = FC.annotation_job(spark, str(tmp_path)).collect()
+    assert Counter(r.bacteria for r in got) == {"Bacteria_click": 12, "Bacteria_buy": 12}
+    assert sum(r.otu for r in got) == 2000
+    root = paths[0].removesuffix("/*/part-*")
+    files = glob.glob(f"{root}/*/part-*")
+    assert set(Counter(os.path.dirname(f) for f in files).values()) == {2} and len(files) == 24
+
+
 @pytest.mark.parametrize("query, reader", [(FC.fastq_chunks, "read_fastq"), (FC.sequencing_pipeline, "read_fastq")])
 def test_no_checksum_files_beside_small_files(spark, tmp_path, monkeypatch, query, reader):
     paths = _captured(monkeypatch, reader)
