@@ -532,6 +532,31 @@ def test_host_repeats_are_cut_where_no_article_is_marked(spark):
     assert html_extract.extract(pages.limit(0)).count() == 0
 
 
+def test_host_repeats_decide_in_marked_articles_too(spark):
+    def words(tag, n):
+        return " ".join(f"{tag}{i}" for i in range(n))
+
+    notice, teased, quote = words("n", 60), words("t", 60), words("q", 60)
+    short = "one two three four five six seven"
+    rows = []
+    for i in range(6):
+        own = [f"<h1>{short}</h1>", f"<p>{words(f'own{i}x', 30)}</p>"]
+        own += [f"<p>{teased}</p>"] if i == 0 else []            # a teaser of it stands beside the others
+        own += [f"<p>{quote}</p>"] if i in (1, 2) else []        # two articles quote the same
+        own += [f"<p>{notice}</p>"] if i != 3 else [f"<p>{notice} and more</p>"]
+        beside = f"<aside>{teased}</aside>" if i else ""
+        rows.append((i, "http://h/a", f"<nav>m{i}</nav><article>{''.join(own)}</article>{beside}<div class=ad>{short}</div>"
+                                      f"<footer><p>{notice}</p></footer>"))
+    rows += [(10, "http://other/a", rows[0][2]), (11, None, None), (12, "http://h/a", rows[0][2])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.main_text.split("\n\n") for r in html_extract.extract(pages).collect()}
+    for i in range(6):
+        want = [short, words(f"own{i}x", 30)] + [teased] * (i == 0) + [quote] * (i in (1, 2)) + [f"{notice} and more"] * (i == 3)
+        assert got[i] == want, i
+    assert got[10] == [short, words("own0x", 30), teased, notice]     # the only page of its host
+    assert got[11] == [""] and got[12] == got[0]
+
+
 def test_pages_whose_article_is_not_marked_keep_their_text(spark):
     html_of = {
         "a": "<div id=content><p>the story itself</p></div><aside><article>a teaser</article></aside>",
