@@ -10,7 +10,8 @@ So each line hash is rewritten a logarithmic number of times, and memory never
 holds more than a merge.
 
 All runs have one bucket layout by hash, so merging, compacting and the final count read
-matching buckets side by side and shuffle nothing.
+matching buckets side by side and shuffle nothing.  A run is a small file a bucket, so
+scratch tables are written with ``SMALL_FILES``.
 
 Everything is DataFrame operations.  A line that a third of all documents share
 is one row per task before any shuffle.  Documents meet their dropped line
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .columns import passes_columns
-from ..session import scratch_path
+from ..session import SMALL_FILES, scratch_path
 
 MIN_DOCS = 10
 BATCHES = 4
@@ -76,6 +77,7 @@ class Runs:
         self.path = scratch_path(spark, "line-runs")
         self.name = "line_runs_" + self.path.rsplit("-", 1)[1]
         spark.sql(f"CREATE TABLE {self.name} (h1 BIGINT, h2 BIGINT, n BIGINT, run INT) USING parquet "
+                  f"OPTIONS ({', '.join(f"'{k}' '{v}'" for k, v in SMALL_FILES.items())}) "
                   f"PARTITIONED BY (run) CLUSTERED BY (h1, h2) SORTED BY (h1, h2) INTO {self.buckets} BUCKETS "
                   f"LOCATION '{self.path}'")
 
@@ -121,10 +123,22 @@ class LineRuns:
         """Rows of ``counts(h1, h2, n)`` whose line is not known from ``min_docs`` documents yet."""
         return self._without(counts, self.settled)
 
-    def add(self, counts: DataFrame) -> None:
-        """Add one batch (``h1, h2, n``, one row a line) as a run, then compact full levels."""
-        run = self._next()
-        self.runs.write(self.unsettled(counts).withColumn("run", F.lit(run)))
+    def count(self, docs: DataFrame, text_col: str, batches: int) -> list[int]:
+        """The line counts of ``docs`` written as one run a batch, for ``add``."""
+        first = self.made + 1
+        counts = line_counts(docs, text_col, batches).withColumn("run", F.col("batch") + first)
+        self.made += batches
+        self.runs.write(counts)
+        return list(range(first, first + batches))
+
+    def add(self, counts: DataFrame | int) -> None:
+        """Add one batch (``h1, h2, n``, one row a line, or the number of its run from ``count``)
+        as a run, then compact full levels.  A written run stays as it is while no line is settled."""
+        run = counts
+        if self.settled or not isinstance(counts, int):
+            rows = self.runs.read([counts]) if isinstance(counts, int) else counts
+            run = self._next()
+            self.runs.write(self.unsettled(rows).withColumn("run", F.lit(run)))
         self.levels.setdefault(0, []).append(run)
         level = 0
         while len(self.levels.get(level, [])) >= self.fanout:
@@ -156,11 +170,8 @@ def index_lines(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_DOC
     read once; the counted hashes lie in buckets as the runs do, so adding a batch
     and compacting shuffle nothing."""
     lines = LineRuns(docs.sparkSession, min_docs, fanout)
-    counted = Runs(docs.sparkSession, lines.runs.buckets)
-    counted.write(line_counts(docs, text_col, batches).withColumnRenamed("batch", "run"))
-    for b in range(batches):
-        lines.add(counted.read([b]))
-    counted.close()
+    for run in lines.count(docs, text_col, batches):
+        lines.add(run)
     return lines
 
 
@@ -178,7 +189,7 @@ def drop_common_lines(docs: DataFrame, text_col: str = "text", min_docs: int = M
     own = [F.col(f"`{c}`") for c in docs.columns]
     path = scratch_path(spark, "line-frequent")
     lines = index_lines(docs, text_col, min_docs, batches, fanout)
-    lines.frequent().write.parquet(path)
+    lines.frequent().write.options(**SMALL_FILES).parquet(path)
     lines.close()
     frequent = spark.read.schema("h1 BIGINT, h2 BIGINT").parquet(path)
     if frequent.count() <= BROADCAST_ROWS:
@@ -192,7 +203,7 @@ def drop_common_lines(docs: DataFrame, text_col: str = "text", min_docs: int = M
              .groupBy("__t1", "__t2").agg(F.collect_set("pos").alias("__drop")))
     # written first, so that AQE sees two plain join sides and can split a text that many rows share
     path = scratch_path(spark, "line-drops")
-    found.write.parquet(path)
+    found.write.options(**SMALL_FILES).parquet(path)
     found = spark.read.schema("__t1 BIGINT, __t2 BIGINT, __drop ARRAY<INT>").parquet(path)
     both = docs.select(*own, *row_key).join(found, ["__t1", "__t2"], "left")
     both = both.withColumn("__split", _lines(text_col))

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import write_text
+from sentinela.llm import line_dedup
 from sentinela.plans import file_contract as FC
 from sentinela.session import LISTING, few_listing_tasks
 from sentinela.sources import files as S
@@ -103,3 +104,15 @@ def test_no_checksum_files_beside_small_files(spark, tmp_path, monkeypatch, quer
     query(spark, str(tmp_path)).collect()
     assert glob.glob(f"{paths[0]}/**/part-*", recursive=True)
     assert not glob.glob(f"{paths[0]}/**/.part-*.crc", recursive=True)
+
+
+def test_line_dedup_writes_no_checksum_files(spark, monkeypatch):
+    paths, real = [], line_dedup.scratch_path
+    monkeypatch.setattr(line_dedup, "scratch_path", lambda *a: paths.append(real(*a)) or paths[-1])
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.concat(F.lit("all\nown "), F.col("id")).alias("text"))
+    assert {r["__lines"].kept for r in line_dedup.drop_common_lines(docs, min_docs=3).collect()} == {f"own {i}" for i in range(40)}
+    assert len(paths) == 3                     # the runs, the frequent lines, the dropped lines
+    for p in paths:
+        p = p.removeprefix("file://")
+        assert glob.glob(f"{p}/**/part-*", recursive=True)
+        assert not glob.glob(f"{p}/**/.part-*.crc", recursive=True)
