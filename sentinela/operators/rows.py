@@ -14,7 +14,7 @@ from operator import and_
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path, shared_root
+from ..session import SMALL_FILES, scratch_path, shared_root
 from .joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 from .partitions import pin
 
@@ -88,7 +88,7 @@ def line_index(lines: DataFrame, name: str = "idx", per_file: bool = True,
     spark = lines.sparkSession
     path = scratch_path(spark, "lines")
     with_id = lines.withColumn("_mid", F.monotonically_increasing_id())
-    with_id.write.parquet(path)
+    with_id.write.options(**SMALL_FILES).parquet(path)
     held = spark.read.schema(with_id.schema).parquet(path)
     per_split = held.groupBy("file", "block").agg(F.min("_mid").alias("_first"),
                                                   F.count(F.lit(1)).alias("_n"))

@@ -46,13 +46,15 @@ def write_record_chunks(records: DataFrame, path: str, size: int, sample, mate,
     A record is one value of the text writer, so no record is cut between files.  Rows
     are range-partitioned by sample, mate and number, so a chunk of any size is written
     by as many tasks as it needs and its part files, in name order, hold its records in
-    order.  Lines that a record lacks (the last of a cut-off file) are left out.
+    order.  All shuffle partitions write: folders and files cost more than their bytes, by which
+    Spark would merge partitions.  Lines that a record lacks (the last of a cut-off file) are left out.
     ``options`` go to the writer."""
+    parts = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     value = F.concat_ws("\n", *[F.col(c) for c in lines])
     out = records.select(sample.alias("sample"), mate.alias("mate"),
                          F.expr(f"{number} div {size} + 1").alias("chunk"), F.col(number).alias("_number"), value.alias("value"))
     order = ["sample", "mate", "_number"]
-    (out.repartitionByRange(*order).sortWithinPartitions(*order).drop("_number")
+    (out.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("_number")
      .write.options(**(options or {})).partitionBy("sample", "mate", "chunk").text(path))
 
 

@@ -337,11 +337,21 @@ READ_LEN = 100
 KMER = 16
 
 
+#: What ASCII has beside letters: goes in the same pass that maps them.
+NO_LETTERS = "".join(chr(c) for c in range(128) if not chr(c).isalpha())
+
+
 def _dna(text_col: str):
-    most = F.translate(F.regexp_replace(F.lower(text_col), r"[^\p{L}]", ""), LETTERS, BASES)
-    each = F.transform(F.split(most, ""), lambda c: F.when(c.isin("", "A", "C", "G", "T"), c).otherwise(
-        F.substring(F.lit("ACGT"), F.ascii(c) % 4 + 1, 1)))
-    return F.when(most.rlike("[^ACGT]"), F.array_join(each, "")).otherwise(most)
+    """Bases of the text's letters.  One pass maps or drops what most texts hold alone; the few with
+    anything else left go on.  The pass is an argument of ``transform``, so it is done once a text,
+    not for the test and the result anew."""
+    def bases(most):
+        letters = F.split(F.regexp_replace(most, r"[^\p{L}]", ""), "")
+        each = F.transform(letters, lambda c: F.when(c.isin("", "A", "C", "G", "T"), c).otherwise(
+            F.substring(F.lit("ACGT"), F.ascii(c) % 4 + 1, 1)))
+        return F.when(most.rlike("[^ACGT]"), F.array_join(each, "")).otherwise(most)
+
+    return F.transform(F.array(F.translate(F.lower(text_col), LETTERS + NO_LETTERS, BASES)), bases)[0]
 
 
 def _fasta(spark, refs) -> str:

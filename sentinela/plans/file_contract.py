@@ -156,7 +156,9 @@ def fastq_chunks(spark, sf_dir):
     rows = spread(docs, ["doc_id"]).select(_sample(F.col("doc_id")).alias("sample"), mate, F.col("doc_id").alias("at"),
                                            F.col("doc_id").cast("string").alias("id"), "seq")
     raw = scratch_path(spark, "raw-fastq")
-    (_fastq(rows, "sample", "mate").repartition("sample", "mate").sortWithinPartitions("sample", "mate", "at").drop("at")
+    # both mates by one task, so that their sample's folder is made once; all partitions write
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (_fastq(rows, "sample", "mate").repartition(parts, "sample").sortWithinPartitions("sample", "mate", "at").drop("at")
      .write.options(**SMALL_FILES).partitionBy("sample", "mate").text(raw))
     folder = F.split("file", "/")
     records = S.read_fastq_records(spark, raw)

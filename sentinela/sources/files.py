@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions import cleaning as C
 from ..operators.rows import frame_records, line_index
-from ..session import few_listing_tasks
+from ..session import few_listing_tasks, many_files_a_task
 
 # The 11 column names of the read-mapping result, in file order
 # (the reference spells the sixth "alignemnt_identity"; the build uses the
@@ -41,8 +41,9 @@ INFECTION_SEED_SCHEMA = T.StructType([
 
 
 def read_lines(spark: SparkSession, paths, line_sep: str | None = None) -> DataFrame:
-    """Text lines with their file and split start: ``file, block, value``."""
-    reader = spark.read
+    """Text lines with their file and split start: ``file, block, value``.  Folders below
+    ``paths`` are read as they are: what their names say is not worked out on the driver."""
+    reader = spark.read.option("recursiveFileLookup", "true")
     if line_sep is not None:
         reader = reader.option("lineSep", line_sep)
     with few_listing_tasks(spark):
@@ -160,7 +161,9 @@ def read_fastq_records(spark: SparkSession, paths) -> DataFrame:
     A quality line may begin with ``@``, so records are framed by line number
     in the file (``line div 4``), not by searching for ``@``.
     """
-    return frame_records(line_index(read_lines(spark, paths)), 4, names=["header", "seq", "plus", "qual"])
+    with many_files_a_task(spark):      # the lines are read and numbered in here
+        lines = line_index(read_lines(spark, paths))
+    return frame_records(lines, 4, names=["header", "seq", "plus", "qual"])
 
 
 def read_fastq(spark: SparkSession, paths) -> DataFrame:

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from conftest import write_text
 from sentinela.llm import line_dedup
+from sentinela.operators import rows as W
+from sentinela.operators import warehouse as H
+from sentinela.plans import contract as TC
 from sentinela.plans import file_contract as FC
-from sentinela.session import LISTING, few_listing_tasks
+from sentinela.session import LISTING, OPEN_COST, few_listing_tasks
 from sentinela.sources import files as S
 from sentinela.streaming.annotation import SampleLoad
 
@@ -106,6 +109,57 @@ def test_no_checksum_files_beside_small_files(spark, tmp_path, monkeypatch, quer
     assert not glob.glob(f"{paths[0]}/**/.part-*.crc", recursive=True)
 
 
+def test_fastq_of_many_small_files_is_read_by_few_tasks(spark, tmp_path, monkeypatch):
+    paths, real, size = [], W.scratch_path, "spark.sql.files.maxPartitionBytes"
+    monkeypatch.setattr(W, "scratch_path", lambda *a: paths.append(real(*a)) or paths[-1])
+    for i in range(FOLDERS):
+        write_text(f"{tmp_path}/in/sample={i:03}/part-0.txt", [f"@{i} x", "ACGT", "+", "@III"])
+    before = {k: spark.conf.get(k) for k in (OPEN_COST, size)}
+    spark.conf.set(size, "1m")
+    try:
+        got = S.read_fastq(spark, f"{tmp_path}/in").collect()
+        assert spark.conf.get(OPEN_COST) == before[OPEN_COST]
+    finally:
+        spark.conf.set(size, before[size])
+    assert sorted(int(r.read_id) for r in got) == [*range(FOLDERS)] and all(r.seq == "ACGT" and r.n_lines == 4 for r in got)
+    lines = paths[0].removeprefix("file://")
+    assert 0 < len(glob.glob(f"{lines}/part-*")) <= FOLDERS // 3           # a task each before
+    assert not glob.glob(f"{lines}/.part-*.crc")
+
+
+def test_folder_names_are_not_worked_out_for_lines(spark, tmp_path):
+    write_text(f"{tmp_path}/in/a=1/x.txt", ["one"])
+    write_text(f"{tmp_path}/in/b=2/y.txt", ["two"])          # as columns these two contradict each other
+    assert {r.value for r in S.read_lines(spark, f"{tmp_path}/in").collect()} == {"one", "two"}
+
+
+def test_all_partitions_write_chunks_and_raw_reads(spark, tmp_path, monkeypatch):
+    records = spark.range(400).select(F.lit("f").alias("file"), F.col("id").alias("record"), F.lit("@h").alias("header"),
+                                      F.lit("AC").alias("seq"))
+    H.write_record_chunks(records, f"{tmp_path}/chunks", 15, F.lit("s"), F.lit(1), ["header", "seq"])
+    tasks = {os.path.basename(p).split("-")[1] for p in glob.glob(f"{tmp_path}/chunks/**/part-*", recursive=True)}
+    assert len(tasks) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    paths = _captured(monkeypatch, "read_fastq_records")
+    spark.range(600).select(F.col("id").alias("doc_id"), F.lit("a text").alias("text")).write.parquet(f"{tmp_path}/documents.parquet")
+    assert FC.fastq_chunks(spark, str(tmp_path)).agg(F.sum("n")).first()[0] == 600
+    made = {}
+    for p in glob.glob(f"{paths[0]}/*/*/part-*"):
+        made.setdefault(p.split("/")[-3], set()).add(os.path.basename(p).split("-")[1])
+    assert len(made) == 6 and all(len(t) == 1 for t in made.values())        # both mates of a sample by one task
+
+
+def test_bases_are_made_in_one_pass_over_a_text(spark):
+    texts = ["Ab\0c\u65e5\u672c\u8a9e 1,2;\u00e9", None, "", "\U0001f9ecx \u0416\u044f \u03a3\u03c2 \u0130I \u00df\u1e9e \u0301e\u00f7\u00d7", "ACGT acgt", "\u00bd \u00b2\u0663 "]
+
+    def base(c):
+        return TC.BASES[TC.LETTERS.index(c)] if c in TC.LETTERS else "ACGT"[ord(c) % 4]
+
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select(F.lower("text").alias("low"), TC._dna("text").alias("dna"))
+    assert [r.dna for r in rows.collect()] == [None if r.low is None else "".join(base(c) for c in r.low if c.isalpha()) for r in rows.collect()]
+    plan = rows.select("dna")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("translate(") == 1                                      # three times before
+
+
 def test_line_dedup_writes_no_checksum_files(spark, monkeypatch):
     paths, real = [], line_dedup.scratch_path
     monkeypatch.setattr(line_dedup, "scratch_path", lambda *a: paths.append(real(*a)) or paths[-1])
