@@ -557,6 +557,109 @@ def test_host_repeats_decide_in_marked_articles_too(spark):
     assert got[11] == [""] and got[12] == got[0]
 
 
+def test_one_menu_and_footer_around_every_article_are_many_pages(spark):
+    def words(tag, n):
+        return " ".join(f"{tag}{i}" for i in range(n))
+
+    notice, beside = words("n", 60), words("b", 60)
+    rows = []
+    for i in range(4):
+        own = f"<article><p>{words(f'own{i}x', 30)}</p><p>{notice}</p><p>{beside}</p></article>"
+        rows += [(i, "http://h/a", f"<nav>the same menu</nav>{own}<footer><p>{notice}</p></footer>")]
+        # here the notice stands beside the article, in main
+        rows += [(10 + i, "http://g/a", f"<main><p>{notice}</p>{own}</main>")]
+    rows += [(20, "http://f/a", rows[0][2]), (21, "http://f/b", rows[0][2])]        # copies are one page
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.main_text.split("\n\n") for r in html_extract.extract(pages).collect()}
+    for i in range(4):                             # what only articles share stays
+        assert got[i] == got[10 + i] == [words(f"own{i}x", 30), beside], i
+    assert got[20] == got[21] == [words("own0x", 30), notice, beside]
+
+
+def test_every_page_is_asked_for_repeats(spark):
+    html_of = {i: f"<nav>menu</nav><article><p>{' '.join(f'w{i}x{k}' for k in range(20 + 40 * i))}</p><p>end {i}</p></article>" for i in range(4)}
+    html_of |= {4: "<div>" + " ".join(f"u{k}" for k in range(70)) + "</div><div>a b c d e f</div>", 5: "<article>short</article>"}
+    pages = spark.createDataFrame([(f"http://{i}.org/", h) for i, h in html_of.items()], "url string, html string")
+    found = html_extract.zones(pages, "url", "html")
+    spans = {}
+    for r in html_extract.asked_spans(found, 50, 6).collect():
+        spans.setdefault(r.host, set()).add((r.marked, r.pos, r.upto, r.n, r.place))
+    own = {html_extract._zones(f"http://{i}.org/", [])[0]: i for i in html_of}
+    assert {own[h]: s for h, s in spans.items()} == {
+        1: {(True, 0, 60, 2, 0), (True, 0, 60, 2, 1), (True, 0, 62, 2, 0), (True, 0, 62, 2, 1)},
+        2: {(True, 0, 100, 2, p) for p in (0, 1)} | {(True, 0, 102, 3, p) for p in range(3)},
+        3: {(True, 0, 140, 3, p) for p in range(3)} | {(True, 0, 142, 3, p) for p in range(3)},
+        4: {(False, k, k + 50, 1, 0) for k in range(27)} | {(False, 0, 70, 1, 0), (False, 70, 76, 1, 0)}}
+
+
+def test_main_text_matches_brute_force(spark):
+    rnd, size, whole = random.Random(11), 5, 3
+    pool = [" ".join(rnd.choice("abcdef") + str(rnd.randint(0, 9)) for _ in range(rnd.randint(1, 9))) for _ in range(14)]
+
+    def some(tag):
+        return "".join(f"<{tag}>{rnd.choice(pool) if rnd.random() < .7 else ' '.join(rnd.choice('uvwxyz') for _ in range(4))}</{tag}>"
+                       for _ in range(rnd.randint(1, 4)))
+
+    rows = [(i, f"http://h{i % 3}/", f"<nav>{some('li')}</nav>" + (f"<article>{some('p')}</article>" if i % 2 else some("p")) +
+             f"<footer>{some('p')}</footer>") for i in range(60)]
+    rows += [(60, rows[0][1], rows[0][2]), (61, rows[1][1], rows[1][2])]
+    tell = {i: html_extract._zones(u, html_extract.blocks(h)) for i, u, h in rows}
+    outside, inside = {}, {}
+    for host, page, key, is_marked, furniture, rest, main in tell.values():
+        for stream in (furniture, rest):
+            words = [t.split() for t in stream]
+            flat = [w for b in words for w in b]
+            for k in range(len(flat) - size + 1):
+                outside.setdefault((host, True, tuple(flat[k:k + size])), set()).add(page)
+            for a in range(len(words)):
+                for b in range(a + 1, len(words) + 1):
+                    row = tuple(w for x in words[a:b] for w in x)
+                    if len(row) >= whole:
+                        outside.setdefault((host, False, row), set()).add(page)
+
+    def spans(main):
+        words = [t.split() for t in main]
+        flat = [w for b in words for w in b]
+        for begin, end in html_extract.border_spans([len(b) for b in words], size).tolist():
+            yield begin, end, [tuple(flat[k:k + size]) for k in {*range(begin, end - size, size), end - size}]
+
+    def repeats(host, long, run):
+        return len(outside.get((host, long, run), ())) > 1
+
+    for host, _, key, is_marked, _, _, main in tell.values():
+        if is_marked:
+            for _, _, runs in spans(main):
+                for run in runs:
+                    if repeats(host, True, run):
+                        inside.setdefault((host, run), set()).add(key)
+    got = {r.page_id: r.main_text for r in html_extract.extract(
+        spark.createDataFrame(rows, "page_id long, url string, html string"), min_tokens=size, block_tokens=whole).collect()}
+    cut = [0, 0]
+    for i, (host, _, _, is_marked, _, _, main) in tell.items():
+        words, gone, pos, kept = [t.split() for t in main], set(), 0, []
+        flat = [w for b in words for w in b]
+        if is_marked:
+            for begin, end, runs in spans(main):
+                if all(len(inside.get((host, run), ())) > 1 for run in runs):
+                    gone |= {*range(begin, end)}
+        else:
+            at = [0, *np.cumsum([len(b) for b in words]).tolist()]
+            for k in range(len(flat) - size + 1):
+                if repeats(host, True, tuple(flat[k:k + size])):
+                    gone |= {*range(k, k + size)}
+            for a in at:
+                for b in at:
+                    if b - a >= whole and repeats(host, False, tuple(flat[a:b])):
+                        gone |= {*range(a, b)}
+        for b in words:
+            if left := [w for k, w in enumerate(b, pos) if k not in gone]:
+                kept.append(" ".join(left))
+            pos += len(b)
+        cut[is_marked] += bool(gone)
+        assert got[i] == "\n\n".join(kept), (i, rows[i])
+    assert min(cut) > 3                            # of marked and of other pages
+
+
 def test_pages_whose_article_is_not_marked_keep_their_text(spark):
     html_of = {
         "a": "<div id=content><p>the story itself</p></div><aside><article>a teaser</article></aside>",
